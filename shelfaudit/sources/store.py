@@ -22,9 +22,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {_CHECKPOINT_DIR} to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="shelfaudit-")
-    spark.conf.set(_CHECKPOINT_DIR, folder)
-    return folder
+    return tempfile.mkdtemp(prefix="shelfaudit-")
 
 
 class Workspace:
