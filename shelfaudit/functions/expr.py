@@ -55,11 +55,17 @@ def stability_flag(prior: Column, current: Column, diff: Column, tolerance: floa
 
 
 def index_term(dollars: Column, volume: Column, units: Column, on_zero: str = "raise") -> Column:
-    """A row's share of the index numerator: its price ratio times its units."""
+    """A row's share of the index numerator: its price ratio times its units,
+    in parts of 1/INDEX_SCALE."""
     price = ratio(dollars, volume)
     if on_zero == "skip":
         price = F.when(volume != 0, price)
-    return (100 * price * units.cast("double")).cast(S.INDEX_TERM)
+    parts = 100 * price * units.cast("double") * S.INDEX_SCALE
+    # Going through a bigint costs a third of turning a double into a decimal;
+    # the few values beyond its range take the long way.
+    return F.when(
+        F.abs(parts) < 9e18, parts.cast("bigint").cast(S.INDEX_TERM)
+    ).otherwise(parts.cast(S.INDEX_TERM))
 
 
 def index_units(volume: Column, units: Column, on_zero: str = "raise") -> Column:
@@ -69,9 +75,14 @@ def index_units(volume: Column, units: Column, on_zero: str = "raise") -> Column
     return units
 
 
+def index_value(terms: Column, units: Column) -> Column:
+    """The index, from the sums of its terms and of its units."""
+    return ratio(terms, units) / S.INDEX_SCALE
+
+
 def price_index(dollars: Column, volume: Column, units: Column, on_zero: str = "raise") -> Column:
     """Units-weighted mean of 100 x dollars / price-weighted volume."""
-    return ratio(
+    return index_value(
         F.sum(index_term(dollars, volume, units, on_zero)),
         F.sum(index_units(volume, units, on_zero)),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfaudit.config import DEFAULT, QcConfig
-from shelfaudit.functions.expr import pct_difference, ratio, stability_flag
+from shelfaudit.functions.expr import index_value, pct_difference, stability_flag
 from shelfaudit.operators.comparison import (
     differences,
     key_status,
@@ -39,7 +39,7 @@ def period_condition_metrics(
     )
     item_counts = summary.items.groupBy(*KEYS).agg(F.count_distinct("upc").alias("item_count"))
     columns = {
-        "index": ratio(F.col("index_term"), F.col("index_units")),
+        "index": index_value(F.col("index_term"), F.col("index_units")),
         "item_count": F.col("item_count"),
         "focus_dollars": F.col("dollars"),
         "focus_units": F.col("units"),

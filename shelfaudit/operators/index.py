@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfaudit import schema as S
 from shelfaudit.config import DEFAULT, QcConfig
-from shelfaudit.functions.expr import ratio
+from shelfaudit.functions.expr import index_value
 from shelfaudit.operators.summary import (
     DIMENSIONS,
     Summary,
@@ -57,7 +57,7 @@ def period_counts(pricing: DataFrame | Summary, config: QcConfig = DEFAULT) -> D
 
 
 def _index(keep=lambda c: c) -> Column:
-    return ratio(F.sum(keep(F.col("index_term"))), F.sum(keep(F.col("index_units"))))
+    return index_value(F.sum(keep(F.col("index_term"))), F.sum(keep(F.col("index_units"))))
 
 
 def _kvi_names() -> dict[str, str]:
