@@ -13,7 +13,7 @@ from shelfaudit.operators.comparison import (
     pct_differences,
     side_by_side,
 )
-from shelfaudit.operators.summary import Summary, join_on_groups, summary_of, totals
+from shelfaudit.operators.summary import Summary, summary_of, totals
 
 KEYS = ["time_period", "condition"]
 MEASURES = [
@@ -33,11 +33,19 @@ def period_condition_metrics(
     needed = [
         "units", "dollars", "market_units", "market_dollars", "index_term", "index_units",
     ]
+    # Distinct markets and distinct items come from separate first levels, whose
+    # rows are then counted together.
     by_market = totals(summary.measures, [*KEYS, "market_name"], needed)
-    sums = by_market.groupBy(*KEYS).agg(
-        *[F.sum(c).alias(c) for c in needed], F.count("market_name").alias("markets")
+    by_item = summary.items.select(*KEYS, "upc").distinct()
+    groups = (
+        by_market.unionByName(by_item, allowMissingColumns=True)
+        .groupBy(*KEYS)
+        .agg(
+            *[F.sum(c).alias(c) for c in needed],
+            F.count("market_name").alias("markets"),
+            F.count("upc").alias("item_count"),
+        )
     )
-    item_counts = summary.items.groupBy(*KEYS).agg(F.count_distinct("upc").alias("item_count"))
     columns = {
         "index": index_value(F.col("index_term"), F.col("index_units")),
         "item_count": F.col("item_count"),
@@ -47,7 +55,7 @@ def period_condition_metrics(
         "rom_units": F.col("market_units"),
         "markets": F.col("markets"),
     }
-    return join_on_groups(sums, item_counts, KEYS).select(
+    return groups.select(
         *KEYS, *[columns[n].cast("double").alias(f"{prefix}_{n}") for n in VALUES]
     )
 

@@ -11,7 +11,7 @@ from shelfaudit.functions.expr import index_value
 from shelfaudit.operators.summary import (
     DIMENSIONS,
     Summary,
-    join_on_groups,
+    merge_groups,
     summary_of,
     totals,
 )
@@ -45,7 +45,7 @@ def period_counts(pricing: DataFrame | Summary, config: QcConfig = DEFAULT) -> D
         )
     )
     kvi = F.when(F.col("has_kvi") & F.col("time_period").isNotNull(), F.col("kvi_items"))
-    return join_on_groups(sums, item_counts, ["time_period"]).select(
+    return merge_groups(sums, item_counts, ["time_period"]).select(
         "time_period",
         "market_count",
         "condition_count",

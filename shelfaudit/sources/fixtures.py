@@ -36,7 +36,8 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     orders = _table(spark, sf_dir, "orders").join(markets, F.col("o_custkey") == F.col("c_custkey"))
     return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        # Both sides grow with the data, so this is a shuffle join at any scale.
+        lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             F.col("r_name").alias("mkt"),
             F.trunc(F.col("o_orderdate").cast("date"), "quarter").alias("qtr"),

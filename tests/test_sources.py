@@ -1,0 +1,166 @@
+from __future__ import annotations
+
+import os
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfaudit import schema as S
+from shelfaudit.operators.index import index_report
+from shelfaudit.plans import suite
+from shelfaudit.sources import store
+from shelfaudit.sources.tables import pricing_table, raw_pricing_table, read_table
+
+
+def _table():
+    return f"qc_{uuid.uuid4().hex}"
+
+
+# ---------------------------------------------------------------------- tables
+
+
+def test_source_names_with_special_characters(spark, pricing, raw, tmp_path):
+    df = pricing({}).select([F.col(n).cast("string").alias(t) for n, t in S.PRICING_SOURCE.items()])
+    df.write.parquet(str(tmp_path / "t"))
+    back = pricing_table(read_table(spark, str(tmp_path / "t")))
+    assert [(f.name, f.dataType) for f in back.schema] == [(f.name, f.dataType) for f in S.PRICING]
+    assert back.collect() == pricing({}).collect()
+    feed = raw({}).withColumnsRenamed(S.RAW_PRICING_SOURCE)
+    assert raw_pricing_table(feed).collect() == raw({}).collect()
+
+
+def test_source_names_ignore_case(pricing):
+    df = pricing({}).withColumnsRenamed({n: t.upper() for n, t in S.PRICING_SOURCE.items()})
+    assert pricing_table(df).count() == 1
+
+
+def test_catalog_names(spark, pricing):
+    name = _table()
+    pricing({}).write.saveAsTable(name)
+    for qualified in (name, f"default.{name}", f"spark_catalog.default.{name}"):
+        assert read_table(spark, qualified).count() == 1
+
+
+# ------------------------------------------------------------------- workspace
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    assert store.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_snapshot_does_not_follow_its_source(spark, pricing, tmp_path):
+    path = str(tmp_path / "live")
+    pricing({}).write.parquet(path)
+    with store.Workspace(spark) as run:
+        frozen = store.snapshot(spark.read.parquet(path), run)
+        pricing({}, {}).write.mode("append").parquet(path)
+        spark.catalog.refreshByPath(path)
+        assert spark.read.parquet(path).count() == 3
+        assert frozen.count() == 1
+        assert os.path.isdir(run.path.removeprefix("file:"))
+    assert not os.path.exists(run.path.removeprefix("file:"))
+
+
+def test_workspaces_do_not_share_folders(spark):
+    assert store.Workspace(spark).path != store.Workspace(spark).path
+
+
+# --------------------------------------------------------------------- publish
+
+
+def test_publish_replaces_everything(spark, pricing, tmp_path):
+    table, place = _table(), str(tmp_path / "index")
+    first = index_report(pricing({"condition": "A"}, {"condition": "B"}))
+    out = suite.published_index(first, table, place)
+    assert [r.Condition for r in out.collect()] == ["A", "B"]
+    out = suite.published_index(index_report(pricing({"condition": "C"})), table, place)
+    assert [r.Condition for r in out.collect()] == ["C"]
+    assert [r.Condition for r in spark.table(table).collect()] == ["C"]
+    assert spark.table(table).columns == list(S.TITLES["index"].values())
+    assert {f.dataType.simpleString() for f in spark.table(table).schema[2:]} == {"double"}
+
+
+def test_publish_can_read_what_it_replaces(spark, pricing, tmp_path):
+    table, place = _table(), str(tmp_path / "index")
+    suite.published_index(index_report(pricing({"condition": "A"})), table, place)
+    doubled = spark.table(table).withColumn("Units", F.col("Units") * 2)
+    store.publish(doubled, table, place, doubled.schema)
+    assert spark.table(table).first()["Units"] == 40.0
+
+
+def test_failed_publish_keeps_the_old_report(spark, pricing, tmp_path):
+    table, place = _table(), str(tmp_path / "index")
+    suite.published_index(index_report(pricing({"condition": "A"})), table, place)
+    broken = spark.table(table).withColumn(
+        "Units", F.when(F.col("Condition") == "A", F.raise_error(F.lit("lost")).cast("double"))
+    )
+    with pytest.raises(Exception, match="lost"):
+        store.publish(broken, table, place, spark.table(table).schema)
+    assert spark.table(table).first()["Units"] == 20.0
+
+
+def test_publish_rejects_another_schema(spark, pricing, tmp_path):
+    table, place = _table(), str(tmp_path / "index")
+    suite.published_index(index_report(pricing({})), table, place)
+    other = pricing({}).select("upc")
+    with pytest.raises(ValueError, match="other columns"):
+        store.publish(other, table, place, other.schema)
+    assert len(spark.table(table).columns) == 16
+
+
+# ----------------------------------------------------------------------- suite
+
+
+def _inputs(raw, pricing):
+    return raw({}), pricing({}), pricing({}, {"upc": "2"}, {"upc": "2"})
+
+
+def test_suite_reports(spark, raw, pricing, tmp_path):
+    folder, table = str(tmp_path), _table()
+    reports = suite.run_qc_suite(*_inputs(raw, pricing), table, folder=folder)
+    assert set(reports) == {"duplication", "coverage", "back_data", "counts", "index"}
+    assert reports["duplication"].first().duplication_flag == "FAIL"
+    assert reports["coverage"].first().item_count_pct_diff == 2.0
+    assert reports["back_data"].first().item_count_flag == "FAIL"
+    assert reports["counts"].first().item_count == 2
+    assert reports["index"].first()["Total Store Index"] == 200.0
+    # the run's own tables are gone, reports and the published index stay
+    assert sorted(os.listdir(folder)) == sorted([table, "reports"])
+
+
+def test_suite_runs_again(spark, raw, pricing, tmp_path):
+    table = _table()
+    for _ in range(2):
+        reports = suite.run_qc_suite(*_inputs(raw, pricing), table, folder=str(tmp_path))
+        assert reports["index"].count() == 1
+
+
+def test_suite_survives_an_earlier_crash(spark, raw, pricing, tmp_path, monkeypatch):
+    folder, table = str(tmp_path), _table()
+    reports = suite.run_qc_suite(*_inputs(raw, pricing), table, folder=folder)
+
+    def crash(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(suite, "back_data_check", crash)
+        with pytest.raises(RuntimeError, match="lost"):
+            suite.run_qc_suite(*_inputs(raw, pricing), table, folder=folder)
+    assert not [n for n in os.listdir(folder) if n.startswith("run-")]
+    assert reports["index"].count() == 1
+    # even a run that could not clean up is out of the next one's way
+    with monkeypatch.context() as patch:
+        patch.setattr(suite, "back_data_check", crash)
+        patch.setattr(store.Workspace, "drop", lambda self: None)
+        with pytest.raises(RuntimeError, match="lost"):
+            suite.run_qc_suite(*_inputs(raw, pricing), table, folder=folder)
+    again = suite.run_qc_suite(*_inputs(raw, pricing), table, folder=folder)
+    assert again["index"].count() == 1
+
+
+def test_suite_without_a_copy(spark, raw, pricing, tmp_path):
+    a = suite.run_qc_suite(*_inputs(raw, pricing), _table(), folder=str(tmp_path))
+    b = suite.run_qc_suite(*_inputs(raw, pricing), _table(), folder=str(tmp_path), freeze=False)
+    for name in a:
+        assert a[name].collect() == b[name].collect()
