@@ -18,7 +18,7 @@ def holds(column: Column, code: int) -> Column:
     would not see them.
     """
     text = F.collate(column, "UTF8_BINARY")
-    return F.coalesce(F.instr(text, chr(code)) > 0, F.lit(False))
+    return F.coalesce(F.contains(text, F.lit(chr(code))), F.lit(False))
 
 
 def char_profile(

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 
 from shelfaudit import schema as S
 from shelfaudit.config import DEFAULT, QcConfig
@@ -14,13 +18,24 @@ from shelfaudit.operators.summary import Summary, items, slices
 from shelfaudit.sources.store import Workspace, publish, shared_folder, snapshot
 
 
+def _together(spark: SparkSession, *jobs: Callable) -> list:
+    """Run a few independent jobs at once, so that the last tasks of one do not
+    leave the executors idle."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    return [job.result() for job in running]
+
+
 def stored_summary(
     pricing: DataFrame, workspace: Workspace, name: str, config: QcConfig = DEFAULT
 ) -> Summary:
     """Summarise a table into the workspace, in two scans of it."""
     return Summary(
-        workspace.write(slices(pricing, config), f"{name}_slices"),
-        workspace.write(items(pricing), f"{name}_items"),
+        *_together(
+            pricing.sparkSession,
+            lambda: workspace.write(slices(pricing, config), f"{name}_slices"),
+            lambda: workspace.write(items(pricing), f"{name}_items"),
+        )
     )
 
 
@@ -55,20 +70,23 @@ def run_qc_suite(
         pricing = template.select(*S.PRICING.fieldNames())
         if freeze:
             pricing = snapshot(pricing, run)
-        current = stored_summary(pricing, run, "current", config)
-        counts = run.write(period_counts(current, config), "counts")
-        results = {
-            "duplication": duplication_check(pricing),
-            "coverage": coverage_check(raw, current, config),
-            "back_data": back_data_check(prior, current, config),
-            "counts": counts,
-        }
-        stored = {name: reports.write(df, name) for name, df in results.items()}
-        index = index_report(current, config, counts)
-        stored["index"] = published_index(index, index_table, f"{folder}/{index_table}")
-    order = {
-        "coverage": ["period_date", "market_name"],
-        "back_data": ["time_period", "condition"],
-        "counts": ["time_period"],
+        duplication, current = _together(
+            spark,
+            lambda: reports.write(duplication_check(pricing), "duplication"),
+            lambda: stored_summary(pricing, run, "current", config),
+        )
+        coverage, back_data, counts = _together(
+            spark,
+            lambda: reports.write(coverage_check(raw, current, config), "coverage"),
+            lambda: reports.write(back_data_check(prior, current, config), "back_data"),
+            lambda: reports.write(period_counts(current, config), "counts"),
+        )
+        report = index_report(current, config, counts)
+        index = published_index(report, index_table, f"{folder}/{index_table}")
+    return {
+        "duplication": duplication,
+        "coverage": coverage.orderBy("period_date", "market_name"),
+        "back_data": back_data.orderBy("time_period", "condition"),
+        "counts": counts.orderBy("time_period"),
+        "index": index,
     }
-    return {n: df.orderBy(*order[n]) if n in order else df for n, df in stored.items()}
