@@ -33,17 +33,15 @@ def period_condition_metrics(
     needed = [
         "units", "dollars", "market_units", "market_dollars", "index_term", "index_units",
     ]
-    # Distinct markets and distinct items come from separate first levels, whose
-    # rows are then counted together.
     by_market = totals(summary.measures, [*KEYS, "market_name"], needed)
-    by_item = summary.items.select(*KEYS, "upc").distinct()
+    item_counts = summary.items.groupBy(*KEYS).agg(F.count_distinct("upc").alias("item_count"))
+    # Every group has one row of items next to its rows of markets.
     groups = (
-        by_market.unionByName(by_item, allowMissingColumns=True)
+        by_market.unionByName(item_counts, allowMissingColumns=True)
         .groupBy(*KEYS)
         .agg(
-            *[F.sum(c).alias(c) for c in needed],
+            *[F.sum(c).alias(c) for c in [*needed, "item_count"]],
             F.count("market_name").alias("markets"),
-            F.count("upc").alias("item_count"),
         )
     )
     columns = {
