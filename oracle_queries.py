@@ -311,12 +311,13 @@ FROM {old} o FULL OUTER JOIN {new} n ON {on}"""
 
 def _duplication(table: str) -> str:
     return f"""
-SELECT d.n AS "Duplication Check 1 - Distinct Combinations",
-       a.n AS "Duplication Check 2 - All Rows",
-       CASE WHEN d.n = a.n THEN 'PASS' ELSE 'FAIL' END AS "Duplication Flag"
-FROM (SELECT COUNT(*) AS n FROM (
-        SELECT DISTINCT market_name, time_period, upc, condition FROM {table}) AS k) AS d,
-     (SELECT COUNT(*) AS n FROM {table}) AS a"""
+SELECT combinations AS "Duplication Check 1 - Distinct Combinations",
+       total AS "Duplication Check 2 - All Rows",
+       CASE WHEN combinations = total THEN 'PASS' ELSE 'FAIL' END AS "Duplication Flag"
+FROM (SELECT (SELECT COUNT(*) FROM (
+                SELECT DISTINCT market_name, time_period, upc, condition
+                FROM {table}) AS k) AS combinations,
+             (SELECT COUNT(*) FROM {table}) AS total) AS c"""
 
 
 def _volume(name: str, prefix: str) -> str:

@@ -37,8 +37,9 @@ class QcConfig:
     ``focus_markets`` limits the coverage check; ``None`` covers every market.
     ``waive`` names coverage measures whose FAIL is expected, such as
     ``item_count`` for clients that price by item group.
-    ``on_zero`` is ``"raise"`` or ``"skip"``: a zero price-weighted volume ends
-    the run, or its row leaves both sides of the index.
+    ``on_zero`` is ``"raise"`` or ``"skip"``: division by zero ends the run, or
+    gives NULL; a row with zero price-weighted volume then leaves both sides of
+    the index, so that the mean stays unbiased.
     """
 
     focus_markets: tuple[str, ...] | None = None

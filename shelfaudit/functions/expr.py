@@ -31,13 +31,17 @@ def period_date(
     return F.coalesce(*attempts)
 
 
-def ratio(numerator: Column, denominator: Column) -> Column:
-    return numerator.cast("double") / denominator.cast("double")
+def ratio(numerator: Column, denominator: Column, on_zero: str = "raise") -> Column:
+    """Quotient as a double; ``on_zero="skip"`` makes it NULL over zero."""
+    n, d = numerator.cast("double"), denominator.cast("double")
+    return F.try_divide(n, d) if on_zero == "skip" else n / d
 
 
-def pct_difference(new: Column, old: Column, digits: int = 4) -> Column:
+def pct_difference(
+    new: Column, old: Column, on_zero: str = "raise", digits: int = 4
+) -> Column:
     """Relative change, rounded half away from zero before any flag reads it."""
-    return F.round(ratio(new - old, old), digits)
+    return F.round(ratio(new - old, old, on_zero), digits)
 
 
 def loss_flag(diff: Column, threshold: float, waived: bool = False) -> Column:
@@ -57,10 +61,7 @@ def stability_flag(prior: Column, current: Column, diff: Column, tolerance: floa
 def index_term(dollars: Column, volume: Column, units: Column, on_zero: str = "raise") -> Column:
     """A row's share of the index numerator: its price ratio times its units,
     in parts of 1/INDEX_SCALE."""
-    price = ratio(dollars, volume)
-    if on_zero == "skip":
-        price = F.when(volume != 0, price)
-    parts = 100 * price * units.cast("double") * S.INDEX_SCALE
+    parts = 100 * ratio(dollars, volume, on_zero) * units.cast("double") * S.INDEX_SCALE
     # Going through a bigint costs a third of turning a double into a decimal;
     # the few values beyond its range take the long way.
     return F.when(
@@ -75,9 +76,9 @@ def index_units(volume: Column, units: Column, on_zero: str = "raise") -> Column
     return units
 
 
-def index_value(terms: Column, units: Column) -> Column:
+def index_value(terms: Column, units: Column, on_zero: str = "raise") -> Column:
     """The index, from the sums of its terms and of its units."""
-    return ratio(terms, units) / S.INDEX_SCALE
+    return ratio(terms, units, on_zero) / S.INDEX_SCALE
 
 
 def price_index(dollars: Column, volume: Column, units: Column, on_zero: str = "raise") -> Column:
@@ -85,4 +86,5 @@ def price_index(dollars: Column, volume: Column, units: Column, on_zero: str = "
     return index_value(
         F.sum(index_term(dollars, volume, units, on_zero)),
         F.sum(index_units(volume, units, on_zero)),
+        on_zero,
     )

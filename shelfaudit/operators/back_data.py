@@ -45,7 +45,9 @@ def period_condition_metrics(
         )
     )
     columns = {
-        "index": index_value(F.col("index_term"), F.col("index_units")),
+        "index": index_value(
+            F.col("index_term"), F.col("index_units"), config.on_zero
+        ),
         "item_count": F.col("item_count"),
         "focus_dollars": F.col("dollars"),
         "focus_units": F.col("units"),
@@ -69,11 +71,11 @@ def _index4(side: str) -> Column:
     return F.round(F.col(f"{side}_index"), 4)
 
 
-def _diffs() -> dict[str, Column]:
+def _diffs(on_zero: str) -> dict[str, Column]:
     """The index is compared after rounding, everything else as it is."""
     return {
-        **pct_differences(MEASURES, "prior", "current"),
-        "index_pct_diff": pct_difference(_index4("current"), _index4("prior")),
+        **pct_differences(MEASURES, "prior", "current", on_zero),
+        "index_pct_diff": pct_difference(_index4("current"), _index4("prior"), on_zero),
     }
 
 
@@ -88,7 +90,7 @@ def back_data_check(
 
     return (
         side_by_side(*_sides(prior, current, config), KEYS)
-        .withColumns(_diffs())
+        .withColumns(_diffs(config.on_zero))
         .withColumns({f"{n}_flag": flag(n) for n in MEASURES})
         .select(
             *KEYS,
@@ -106,7 +108,7 @@ def back_data_differences(
 ) -> DataFrame:
     joined = side_by_side(*_sides(prior, current, config), KEYS)
     rounded = joined.withColumns({f"{s}_index": _index4(s) for s in ("prior", "current")})
-    return differences(rounded, KEYS, MEASURES, "prior", "current")
+    return differences(rounded, KEYS, MEASURES, "prior", "current", config.on_zero)
 
 
 def back_data_missing_keys(

@@ -19,18 +19,26 @@ def side_by_side(
     return old.join(new, list(keys), how)
 
 
-def pct_differences(names: Sequence[str], old: str, new: str) -> dict[str, Column]:
+def pct_differences(
+    names: Sequence[str], old: str, new: str, on_zero: str
+) -> dict[str, Column]:
     return {
-        f"{n}_pct_diff": pct_difference(F.col(f"{new}_{n}"), F.col(f"{old}_{n}")) for n in names
+        f"{n}_pct_diff": pct_difference(F.col(f"{new}_{n}"), F.col(f"{old}_{n}"), on_zero)
+        for n in names
     }
 
 
 def differences(
-    joined: DataFrame, keys: Sequence[str], names: Sequence[str], old: str, new: str
+    joined: DataFrame,
+    keys: Sequence[str],
+    names: Sequence[str],
+    old: str,
+    new: str,
+    on_zero: str,
 ) -> DataFrame:
     """Absolute and relative difference of each measure. ``null_diffs`` counts
     the relative ones that are unknown, which the flags cannot show."""
-    relative = pct_differences(names, old, new)
+    relative = pct_differences(names, old, new, on_zero)
     absolute = {f"{n}_diff": F.col(f"{new}_{n}") - F.col(f"{old}_{n}") for n in names}
     unknown = reduce(lambda a, b: a + b, [F.col(n).isNull().cast("int") for n in relative])
     return (

@@ -95,7 +95,7 @@ def coverage_check(
     }
     return (
         side_by_side(*_sides(raw, template, config), KEYS)
-        .withColumns(pct_differences(MEASURES, "raw", "template"))
+        .withColumns(pct_differences(MEASURES, "raw", "template", config.on_zero))
         .withColumns(flags)
         .select(
             *KEYS,
@@ -112,7 +112,7 @@ def coverage_differences(
     raw: DataFrame, template: DataFrame | Summary, config: QcConfig = DEFAULT
 ) -> DataFrame:
     joined = side_by_side(*_sides(raw, template, config), KEYS)
-    return differences(joined, KEYS, MEASURES, "raw", "template")
+    return differences(joined, KEYS, MEASURES, "raw", "template", config.on_zero)
 
 
 def coverage_missing_keys(

@@ -56,8 +56,9 @@ def period_counts(pricing: DataFrame | Summary, config: QcConfig = DEFAULT) -> D
     )
 
 
-def _index(keep=lambda c: c) -> Column:
-    return index_value(F.sum(keep(F.col("index_term"))), F.sum(keep(F.col("index_units"))))
+def _index(config: QcConfig, keep=lambda c: c) -> Column:
+    terms, units = (F.sum(keep(F.col(c))) for c in ("index_term", "index_units"))
+    return index_value(terms, units, config.on_zero)
 
 
 def _kvi_names() -> dict[str, str]:
@@ -68,7 +69,7 @@ def store_index(pricing: DataFrame | Summary, config: QcConfig = DEFAULT) -> Dat
     """Index and volumes of the rows known not to be outliers."""
     rows = summary_of(pricing, config).measures.filter("is_store")
     return rows.groupBy(*KEYS).agg(
-        _index().alias("store_index"), *[F.sum(c).alias(c) for c in VOLUMES]
+        _index(config).alias("store_index"), *[F.sum(c).alias(c) for c in VOLUMES]
     )
 
 
@@ -76,7 +77,7 @@ def kvi_index(pricing: DataFrame | Summary, config: QcConfig = DEFAULT) -> DataF
     """The same for key-value items alone."""
     rows = summary_of(pricing, config).measures.filter("is_store and is_kvi")
     return rows.groupBy(*KEYS).agg(
-        _index().alias("kvi_index"),
+        _index(config).alias("kvi_index"),
         *[F.sum(c).alias(name) for c, name in _kvi_names().items()],
     )
 
@@ -99,9 +100,9 @@ def index_report(
     has_key = F.col("time_period").isNotNull() & F.col("condition").isNotNull()
     rows = summary_of(pricing, config).measures.filter("is_store")
     both = rows.groupBy(*KEYS).agg(
-        _index().alias("store_index"),
+        _index(config).alias("store_index"),
         *[F.sum(c).alias(c) for c in VOLUMES],
-        _index(kvi).alias("kvi_index"),
+        _index(config, kvi).alias("kvi_index"),
         *[F.sum(kvi(F.col(c))).alias(name) for c, name in _kvi_names().items()],
     )
     masked = both.withColumns(

@@ -120,6 +120,27 @@ def test_missing_and_new_keys(raw, pricing):
     )
 
 
+def test_zero_base(raw, pricing):
+    feed, built = raw({"comp_dollars": "0"}), pricing({})
+    with pytest.raises(PySparkException, match="DIVIDE_BY_ZERO"):
+        coverage.coverage_check(feed, built).collect()
+    skip = QcConfig(on_zero="skip")
+    assert coverage.coverage_check(feed, built, skip).first().rom_dollars_flag == "PASS"
+    assert coverage.coverage_differences(feed, built, skip).first().null_diffs == 1
+    prior = pricing({"dollars": "0"})
+    assert back_data.back_data_check(prior, built, skip).first().focus_dollars_flag == "FAIL"
+
+
+def test_markets_match_by_collation(raw, pricing):
+    feed = raw({"market_name": "Metro"}, {"market_name": "METRO"}, {"market_name": "Rural"})
+    built = pricing({"market_name": "metro "})
+    config = QcConfig(focus_markets=("METRO",))
+    assert coverage.coverage_check(feed, built, config).count() == 0
+    folded = [with_collation(df, "UTF8_LCASE_RTRIM", ["market_name"]) for df in (feed, built)]
+    row = coverage.coverage_check(*folded, config).first()
+    assert (row.raw_item_count, row.template_item_count) == (2, 1.0)
+
+
 def test_unreadable_label(raw, pricing):
     feed = raw({"time_period": "QTR to come!"}, {})
     with pytest.raises(PySparkException, match="CAST_INVALID_INPUT"):

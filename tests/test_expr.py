@@ -41,6 +41,8 @@ def test_difference_of_integers_does_not_truncate(spark):
 def test_zero_base_ends_the_query(spark):
     with pytest.raises(PySparkException, match="DIVIDE_BY_ZERO"):
         _one(spark, pct_difference(_dec("5"), _dec("0")))
+    assert _one(spark, pct_difference(_dec("5"), _dec("0"), "skip")) is None
+    assert _one(spark, pct_difference(_dec("5"), _dec("4"), "skip")) == 0.25
 
 
 @pytest.mark.parametrize(
@@ -130,6 +132,8 @@ def test_zero_volume(spark):
     # Skipping takes the row out of both sides, so the mean is not biased.
     assert _index(spark, rows, "skip") == 50.0
     assert _index(spark, rows + [("30", None, "1")], "skip") == 37.5
+    assert _index(spark, [("30", "0", "1")], "skip") is None
+    assert _index(spark, [("30", "5", "0")], "skip") is None
 
 
 def test_price_index_of_huge_and_tiny_rows(spark):

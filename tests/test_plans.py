@@ -136,3 +136,18 @@ def test_reports_have_titles_for_every_column(tables):
         assert df.columns == list(S.TITLES[name]), name
     renamed = S.titled(reports["coverage"], "coverage", raw="Feed", template="Built")
     assert "Feed UPC Count" in renamed.columns and "Built ROM Units" in renamed.columns
+
+
+def test_joined_test_data_leaves_hot_keys_to_be_split(spark, sf_dir):
+    """With nothing small enough to broadcast, every skewable join feeds an
+    exchange, so AQE may split its hot keys."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = _plan(fixtures.pricing_current(spark, sf_dir)).splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    for key, above in (("l_partkey", "l_orderkey"), ("o_custkey", "o_orderkey"), ("l_orderkey", "mkt")):
+        (join,) = [i for i, x in enumerate(lines) if f"SortMergeJoin [{key}#" in x]
+        exchange = next(x for x in reversed(lines[:join]) if "Exchange" in x)
+        assert f"hashpartitioning({above}#" in exchange

@@ -10,7 +10,12 @@ from shelfaudit import schema as S
 from shelfaudit.operators.index import index_report
 from shelfaudit.plans import suite
 from shelfaudit.sources import store
-from shelfaudit.sources.tables import pricing_table, raw_pricing_table, read_table
+from shelfaudit.sources.tables import (
+    pricing_table,
+    raw_pricing_table,
+    read_table,
+    with_collation,
+)
 
 
 def _table():
@@ -164,3 +169,21 @@ def test_suite_without_a_copy(spark, raw, pricing, tmp_path):
     b = suite.run_qc_suite(*_inputs(raw, pricing), _table(), folder=str(tmp_path), freeze=False)
     for name in a:
         assert a[name].collect() == b[name].collect()
+
+
+def test_suite_on_collated_tables(spark, raw, pricing, tmp_path):
+    names = ["market_name", "time_period", "condition"]
+    feed = with_collation(raw({"market_name": "METRO"}), "UTF8_LCASE_RTRIM", names[:2])
+    old, new = (
+        with_collation(df, "UTF8_LCASE_RTRIM", names)
+        for df in (
+            pricing({"market_name": "Metro"}, {"market_name": "metro ", "condition": "r"}),
+            pricing({"market_name": "metro"}, {"market_name": "METRO", "upc": "2"}),
+        )
+    )
+    reports = suite.run_qc_suite(feed, old, new, _table(), folder=str(tmp_path))
+    assert reports["duplication"].first().duplication_flag == "PASS"
+    row = reports["back_data"].first()
+    assert (row.prior_markets, row.current_markets, row.current_item_count) == (1.0, 1.0, 2.0)
+    assert reports["coverage"].first().template_item_count == 2.0
+    assert reports["index"].first()["Count of Markets"] == 1.0
