@@ -26,7 +26,7 @@ from shelfaudit.operators import (  # noqa: E402
 )
 from shelfaudit.plans import suite  # noqa: E402
 from shelfaudit.sources import fixtures as X  # noqa: E402
-from shelfaudit.sources.store import Workspace, shared_folder, snapshot  # noqa: E402
+from shelfaudit.sources.store import Workspace, publish, shared_folder, snapshot  # noqa: E402
 
 FOCUS = QcConfig(focus_markets=tuple(X.FOCUS_MARKETS))
 WAIVED = QcConfig(focus_markets=FOCUS.focus_markets, waive=frozenset({"item_count"}))
@@ -84,6 +84,16 @@ def _qc_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports["index"]
 
 
+def _strip_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overwrite a column of a table: publish a new version of all its rows."""
+    table = f"codes_{uuid.uuid4().hex}"
+    location = f"{shared_folder(spark)}/{table}"
+    codes = X.codes(spark, sf_dir)
+    before = publish(codes, table, location, codes.schema)
+    after = hygiene.strip_chars(before, "original_upc", source="upc")
+    return publish(after, table, location, codes.schema)
+
+
 def _current(operator, *args, title: str | None = None):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = operator(X.pricing_current(spark, sf_dir), *args)
@@ -161,6 +171,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             characters=hygiene.stray_characters(X.codes(spark, sf), "upc", ALL_CHARACTERS),
         ),
         "strip_chars_rewrite": _codes(hygiene.strip_chars, "original_upc", source="upc"),
+        "strip_chars_in_place": _strip_in_place,
     }
 
     def plain(plan):

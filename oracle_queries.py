@@ -382,6 +382,7 @@ def oracle_sql() -> dict[str, str]:
     codes = _with(_CODES)
     current = _with(_BASE, _CURRENT)
     dirty = _with(_BASE, _CURRENT, _DIRTY)
+    rewritten = codes + f"SELECT {_strip('upc', [10, 13])} AS original_upc, upc FROM codes"
     return {
         "duplication_check": current + _duplication("pricing_current"),
         "duplication_check_dirty": dirty + _duplication("pricing_dirty"),
@@ -447,6 +448,6 @@ FROM pricing_current""",
         "char_profile_documents": _profile_summary("documents", "text"),
         "strip_chars": codes
         + f"SELECT original_upc, {_strip('upc', _WITH_NBSP.values())} AS upc FROM codes",
-        "strip_chars_rewrite": codes
-        + f"SELECT {_strip('upc', [10, 13])} AS original_upc, upc FROM codes",
+        "strip_chars_rewrite": rewritten,
+        "strip_chars_in_place": rewritten,
     }

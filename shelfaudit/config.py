@@ -40,6 +40,7 @@ class QcConfig:
     ``on_zero`` is ``"raise"`` or ``"skip"``: division by zero ends the run, or
     gives NULL; a row with zero price-weighted volume then leaves both sides of
     the index, so that the mean stays unbiased.
+    ``trend_tolerance`` adds the trend check to the suite; it has no default.
     """
 
     focus_markets: tuple[str, ...] | None = None
@@ -47,6 +48,7 @@ class QcConfig:
     min_market_units: float = 0
     loss_thresholds: dict[str, float] = field(default_factory=lambda: dict(LOSS_THRESHOLDS))
     stability_tolerance: float = 0.03
+    trend_tolerance: float | None = None
     waive: frozenset[str] = frozenset()
     on_zero: str = "raise"
     date_formats: tuple[str, ...] = ("yyyy-MM-dd", "MM/dd/yyyy")

@@ -15,6 +15,7 @@ from shelfaudit.operators.coverage import coverage_check
 from shelfaudit.operators.duplication import duplication_check
 from shelfaudit.operators.index import index_report, period_counts
 from shelfaudit.operators.summary import Summary, items, slices
+from shelfaudit.operators.trend import trend_check
 from shelfaudit.sources.store import Workspace, publish, shared_folder, snapshot
 
 
@@ -83,10 +84,14 @@ def run_qc_suite(
         )
         report = index_report(current, config, counts)
         index = published_index(report, index_table, f"{folder}/{index_table}")
-    return {
+        if config.trend_tolerance is not None:
+            trend = trend_check(report, config.trend_tolerance, config=config)
+            trend = reports.write(trend, "trend").orderBy("period_date", "condition")
+    results = {
         "duplication": duplication,
         "coverage": coverage.orderBy("period_date", "market_name"),
         "back_data": back_data.orderBy("time_period", "condition"),
         "counts": counts.orderBy("time_period"),
         "index": index,
     }
+    return results if config.trend_tolerance is None else {**results, "trend": trend}

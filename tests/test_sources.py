@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfaudit import schema as S
+from shelfaudit.config import QcConfig
 from shelfaudit.operators.index import index_report
 from shelfaudit.plans import suite
 from shelfaudit.sources import store
@@ -114,6 +115,14 @@ def test_publish_rejects_another_schema(spark, pricing, tmp_path):
     assert len(spark.table(table).columns) == 16
 
 
+def test_publish_moves_a_managed_table(spark, pricing, tmp_path):
+    table = _table()
+    pricing({}).write.saveAsTable(table)
+    changed = spark.table(table).withColumn("condition", F.lit("Z"))
+    store.publish(changed, table, str(tmp_path / "t"), changed.schema)
+    assert [r.condition for r in spark.table(table).collect()] == ["Z"]
+
+
 # ----------------------------------------------------------------------- suite
 
 
@@ -164,6 +173,13 @@ def test_suite_survives_an_earlier_crash(spark, raw, pricing, tmp_path, monkeypa
     assert again["index"].count() == 1
 
 
+def test_suite_with_trend(spark, raw, pricing, tmp_path):
+    config = QcConfig(trend_tolerance=0.1)
+    reports = suite.run_qc_suite(*_inputs(raw, pricing), _table(), config, str(tmp_path))
+    row = reports["trend"].first()
+    assert (row.store_index, row.store_index_flag, row.is_latest) == (200.0, None, True)
+
+
 def test_suite_without_a_copy(spark, raw, pricing, tmp_path):
     a = suite.run_qc_suite(*_inputs(raw, pricing), _table(), folder=str(tmp_path))
     b = suite.run_qc_suite(*_inputs(raw, pricing), _table(), folder=str(tmp_path), freeze=False)
