@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "4g")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.sql.debug.maxToStringFields", "1000")
         .config("spark.sql.warehouse.dir", str(scratch / "warehouse"))
