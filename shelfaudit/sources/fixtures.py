@@ -26,31 +26,44 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Each large join feeds an exchange on another key, which leaves AQE free
     # to split a hot part, order or customer. Joining part last would put its
     # key under the group-by and rule that split out.
-    lines = _table(spark, sf_dir, "lineitem").join(
-        _table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
+    # What belongs to a part or an order is computed there, once, before its
+    # lines repeat it.
+    parts = _table(spark, sf_dir, "part").select(
+        "p_partkey",
+        "p_size",
+        _money(F.col("p_size") % 4).alias("cf"),
+        _money(F.col("p_retailprice")).alias("price"),
+    )
+    lines = (
+        _table(spark, sf_dir, "lineitem")
+        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        .select(
+            "l_orderkey",
+            F.col("l_partkey").alias("item"),
+            F.col("l_returnflag").alias("cond"),
+            _money(F.col("l_quantity")).alias("q"),
+            _money(F.col("l_extendedprice")).alias("v"),
+            "p_size",
+            "cf",
+            "price",
+        )
     )
     markets = (
         _table(spark, sf_dir, "customer")
         .join(_table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(_table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    orders = _table(spark, sf_dir, "orders").join(markets, F.col("o_custkey") == F.col("c_custkey"))
-    return (
-        # Both sides grow with the data, so this is a shuffle join at any scale.
-        lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+    orders = (
+        _table(spark, sf_dir, "orders")
+        .join(markets, F.col("o_custkey") == F.col("c_custkey"))
         .select(
+            "o_orderkey",
             F.col("r_name").alias("mkt"),
             F.trunc(F.col("o_orderdate").cast("date"), "quarter").alias("qtr"),
-            F.col("l_partkey").alias("item"),
-            F.col("l_returnflag").alias("cond"),
-            "l_orderkey",
-            "p_size",
-            _money(F.col("l_quantity")).alias("q"),
-            _money(F.col("l_extendedprice")).alias("v"),
-            _money(F.col("p_size") % 4).alias("cf"),
-            _money(F.col("p_retailprice")).alias("price"),
         )
     )
+    # Both sides grow with the data, so this is a shuffle join at any scale.
+    return lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def raw_pricing(spark: SparkSession, sf_dir: str) -> DataFrame:
