@@ -28,6 +28,13 @@ from shelfaudit.plans import suite  # noqa: E402
 from shelfaudit.sources import fixtures as X  # noqa: E402
 from shelfaudit.sources.store import Workspace, publish, shared_folder, snapshot  # noqa: E402
 
+# The corpus operators and their pipeline may be absent.
+try:
+    import corpus_pipeline
+    from shelfaudit.llm import queries as corpus
+except ImportError:
+    corpus = corpus_pipeline = None
+
 FOCUS = QcConfig(focus_markets=tuple(X.FOCUS_MARKETS))
 WAIVED = QcConfig(focus_markets=FOCUS.focus_markets, waive=frozenset({"item_count"}))
 ALL_CHARACTERS = {**CHARACTERS, **NBSP_160}
@@ -177,8 +184,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def plain(plan):
         return lambda spark, sf_dir: _plain(plan(spark, sf_dir))
 
-    return {name: plain(plan) for name, plan in plans.items()}
+    found = {name: plain(plan) for name, plan in plans.items()}
+    if corpus:
+        found |= corpus.queries() | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.oracle_sql()
+    found = oracle_queries.oracle_sql()
+    if corpus:
+        found |= corpus.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
