@@ -32,7 +32,20 @@ from pyspark.sql import functions as F
 
 from . import tokens
 from .common import cut, documents
-from .repeats import Batches, covered, firsts, keyed, marks_of, packed, shared_keys, unpacked
+from .repeats import (
+    WINDOWS,
+    Batches,
+    covered,
+    firsts,
+    keyed,
+    marks_of,
+    packed,
+    shared_keys,
+    sure,
+    unpacked,
+    unpacked_runs,
+    window_batch,
+)
 
 WIDTH = 20
 ROUNDS = 6
@@ -126,30 +139,34 @@ def _keys_of(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def _windows(rows: DataFrame) -> DataFrame:
-    """(window, id, pos, d) of the windows whose key is shared."""
+    """The windows whose key is shared. A window that its document had before is
+    sure to go, so each document asks once for a sequence of words."""
 
     def emit(batches: Batches) -> Batches:
         for batch in batches:
             ids, ds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for i, raw in enumerate(unpacked(batch.column(2))):
-                shared = np.sort(batch.column(3)[i].values.to_numpy().view(np.uint64))
-                words = next(tokens.word_hashes([raw]))
-                keys, _ = window_keys(words, np.array([len(words)]), WIDTH)
-                pos = np.flatnonzero(np.isin(keys, shared))
-                window = tokens.windows(words, WIDTH)[pos].view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(window),
-                        pa.array(np.full(len(pos), ids[i])),
-                        pa.array(pos.astype(np.int32)),
-                        pa.array(np.full(len(pos), ds[i])),
-                    ],
-                    ["window", "id", "pos", "d"],
-                )
-
-    return rows.select("_id", "_d", "_blob", "_keys").mapInArrow(
-        emit, "window long, id long, pos int, d long"
-    )
+            for at, texts in unpacked_runs(batch.column(2)):
+                for first, words, counts in tokens.word_blocks(texts):
+                    keys, _ = window_keys(words, counts, WIDTH)
+                    n = np.maximum(counts - WIDTH + 1, 0)
+                    hashes = tokens.windows(words, WIDTH)
+                    starts, ends = np.cumsum(counts) - counts, np.cumsum(n)
+                    for i in range(len(counts)):
+                        k = at + first + i
+                        shared = batch.column(3)[k].values.to_numpy().view(np.uint64)
+                        pos = np.flatnonzero(np.isin(keys[ends[i] - n[i] : ends[i]], shared))
+                        window = hashes[starts[i] + pos]
+                        _, head = np.unique(window, return_index=True)
+                        known = np.ones(len(pos), dtype=bool)
+                        known[head] = False
+                        d = np.full(len(pos), ds[k])
+                        place, own = window.view(np.int64), pos.copy()
+                        place[known], own[known] = sure(pos[known], d[known])
+                        yield window_batch(
+                            place, np.full(len(pos), ids[k]), own, np.ones(len(pos)), d
+                        )
+
+    return rows.select("_id", "_d", "_blob", "_keys").mapInArrow(emit, WINDOWS)
 
 
 def _digest(words: list[bytes]) -> str:
@@ -173,9 +190,10 @@ def _whole(batches: Batches) -> Batches:
 def _kept(batches: Batches) -> Batches:
     for batch in batches:
         removed, digests = [], []
-        for raw, starts in zip(unpacked(batch.column(1)), batch.column(2), strict=True):
+        marks = zip(batch.column(2), batch.column(3), strict=True)
+        for raw, (starts, n) in zip(unpacked(batch.column(1)), marks, strict=True):
             words = raw.split()
-            out = covered(starts.values.to_numpy(), WIDTH, len(words))
+            out = covered(starts.values.to_numpy(), n.values.to_numpy(), WIDTH, len(words))
             removed.append(int(out.sum()))
             digests.append(_digest([w for w, x in zip(words, out, strict=True) if not x]))
         yield pa.RecordBatch.from_arrays(
@@ -197,10 +215,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     # Of exact copies the first one stands for all; the others lose every word.
     owners = whole.groupBy("_h").agg(F.min("_id").alias("_id")).join(shared, "_h")
     blobs = packed(rows, ["_id", "_h", "_d"])
-    windows = _windows(blobs.join(owners, ["_id", "_h"]))
-    marks = marks_of(windows, same_document=True)
-    marks = cut(marks.groupBy("_d").agg(F.collect_set("pos").alias("_starts")))
-    again = packed(rows, ["_d"]).join(marks, "_d").select("_d", "_blob", "_starts")
+    marks = marks_of(_windows(blobs.join(owners, ["_id", "_h"])))
+    again = packed(rows, ["_d"]).join(marks, "_d").select("_d", "_blob", "_starts", "_n")
     kept = cut(again.mapInArrow(_kept, "_d long, _removed long, _kept string")).distinct()
     copy = (F.col("_id") > F.col("_first")) & (F.col("n_words") >= WIDTH)
     return (

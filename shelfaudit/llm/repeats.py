@@ -123,41 +123,63 @@ def unpacked(column: pa.Array) -> Iterator[bytes]:
         yield opener.decompress(blob.as_py())
 
 
-def later(same_document: bool) -> Callable[[Batches], Batches]:
-    """Of rows (window, id, pos, d) in order: d and pos of those that are not the
-    first of their window; with `same_document` off, only of larger ids."""
+def unpacked_runs(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
+    """Runs of texts of about a block together, with the first one's number."""
+    run, total, first = [], 0, 0
+    for i, raw in enumerate(unpacked(column)):
+        run.append(raw)
+        total += len(raw)
+        if total >= tokens.BLOCK_BYTES:
+            yield first, run
+            run, total, first = [], 0, i + 1
+    if run:
+        yield first, run
+
+
+def sure(pos: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Window and pos of rows that are marks already: a window of their own each,
+    so that they spread over the tasks, and a negative pos."""
+    window = tokens.mix(d.view(np.uint64) + tokens.mix(pos.astype(np.uint64)))
+    return window.view(np.int64), -1 - pos
+
+
+def later(batches: Batches) -> Batches:
+    """Of rows (window, id, pos, n, d) in order: d, pos and n of those that have a
+    larger id than the first of their window, or are sure."""
+    first = [np.empty(0, np.int64)] * 2
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        w, i, p, n, d = (batch.column(x).to_numpy(zero_copy_only=False) for x in range(5))
+        w, i = (np.concatenate(x) for x in zip(first, (w, i), strict=True))
+        run = _heads(w)
+        head = np.repeat(run, np.diff(np.append(run, len(w))))
+        out = (i > i[head])[len(first[0]) :] | (p < 0)
+        first = [x[run[-1] : run[-1] + 1] for x in (w, i)]
+        pos = np.where(p < 0, -1 - p, p)[out].astype(np.int32)
+        yield pa.RecordBatch.from_arrays([*map(pa.array, (d[out], pos, n[out]))], ["_d", "pos", "n"])
+
+
+WINDOWS = "window long, id long, pos int, n int, d long"
 
-    def read(batches: Batches) -> Batches:
-        first = [np.empty(0, np.int64)] * 3
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            w, i, p, d = (batch.column(x).to_numpy(zero_copy_only=False) for x in range(4))
-            w, i, p = (np.concatenate(x) for x in zip(first, (w, i, p), strict=True))
-            run = _heads(w)
-            head = np.repeat(run, np.diff(np.append(run, len(w))))
-            out = i > i[head]
-            if same_document:
-                out |= (i == i[head]) & (p > p[head])
-            n = len(first[0])
-            first = [x[run[-1] : run[-1] + 1] for x in (w, i, p)]
-            out = out[n:]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(d[out]), pa.array(p[n:][out].astype(np.int32))], ["_d", "pos"]
-            )
 
-    return read
+def window_batch(*columns: np.ndarray) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+    arrays = [pa.array(c).cast(k) for c, k in zip(columns, kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, [x.split()[0] for x in WINDOWS.split(", ")])
 
 
-def marks_of(windows: DataFrame, same_document: bool) -> DataFrame:
-    """_d and the window starts to remove, from rows (window, id, pos, d)."""
-    dealt = windows.repartition("window").sortWithinPartitions("window", "id", "pos")
-    return dealt.mapInArrow(later(same_document), "_d long, pos int")
+def marks_of(windows: DataFrame) -> DataFrame:
+    """For each _d the starts (and how many follow each) of the windows to remove."""
+    dealt = windows.repartition("window").sortWithinPartitions("window", "id")
+    marks = dealt.mapInArrow(later, "_d long, pos int, n int")
+    found = marks.groupBy("_d").agg(F.collect_set(F.struct("pos", "n")).alias("_m"))
+    return cut(found.select("_d", F.col("_m.pos").alias("_starts"), F.col("_m.n").alias("_n")))
 
 
-def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
-    """Which of n places a window of `width` from one of `starts` covers."""
+def covered(starts: np.ndarray, number: np.ndarray, width: int, n: int) -> np.ndarray:
+    """Which of n places the windows of `width` from `number` starts on cover."""
     delta = np.zeros(n + 1, dtype=np.int64)
     np.add.at(delta, starts, 1)
-    np.add.at(delta, np.minimum(starts + width, n), -1)
+    np.add.at(delta, np.minimum(starts + number - 1 + width, n), -1)
     return np.cumsum(delta[:n]) > 0

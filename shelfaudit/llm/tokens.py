@@ -42,7 +42,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers, _inverse
     if len(_powers) < n:
         size = 1 << int(n - 1).bit_length()
@@ -61,7 +61,7 @@ def hash_block(
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     if not len(starts):
         return np.empty(0, np.uint64), starts, ends
-    powers, inverse = _power_tables(len(raw) + 1)
+    powers, inverse = power_tables(len(raw) + 1)
     total = np.zeros(len(raw) + 1, dtype=np.uint64)
     values = (_LOWER[raw] if lower else raw).astype(np.uint64)
     values += np.uint64(1)
