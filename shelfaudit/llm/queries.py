@@ -13,6 +13,7 @@ from . import (
     quality,
     recompression,
     sharding,
+    suffix_dedup,
     toxicity,
 )
 
@@ -20,6 +21,7 @@ _QUERIES = (
     mixing.op1_source_mix,
     decontamination.op2_decontamination,
     sharding.op3_balanced_shards,
+    suffix_dedup.op5_suffix_array_dedup,
     toxicity.op6_toxicity_pu,
     compression_rules.op8_compression_bands,
     recompression.op9_recompression,
