@@ -38,10 +38,11 @@ from .repeats import (
     covered,
     firsts,
     keyed,
+    lists,
     marks_of,
+    own_window,
     packed,
     shared_keys,
-    sure,
     unpacked,
     unpacked_runs,
     window_batch,
@@ -160,11 +161,10 @@ def _windows(rows: DataFrame) -> DataFrame:
                         known = np.ones(len(pos), dtype=bool)
                         known[head] = False
                         d = np.full(len(pos), ds[k])
-                        place, own = window.view(np.int64), pos.copy()
-                        place[known], own[known] = sure(pos[known], d[known])
-                        yield window_batch(
-                            place, np.full(len(pos), ids[k]), own, np.ones(len(pos)), d
-                        )
+                        place = window.view(np.int64).copy()
+                        place[known] = own_window(pos[known], d[known])
+                        one, id_ = np.ones(len(pos)), np.full(len(pos), ids[k])
+                        yield window_batch(place, id_, lists(pos), one, d, known)
 
     return rows.select("_id", "_d", "_blob", "_keys").mapInArrow(emit, WINDOWS)
 

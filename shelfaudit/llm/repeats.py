@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -136,37 +137,52 @@ def unpacked_runs(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
         yield first, run
 
 
-def sure(pos: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Window and pos of rows that are marks already: a window of their own each,
-    so that they spread over the tasks, and a negative pos."""
-    window = tokens.mix(d.view(np.uint64) + tokens.mix(pos.astype(np.uint64)))
-    return window.view(np.int64), -1 - pos
+def own_window(pos: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """A window of its own for each row that is sure, so that they spread over tasks."""
+    mixed = tokens.mix(d.view(np.uint64) + tokens.mix(pos.astype(np.uint64)))
+    return mixed.view(np.int64)
 
 
 def later(batches: Batches) -> Batches:
-    """Of rows (window, id, pos, n, d) in order: d, pos and n of those that have a
-    larger id than the first of their window, or are sure."""
+    """Of WINDOWS rows in order: d, pos and n of those that have a larger id than
+    the first of their window, or are sure, at each of their places."""
     first = [np.empty(0, np.int64)] * 2
     for batch in batches:
         if not batch.num_rows:
             continue
-        w, i, p, n, d = (batch.column(x).to_numpy(zero_copy_only=False) for x in range(5))
+        w, i, n, d, known = (
+            batch.column(x).to_numpy(zero_copy_only=False) for x in (0, 1, 3, 4, 5)
+        )
         w, i = (np.concatenate(x) for x in zip(first, (w, i), strict=True))
         run = _heads(w)
         head = np.repeat(run, np.diff(np.append(run, len(w))))
-        out = (i > i[head])[len(first[0]) :] | (p < 0)
+        out = np.flatnonzero((i > i[head])[len(first[0]) :] | known)
         first = [x[run[-1] : run[-1] + 1] for x in (w, i)]
-        pos = np.where(p < 0, -1 - p, p)[out].astype(np.int32)
-        yield pa.RecordBatch.from_arrays([*map(pa.array, (d[out], pos, n[out]))], ["_d", "pos", "n"])
+        pos = batch.column(2).take(pa.array(out))
+        times = np.repeat(out, pc.list_value_length(pos).to_numpy(zero_copy_only=False))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(d[times]), pos.flatten(), pa.array(n[times])], ["_d", "pos", "n"]
+        )
 
 
-WINDOWS = "window long, id long, pos int, n int, d long"
+#: A run of n windows, at each of the places `pos` of the document d.
+WINDOWS = "window long, id long, pos array<int>, n int, d long, sure boolean"
+
+
+def window_batch(
+    window: np.ndarray, ids: np.ndarray, pos: pa.Array, n: np.ndarray, d: np.ndarray, sure: np.ndarray
+) -> pa.RecordBatch:
+    columns = [window, ids, pos, n.astype(np.int32), d, sure]
+    names = [x.split()[0] for x in WINDOWS.split(", ")]
+    return pa.RecordBatch.from_arrays(
+        [c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names
+    )
 
 
-def window_batch(*columns: np.ndarray) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
-    arrays = [pa.array(c).cast(k) for c, k in zip(columns, kinds, strict=True)]
-    return pa.RecordBatch.from_arrays(arrays, [x.split()[0] for x in WINDOWS.split(", ")])
+def lists(flat: np.ndarray, counts: np.ndarray | None = None) -> pa.Array:
+    """Lists of the given lengths (one each if none are given)."""
+    ends = np.arange(len(flat) + 1) if counts is None else np.append(0, np.cumsum(counts))
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat.astype(np.int32)))
 
 
 def marks_of(windows: DataFrame) -> DataFrame:

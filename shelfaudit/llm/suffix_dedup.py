@@ -35,10 +35,11 @@ from .repeats import (
     covered,
     firsts,
     keyed,
+    lists,
     marks_of,
+    own_window,
     packed,
     shared_keys,
-    sure,
     unpacked,
     unpacked_runs,
     window_batch,
@@ -49,7 +50,6 @@ WIDTH = 50
 GRAM = 16
 PIECE = 48  # WIDTH + PIECE stays below the depth of the common prefixes
 SHARD_BYTES = 1 << 20
-NONE = np.empty(0, np.int64)
 
 
 def _grams(raw: np.ndarray, width: int) -> np.ndarray:
@@ -114,7 +114,8 @@ def _keys_of(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield distinct, np.zeros(len(distinct), dtype=bool)
 
 
-PIECES = "key long, piece binary, id long, d long, pos int"
+#: A piece and all its places in the document d.
+PIECES = "key long, piece binary, id long, d long, pos array<int>"
 
 
 def _pieces(rows: DataFrame) -> DataFrame:
@@ -122,7 +123,7 @@ def _pieces(rows: DataFrame) -> DataFrame:
 
     def emit(batches: Batches) -> Batches:
         for batch in batches:
-            ids, ds = batch.column(0), batch.column(1)
+            ids, ds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for at, texts in unpacked_runs(batch.column(2)):
                 for i, keys in enumerate(text_keys(texts)):
                     shared = batch.column(3)[at + i].values.to_numpy().view(np.uint64)
@@ -140,15 +141,18 @@ def _pieces(rows: DataFrame) -> DataFrame:
                     start = place[offset % PIECE == 0]
                     last = np.append(place[np.flatnonzero(offset % PIECE == 0)[1:] - 1], place[-1])
                     raw = texts[i]
-                    pieces = [raw[a : b + WIDTH] for a, b in zip(start, last, strict=True)]
-                    n = len(start)
+                    found: dict[bytes, list[int]] = {}
+                    for a, b in zip(start.tolist(), last.tolist(), strict=True):
+                        found.setdefault(raw[a : b + WIDTH], []).append(a)
+                    places = [x for own in found.values() for x in own]
+                    key = keys[[own[0] for own in found.values()]].view(np.int64)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(keys[start].view(np.int64)),
-                            pa.array(pieces, pa.binary()),
-                            pa.array([ids[at + i].as_py()] * n, pa.int64()),
-                            pa.array([ds[at + i].as_py()] * n, pa.int64()),
-                            pa.array(start.astype(np.int32)),
+                            pa.array(key),
+                            pa.array(list(found), pa.binary()),
+                            pa.array(np.full(len(found), ids[at + i])),
+                            pa.array(np.full(len(found), ds[at + i])),
+                            lists(np.array(places), np.array([len(x) for x in found.values()])),
                         ],
                         [x.split()[0] for x in PIECES.split(", ")],
                     )
@@ -160,42 +164,52 @@ class _Shard:
     """Different pieces, each with the smallest id that has it, to be sorted."""
 
     def __init__(self) -> None:
-        self.clear()
-
-    def clear(self) -> None:
         self.pieces: list[bytes] = []
-        self.rows: list[tuple[int, int, int]] = []
+        self.rows: list[tuple[int, int, list[int]]] = []  # id, d, places
         self.size = 0
 
-    def add(self, piece: bytes, row: tuple[int, int, int]) -> None:
+    def add(self, piece: bytes, row: tuple[int, int, list[int]]) -> None:
         self.pieces.append(piece)
         self.rows.append(row)
         self.size += len(piece)
 
-    def _columns(self) -> tuple[np.ndarray, ...]:
-        ids, ds, places = (np.array(x, dtype=np.int64) for x in zip(*self.rows, strict=True))
-        lengths = np.array([len(p) for p in self.pieces])
-        return ids, ds, places, lengths
+    def take(self, other: _Shard) -> None:
+        self.pieces += other.pieces
+        self.rows += other.rows
+        self.size += other.size
+
+    def _runs(
+        self, piece: np.ndarray, within: np.ndarray, n: np.ndarray, window: np.ndarray | None
+    ) -> pa.RecordBatch:
+        """Rows for n windows from `within` on of the pieces named; sure ones if they
+        have no window hash."""
+        ids = np.array([r[0] for r in self.rows], dtype=np.int64)[piece]
+        ds = np.array([r[1] for r in self.rows], dtype=np.int64)[piece]
+        counts = np.array([len(r[2]) for r in self.rows])
+        flat = np.array([x for r in self.rows for x in r[2]])
+        begin = np.cumsum(counts) - counts
+        own = counts[piece]
+        take = np.repeat(begin[piece] - (np.cumsum(own) - own), own) + np.arange(own.sum())
+        places = flat[take] + np.repeat(within, own)
+        sure = window is None
+        if sure:
+            window = own_window(flat[begin[piece]] + within, ds)
+        return window_batch(window, ids, lists(places, own), n, ds, np.full(len(ds), sure))
 
     def windows(self) -> pa.RecordBatch:
         """Each window by its hash, for a key too large for a shard."""
-        ids, ds, places, lengths = self._columns()
+        lengths = np.array([len(p) for p in self.pieces])
         hashes = _grams(np.frombuffer(b"".join(self.pieces), dtype=np.uint8), WIDTH)
         n = lengths - WIDTH + 1
         within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         starts = np.repeat(np.cumsum(lengths) - lengths, n) + within
         owner = np.repeat(np.arange(len(n)), n)
-        return window_batch(
-            hashes[starts].view(np.int64),
-            ids[owner],
-            places[owner] + within,
-            np.ones(len(owner)),
-            ds[owner],
-        )
+        return self._runs(owner, within, np.ones(len(owner)), hashes[starts].view(np.int64))
 
     def repeats(self) -> pa.RecordBatch:
         """The windows that a smaller id has too, by a suffix array of the pieces."""
-        ids, ds, places, lengths = self._columns()
+        ids = np.array([r[0] for r in self.rows], dtype=np.int64)
+        lengths = np.array([len(p) for p in self.pieces])
         # Symbols: bytes from 2 on, 1 behind each piece, 0 at the end.
         starts = np.cumsum(lengths + 1) - lengths - 1
         raw = np.frombuffer(b"\0".join(self.pieces) + b"\0\0", dtype=np.uint8)
@@ -207,65 +221,58 @@ class _Shard:
         owner = np.repeat(np.arange(len(lengths)), lengths + 1)
         within = np.arange(len(t) - 1) - starts[owner]
         valid = np.append(within <= lengths[owner] - WIDTH, False)
+        # A suffix that shares WIDTH symbols with a valid one is valid.
+        group = np.cumsum(shared[sa] < WIDTH)[valid[sa]]
         order = sa[valid[sa]]
-        # Between valid suffixes with WIDTH equal bytes all others have them too.
-        alike = np.append(shared[sa] >= WIDTH, False)[:-1]
-        group = np.cumsum(~alike)[valid[sa]]
         heads = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
         own = ids[owner[order]]
-        least = np.minimum.reduceat(own, heads)
-        sizes = np.diff(np.append(heads, len(order)))
-        out = order[own > np.repeat(least, sizes)]
-        pos = places[owner[out]] + within[out]
-        d = ds[owner[out]]
-        window, negative = sure(pos, d)
-        return window_batch(window, own[own > np.repeat(least, sizes)], negative, np.ones(len(out)), d)
+        least = np.repeat(
+            np.minimum.reduceat(own, heads), np.diff(np.append(heads, len(order)))
+        )
+        out = np.sort(order[own > least])
+        new = np.ones(len(out), dtype=bool)
+        new[1:] = (np.diff(out) > 1) | (owner[out[1:]] != owner[out[:-1]])
+        run = np.flatnonzero(new)
+        n = np.diff(np.append(run, len(out)))
+        return self._runs(owner[out[run]], within[out[run]], n, None)
 
 
 def _sorted_shards(batches: Batches) -> Batches:
     """Reads pieces in the order of key, piece and id."""
-    shard, key, piece, least = _Shard(), None, None, 0
-    waiting = 0  # bytes in the shard of the keys before this one
-    large = False
+    shard, own = _Shard(), _Shard()  # of the keys before, of this key
+    key, piece, least, large = None, None, 0, False
     for batch in batches:
-        extra: list[tuple[int, int, int, int]] = []
-        for k, p, i, d, pos in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        copies = _Shard()
+        columns = (c.to_pylist() for c in batch.columns)
+        for k, p, i, d, places in zip(*columns, strict=True):
             if k != key:
-                if large:
-                    if shard.size:
-                        yield shard.windows()
-                    shard.clear()
-                elif shard.size >= SHARD_BYTES:
-                    yield shard.repeats()
-                    shard.clear()
-                key, piece, large, waiting = k, None, False, shard.size
+                # Alone, a piece has no windows in common with others of its key.
+                if large and own.size:
+                    yield own.windows()
+                elif len(own.pieces) > 1:
+                    shard.take(own)
+                    if shard.size >= SHARD_BYTES:
+                        yield shard.repeats()
+                        shard = _Shard()
+                own, key, piece, large = _Shard(), k, None, False
+            if p == piece and i > least:
+                copies.add(p, (i, d, places))
+                continue
             if p != piece:
                 piece, least = p, i
-                if not large and shard.size - waiting >= SHARD_BYTES:
-                    large = True
-                    own = _Shard()
-                    while shard.size > waiting:
-                        shard.size -= len(shard.pieces[-1])
-                        own.add(shard.pieces.pop(), shard.rows.pop())
-                    if shard.size:
-                        yield shard.repeats()
-                    yield own.windows()
-                    shard.clear()
-                elif large and shard.size >= SHARD_BYTES:
-                    yield shard.windows()
-                    shard.clear()
-                shard.add(p, (i, d, pos))
-            elif i > least:
-                extra.append((i, d, pos, len(p) - WIDTH + 1))
-            elif shard.rows[-1:] != [(i, d, pos)]:
-                # The same piece again in the document: it has the same windows.
-                shard.add(p, (i, d, pos))
-        if extra:
-            i, d, pos, n = (np.array(x, dtype=np.int64) for x in zip(*extra, strict=True))
-            window, negative = sure(pos, d)
-            yield window_batch(window, i, negative, n, d)
+            own.add(p, (i, d, places))
+            if own.size >= SHARD_BYTES:
+                yield own.windows()
+                own, large = _Shard(), True
+        if copies.rows:
+            n = np.array([len(p) for p in copies.pieces]) - WIDTH + 1
+            yield copies._runs(np.arange(len(n)), np.zeros(len(n), np.int64), n, None)
+    if large and own.size:
+        yield own.windows()
+    elif len(own.pieces) > 1:
+        shard.take(own)
     if shard.size:
-        yield shard.windows() if large else shard.repeats()
+        yield shard.repeats()
 
 
 def _whole(batches: Batches) -> Batches:
