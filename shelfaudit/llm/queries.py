@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    class_model,
     compression_rules,
     decontamination,
     mixing,
@@ -21,6 +22,7 @@ _QUERIES = (
     mixing.op1_source_mix,
     decontamination.op2_decontamination,
     sharding.op3_balanced_shards,
+    class_model.op4_class_bigrams,
     suffix_dedup.op5_suffix_array_dedup,
     toxicity.op6_toxicity_pu,
     compression_rules.op8_compression_bands,

@@ -83,15 +83,50 @@ def _blocks(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
         yield first, len(sizes)
 
 
-def _long_text(raw: bytes, lower: bool, blank: np.ndarray) -> np.ndarray:
-    parts, at = [], 0
+def shapes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A number for a word's last two bytes and whether it starts with A to Z."""
+    last, first = raw[ends - 1].astype(np.int32), raw[starts]
+    second = np.where(ends - starts > 1, raw[ends - 2], 0).astype(np.int32)
+    capital = ((first >= 65) & (first <= 90)).astype(np.int32)
+    return (capital << 16) | (second << 8) | last
+
+
+def shaped_blocks(
+    texts: list[bytes],
+) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """As word_blocks, with the shapes of the words; one long text at a time."""
+    for first, last in _blocks(np.fromiter(map(len, texts), np.int64, len(texts))):
+        parts = (
+            _stretches(texts[first], BLANK)
+            if last - first == 1
+            else [np.frombuffer(b" ".join(texts[first:last]) + b" ", dtype=np.uint8)]
+        )
+        hashes, forms = [np.empty(0, np.uint64)], [np.empty(0, np.int32)]
+        for raw in parts:
+            own, starts, ends = hash_block(raw, False)
+            hashes.append(own)
+            forms.append(shapes(raw, starts, ends))
+        counts = [sum(map(len, hashes))]
+        if last - first > 1:
+            bounds = np.cumsum([len(t) + 1 for t in texts[first:last]])
+            counts = np.diff(np.searchsorted(starts, bounds), prepend=0)
+        yield first, np.concatenate(hashes), np.concatenate(forms), np.asarray(counts)
+
+
+def _stretches(raw: bytes, blank: np.ndarray) -> Iterator[np.ndarray]:
+    """A text in blocks that end at a blank."""
+    at = 0
     data = np.frombuffer(raw, dtype=np.uint8)
     while at < len(data):
         end = min(len(data), at + BLOCK_BYTES)
         while end < len(data) and not blank[data[end]]:
             end += 1
-        parts.append(hash_block(data[at:end], lower, blank)[0])
+        yield data[at:end]
         at = end
+
+
+def _long_text(raw: bytes, lower: bool, blank: np.ndarray) -> np.ndarray:
+    parts = [hash_block(x, lower, blank)[0] for x in _stretches(raw, blank)]
     return np.concatenate(parts) if parts else np.empty(0, np.uint64)
 
 
