@@ -114,26 +114,45 @@ def _match_block(docs: DataFrame, block: Sketches) -> DataFrame:
     return docs.selectExpr("cast(doc_id AS long) AS doc_id", "text").mapInArrow(search, SCHEMA)
 
 
-def contained_items(
-    docs: DataFrame, benchmark: DataFrame, width: int = WORDS, percent: int = PERCENT
-) -> DataFrame:
-    """One row for each document and item of which it holds `percent` or more:
-    doc_id, item_id, item_shingles, shared, containment."""
+def _blocks(benchmark: DataFrame, width: int, percent: int) -> Iterator[Sketches]:
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    n = items.count()
-    blocks = max(1, -(-2 * n // BLOCK_ITEMS))
-    found = []
+    blocks = max(1, -(-2 * items.count() // BLOCK_ITEMS))
     for block in range(blocks):
         own = items.filter(hash_key(F.col("item_id"), F.col("text")) % blocks == block).collect()
         texts = [r.text.encode() if r.text else b"" for r in own]
         sketches = Sketches([r.item_id for r in own], texts, width, percent)
         if sketches.ids:
-            found.append(_match_block(docs, sketches))
+            yield sketches
+
+
+def contained_items(
+    docs: DataFrame, benchmark: DataFrame, width: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """One row for each document and item of which it holds `percent` or more:
+    doc_id, item_id, item_shingles, shared, containment."""
+    found = [_match_block(docs, block) for block in _blocks(benchmark, width, percent)]
     if not found:
         return docs.sparkSession.createDataFrame([], SCHEMA)
     return reduce(DataFrame.union, found)
 
 
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, width: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """The rows of `docs` that hold no item, with all their columns."""
+    for block in _blocks(benchmark, width, percent):
+
+        def clean(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts = tokens.utf8(batch.column("text"))
+                words = tokens.word_hashes(texts, lower=True, blank=tokens.NOT_ALNUM)
+                kept = [next(block.matches(w), None) is None for w in words]
+                yield batch.filter(pa.array(kept, pa.bool_()))
+
+        docs = docs.mapInArrow(clean, docs.schema)
+    return docs
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return contained_items(documents(spark, sf_dir), benchmark)

@@ -103,6 +103,30 @@ def mix_sources(
     )
 
 
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The rows of `docs` as often as the mix takes them, with all their columns.
+
+    A document that the mix takes a part of comes whole. Rows equal in id, source
+    and size come as often as the one of them that is taken most."""
+    same = ["_id", "_source", "_size"]
+    taken = (
+        mix_sources(docs, **options)
+        .filter("taken > 0")
+        .groupBy(
+            F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size")
+        )
+        .agg(F.max(F.ceil(F.col("taken") / F.col("size"))).cast("int").alias("_times"))
+    )
+    sized = docs.withColumn("_words", n_words(F.col("text")).cast("long"))
+    names = dict(zip(same, ["doc_id", "source", "_words"], strict=True))
+    equal = [taken[k].eqNullSafe(sized[v]) for k, v in names.items()]
+    return (
+        sized.join(taken, equal)
+        .withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+        .select(*docs.columns)
+    )
+
+
 def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir)).drop("source")
 

@@ -11,6 +11,7 @@ from . import (
     compression_rules,
     decontamination,
     mixing,
+    ngram_join,
     quality,
     recompression,
     sharding,
@@ -25,6 +26,7 @@ _QUERIES = (
     class_model.op4_class_bigrams,
     suffix_dedup.op5_suffix_array_dedup,
     toxicity.op6_toxicity_pu,
+    ngram_join.op7_ngram_jaccard,
     compression_rules.op8_compression_bands,
     recompression.op9_recompression,
     quality.op10_pairwise_quality,
