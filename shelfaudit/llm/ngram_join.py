@@ -10,8 +10,8 @@ more. Two ways find every such pair:
 1. Pairs that share a token (a shingle of both heads) of few documents. They
    are listed token by token, and kept if what they share, with their tokens of
    many documents added, can reach the bound.
-2. Pairs that share tokens of many documents only. Then z alone has as many
-   of these as the bound asks for, which holds for members of large families of
+2. Pairs that share tokens of many documents only. Then both have as many of
+   these as the bound asks for, which holds for members of large families of
    near copies and for texts that are mostly a common passage. These first try a
    leader each, the document of a token that consists of frequent tokens most,
    and so fall into groups (components) of similar documents. The token-group
@@ -194,34 +194,46 @@ def _band(n: Column) -> Column:
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(BAND))).cast("int")
 
 
-def _open_groups(hot: DataFrame, heavy: DataFrame, groups: DataFrame) -> DataFrame:
+def _least(n: Column) -> Column:
+    """Shingles that the head of a set of n shares with any linked set's head."""
+    return F.greatest(F.lit(1), _head_size(n) - F.floor(n / 5))
+
+
+def _open_groups(hot: DataFrame, frequent: DataFrame, groups: DataFrame) -> DataFrame:
     """Pairs of a document of mostly frequent tokens with a member of another
     group, if the document's overlap with the group's tokens reaches its bound."""
-    rows = hot.join(groups, hot.dig == groups.node, "left").select(
-        "token", "dig", "n", F.coalesce("component", "dig").alias("g"), _band(F.col("n")).alias("band")
+    # What z shares, its partner has: at least the bound of the smallest such z.
+    partner = F.col("hot") >= _least(F.ceil(F.col("n") * 4 / 5))
+    rows = hot.join(frequent.filter(partner).drop("n"), "dig").join(
+        groups, F.col("dig") == groups.node, "left"
     )
-    rows = cut(rows)
-    matrix = rows.select("token", "band", "g").distinct()
-    near = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))
-    asking = rows.join(heavy.select("dig", "least"), "dig").select(
-        "token", "dig", "n", "least", F.col("g").alias("own"), near.alias("band")
+    rows = cut(
+        rows.select(
+            "token",
+            "dig",
+            "n",
+            "hot",
+            "least",
+            F.coalesce("component", "dig").alias("g"),
+            _band(F.col("n")).alias("band"),
+        )
     )
-    asking = cut(asking)
+    near = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))
+    matrix = rows.select("token", "g", near.alias("band")).distinct()
+    asking = rows.filter("hot >= least")
     qualify = (
-        asking.join(matrix, ["token", "band"])
-        .filter("g <> own")
-        .groupBy("dig", "g", "least")
-        # Bands of one group count once for a token.
-        .agg(F.count_distinct("token").alias("shared"))
+        asking.join(matrix.withColumnRenamed("g", "other"), ["token", "band"])
+        .filter("g <> other")
+        .groupBy("dig", "other", "least")
+        .agg(F.count("*").alias("shared"))
         .filter("shared >= least")
-        .select("dig", "g")
+        .select("dig", "other")
     )
+    members = rows.select("token", F.col("g").alias("other"), F.col("dig").alias("b"), F.col("n").alias("nb"))
     opened = (
-        asking.join(qualify, "dig")
-        .join(
-            rows.select("token", "band", "g", F.col("dig").alias("b"), F.col("n").alias("nb")),
-            ["token", "band", "g"],
-        )
+        asking.select("token", "dig", "n")
+        .join(qualify, "dig")
+        .join(members, ["token", "other"])
         .filter(_sizes_link(F.col("n"), F.col("nb")))
         .groupBy(F.col("dig").alias("a"), "b", F.col("n").alias("na"), "nb")
         .agg(F.count("*").alias("shared"))
@@ -293,7 +305,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     frequent = cut(
         hot.groupBy("dig", "n")
         .agg(F.count("*").alias("hot"))
-        .withColumn("least", F.greatest(F.lit(1), _head_size(n) - F.floor(n / 5)))
+        .withColumn("least", _least(n))
         .withColumn("share", F.col("hot") / _head_size(n))
     )
     heavy = frequent.filter("hot >= least")
@@ -313,7 +325,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     pairs = cut(sharing.union(_leaders(hot, heavy)).distinct())
     links = _links(rows, owners, pairs)
     groups = components(links)
-    more = cut(_open_groups(hot, heavy, groups).join(pairs, ["a", "b"], "left_anti"))
+    more = cut(_open_groups(hot, frequent, groups).join(pairs, ["a", "b"], "left_anti"))
     if not more.isEmpty():
         groups = components(links.union(_links(rows, owners, more)))
     named = whole.join(groups, whole.dig == groups.node, "left").select(
