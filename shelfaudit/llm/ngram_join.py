@@ -45,7 +45,7 @@ from .repeats import LAST_ID, Batches, packed, unpacked_runs
 
 WIDTH = 5
 FREQUENT = 16  # a token of more documents goes by the token-group matrix
-BAND = 1.25
+BAND = 1.05  # the ratio of sizes in a band
 
 EMPTY = np.empty(0, np.int64)
 
@@ -172,21 +172,22 @@ def _token_batch(*columns: np.ndarray) -> pa.RecordBatch:
 
 def _leaders(hot: DataFrame, heavy: DataFrame) -> DataFrame:
     """For each document of mostly frequent tokens the leader that most of its
-    tokens name: of a token and size band, the document with the largest share
-    of frequent tokens. Whoever gets no link this way is not lost: it is a group."""
-    rows = hot.join(heavy.select("dig", "share"), "dig").withColumn("band", _band(F.col("n")))
-    named = rows.groupBy("token", "band").agg(
+    tokens name: of a token, the document with the largest share of frequent
+    tokens in a range of sizes. Whoever gets no link this way is not lost: it is
+    a group of its own."""
+    wide = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25)))
+    rows = hot.join(heavy.select("dig", "share"), "dig").withColumn("range", wide)
+    named = rows.groupBy("token", "range").agg(
         F.max(F.struct("share", "dig", "n")).alias("leader")
     )
     votes = (
-        rows.join(named, ["token", "band"])
+        rows.join(named, ["token", "range"])
         .filter("dig <> leader.dig")
         .groupBy("dig", "n", "leader")
         .agg(F.count("*").alias("votes"))
     )
-    best = votes.groupBy("dig", "n").agg(
-        F.max(F.struct("votes", F.col("leader.dig").alias("b"), F.col("leader.n").alias("nb"))).alias("best")
-    )
+    named_by = F.struct("votes", F.col("leader.dig").alias("b"), F.col("leader.n").alias("nb"))
+    best = votes.groupBy("dig", "n").agg(F.max(named_by).alias("best"))
     return best.select(F.col("dig").alias("a"), "best.b", F.col("n").alias("na"), "best.nb")
 
 
@@ -195,45 +196,64 @@ def _band(n: Column) -> Column:
 
 
 def _least(n: Column) -> Column:
-    """Shingles that the head of a set of n shares with any linked set's head."""
+    """Shingles that the head of z, of size n, shares with any linked set's head."""
     return F.greatest(F.lit(1), _head_size(n) - F.floor(n / 5))
 
 
 def _open_groups(hot: DataFrame, frequent: DataFrame, groups: DataFrame) -> DataFrame:
     """Pairs of a document of mostly frequent tokens with a member of another
     group, if the document's overlap with the group's tokens reaches its bound."""
-    # What z shares, its partner has: at least the bound of the smallest such z.
-    partner = F.col("hot") >= _least(F.ceil(F.col("n") * 4 / 5))
-    rows = hot.join(frequent.filter(partner).drop("n"), "dig").join(
-        groups, F.col("dig") == groups.node, "left"
-    )
+    n = F.col("n")
+    # A partner has in its head what z shares; a larger z shares less.
+    partner = F.col("hot") >= _bound(F.floor(n * 5 / 4), n)
+    rows = hot.join(
+        frequent.select("dig", "hot", (F.col("hot") >= F.col("least")).alias("asks"), partner.alias("partner")),
+        "dig",
+    ).join(groups, F.col("dig") == groups.node, "left")
     rows = cut(
-        rows.select(
+        rows.filter("asks OR partner").select(
             "token",
             "dig",
             "n",
             "hot",
-            "least",
+            "asks",
+            "partner",
             F.coalesce("component", "dig").alias("g"),
-            _band(F.col("n")).alias("band"),
+            _band(n).alias("band"),
+        )
+    )
+    matrix = rows.filter("partner").select("token", "band", F.col("g").alias("other")).distinct()
+    # The bound rises with the partner's size: each size band has its own.
+    smallest = F.greatest(F.ceil(F.pow(F.lit(BAND), F.col("to")) - 1e-6), F.ceil(n * 4 / 5))
+    asking = (
+        rows.filter("asks")
+        .select(
+            "token",
+            "dig",
+            "n",
+            "hot",
+            "g",
+            F.explode(F.sequence(_band(F.ceil(n * 4 / 5)), _band(F.floor(n * 5 / 4)))).alias("to"),
         )
+        .withColumn("need", _bound(n, smallest))
+        .filter("hot >= need")
+        .withColumnRenamed("to", "band")
     )
-    near = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))
-    matrix = rows.select("token", "g", near.alias("band")).distinct()
-    asking = rows.filter("hot >= least")
     qualify = (
-        asking.join(matrix.withColumnRenamed("g", "other"), ["token", "band"])
+        asking.join(matrix, ["token", "band"])
         .filter("g <> other")
-        .groupBy("dig", "other", "least")
+        .groupBy("dig", "other", "band", "need")
         .agg(F.count("*").alias("shared"))
-        .filter("shared >= least")
-        .select("dig", "other")
+        .filter("shared >= need")
+        .select("dig", "other", "band")
+    )
+    members = rows.filter("partner").select(
+        "token", F.col("g").alias("other"), "band", F.col("dig").alias("b"), F.col("n").alias("nb")
     )
-    members = rows.select("token", F.col("g").alias("other"), F.col("dig").alias("b"), F.col("n").alias("nb"))
     opened = (
-        asking.select("token", "dig", "n")
-        .join(qualify, "dig")
-        .join(members, ["token", "other"])
+        asking.select("token", "dig", "n", "band")
+        .join(qualify, ["dig", "band"])
+        .join(members, ["token", "other", "band"])
         .filter(_sizes_link(F.col("n"), F.col("nb")))
         .groupBy(F.col("dig").alias("a"), "b", F.col("n").alias("na"), "nb")
         .agg(F.count("*").alias("shared"))
