@@ -85,11 +85,20 @@ def _sizes_link(n, other):
     return (100 * n >= 80 * other) & (100 * other >= 80 * n)
 
 
+def _end(shingles: np.ndarray) -> int:
+    """Where a set's head ends, as a number that keeps the order of hashes."""
+    head = shingles[: head_size(len(shingles))]
+    return int(head[-1] >> np.uint64(1)) if len(head) else 0
+
+
 def _documents(batches: Batches) -> Batches:
     for batch in batches:
-        sets = [(len(s), digest(s)) for s in shingle_sets(tokens.utf8(batch.column(1)))]
-        n, dig = (np.array(x, dtype=np.int64) for x in zip(*sets, strict=True)) if sets else (EMPTY,) * 2
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(dig)], ["id", "n", "dig"])
+        sets = [(len(s), digest(s), _end(s)) for s in shingle_sets(tokens.utf8(batch.column(1)))]
+        columns = zip(*sets, strict=True) if sets else [()] * 3
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), *(pa.array(c, pa.int64()) for c in columns)],
+            ["id", "n", "dig", "end"],
+        )
 
 
 def _heads(batches: Batches) -> Batches:
@@ -206,23 +215,26 @@ def _open_groups(hot: DataFrame, frequent: DataFrame, groups: DataFrame) -> Data
     n = F.col("n")
     # A partner has in its head what z shares; a larger z shares less.
     partner = F.col("hot") >= _bound(F.floor(n * 5 / 4), n)
-    rows = hot.join(
-        frequent.select("dig", "hot", (F.col("hot") >= F.col("least")).alias("asks"), partner.alias("partner")),
-        "dig",
-    ).join(groups, F.col("dig") == groups.node, "left")
+    use = frequent.select(
+        "dig", "hot", "end", (F.col("hot") >= F.col("least")).alias("asks"), partner.alias("partner")
+    ).filter("asks OR partner")
+    use = use.join(groups, F.col("dig") == groups.node, "left").withColumn(
+        "g", F.coalesce("component", "dig")
+    )
     rows = cut(
-        rows.filter("asks OR partner").select(
-            "token",
-            "dig",
-            "n",
-            "hot",
-            "asks",
-            "partner",
-            F.coalesce("component", "dig").alias("g"),
-            _band(n).alias("band"),
+        hot.join(use, "dig").select(
+            "token", "dig", "n", "hot", "end", "asks", "partner", "g", _band(n).alias("band")
         )
     )
-    matrix = rows.filter("partner").select("token", "band", F.col("g").alias("other")).distinct()
+    members = rows.filter("partner").select(
+        "token",
+        "band",
+        F.col("g").alias("other"),
+        F.col("dig").alias("b"),
+        F.col("n").alias("nb"),
+        F.col("end").alias("end_b"),
+    )
+    matrix = members.groupBy("token", "band", "other").agg(F.max("end_b").alias("end_b"))
     # The bound rises with the partner's size: each size band has its own.
     smallest = F.greatest(F.ceil(F.pow(F.lit(BAND), F.col("to")) - 1e-6), F.ceil(n * 4 / 5))
     asking = (
@@ -232,6 +244,7 @@ def _open_groups(hot: DataFrame, frequent: DataFrame, groups: DataFrame) -> Data
             "dig",
             "n",
             "hot",
+            "end",
             "g",
             F.explode(F.sequence(_band(F.ceil(n * 4 / 5)), _band(F.floor(n * 5 / 4)))).alias("to"),
         )
@@ -239,33 +252,40 @@ def _open_groups(hot: DataFrame, frequent: DataFrame, groups: DataFrame) -> Data
         .filter("hot >= need")
         .withColumnRenamed("to", "band")
     )
-    qualify = (
+    qualify = cut(
         asking.join(matrix, ["token", "band"])
-        .filter("g <> other")
-        .groupBy("dig", "other", "band", "need")
+        .filter("g <> other AND end <= end_b")
+        .groupBy("dig", "n", "end", "other", "band", "need")
         .agg(F.count("*").alias("shared"))
         .filter("shared >= need")
-        .select("dig", "other", "band")
     )
-    members = rows.filter("partner").select(
-        "token", F.col("g").alias("other"), "band", F.col("dig").alias("b"), F.col("n").alias("nb")
+    # A group of one has been compared by now; larger ones are opened.
+    size = members.select("other", "band", "b", "nb", "end_b").distinct()
+    alone = size.groupBy("other", "band").agg(
+        F.count("*").alias("size"), F.min("b").alias("b"), F.min("nb").alias("nb")
+    )
+    known = qualify.join(alone, ["other", "band"])
+    single = known.filter("size = 1").select(
+        F.col("dig").alias("a"), "b", F.col("n").alias("na"), "nb", "shared"
     )
     opened = (
-        asking.select("token", "dig", "n", "band")
-        .join(qualify, ["dig", "band"])
+        asking.select("token", "dig", "band")
+        .join(known.filter("size > 1").select("dig", "n", "end", "other", "band"), ["dig", "band"])
         .join(members, ["token", "other", "band"])
-        .filter(_sizes_link(F.col("n"), F.col("nb")))
+        .filter(_sizes_link(F.col("n"), F.col("nb")) & (F.col("end") <= F.col("end_b")))
         .groupBy(F.col("dig").alias("a"), "b", F.col("n").alias("na"), "nb")
         .agg(F.count("*").alias("shared"))
     )
-    least = F.least(_bound(F.col("na"), F.col("nb")), _bound(F.col("nb"), F.col("na")))
-    return opened.filter(F.col("shared") >= least).select("a", "b", "na", "nb")
+    found = single.union(opened).filter(_sizes_link(F.col("na"), F.col("nb")))
+    return found.filter(F.col("shared") >= _bound(F.col("na"), F.col("nb"))).select(
+        "a", "b", "na", "nb"
+    )
 
 
 def _sets_of(docs: DataFrame, owners: DataFrame, pairs: DataFrame) -> DataFrame:
     """dig, shingles of the sets in `pairs`, from the text of one owner each."""
     wanted = pairs.select(F.col("a").alias("dig")).union(pairs.select("b")).distinct()
-    blobs = packed(docs, ["id"]).join(owners.join(wanted, "dig"), "id")
+    blobs = packed(docs, ["id"]).join(owners.select("dig", "id").join(wanted, "dig"), "id")
 
     def emit(batches: Batches) -> Batches:
         for batch in batches:
@@ -314,8 +334,9 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    whole = cut(rows.mapInArrow(_documents, "id long, n long, dig long"))
-    owners = whole.filter("n > 0").groupBy("dig").agg(F.min("id").alias("id"))
+    whole = cut(rows.mapInArrow(_documents, "id long, n long, dig long, end long"))
+    owners = whole.filter("n > 0").groupBy("dig").agg(F.min("id").alias("id"), F.min("end").alias("end"))
+    owners = cut(owners)
     heads = rows.select("text").mapInArrow(_heads, "token long, dig long, n long")
     dealt = heads.repartition("token").sortWithinPartitions("token", "dig")
     found = cut(dealt.mapInArrow(_postings, TOKENS))
@@ -325,6 +346,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     frequent = cut(
         hot.groupBy("dig", "n")
         .agg(F.count("*").alias("hot"))
+        .join(owners.select("dig", "end"), "dig")
         .withColumn("least", _least(n))
         .withColumn("share", F.col("hot") / _head_size(n))
     )
