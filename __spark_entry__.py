@@ -26,7 +26,8 @@ from shelfaudit.operators import (  # noqa: E402
 )
 from shelfaudit.plans import suite  # noqa: E402
 from shelfaudit.sources import fixtures as X  # noqa: E402
-from shelfaudit.sources.store import Workspace, publish, shared_folder, snapshot  # noqa: E402
+from shelfaudit.sources.tables import pricing_table, read_table  # noqa: E402
+from shelfaudit.sources.store import Workspace, publish, report_folder, snapshot  # noqa: E402
 
 # The corpus operators and their pipeline may be absent.
 try:
@@ -70,7 +71,7 @@ def _index_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _index_location(spark: SparkSession) -> tuple[str, str]:
     table = f"qc_index_{uuid.uuid4().hex}"
-    return table, f"{shared_folder(spark)}/{table}"
+    return table, report_folder(spark, table)
 
 
 def _published_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,21 +81,55 @@ def _published_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         return suite.published_index(index.index_report(summary), *_index_location(spark))
 
 
-def _qc_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reports = suite.run_qc_suite(
-        X.raw_pricing(spark, sf_dir),
-        X.pricing_prior(spark, sf_dir),
-        X.pricing_current(spark, sf_dir),
-        index_table=f"qc_index_{uuid.uuid4().hex}",
-        config=FOCUS,
-    )
-    return reports["index"]
+def _suite_report(name: str, title: str | None = None):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        reports = suite.run_qc_suite(
+            X.raw_pricing(spark, sf_dir),
+            X.pricing_prior(spark, sf_dir),
+            X.pricing_current(spark, sf_dir),
+            index_table=f"qc_index_{uuid.uuid4().hex}",
+            config=FOCUS,
+        )
+        return S.titled(reports[name], title) if title else reports[name]
+
+    return query
+
+
+def _snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with Workspace(spark) as run:
+        return snapshot(X.pricing_current(spark, sf_dir), run).checkpoint()
+
+
+def _load_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Back data of two catalog tables with a user's column names, in two databases,
+    whose units have four decimals."""
+    tables = []
+    for database, df in (
+        ("shelf_live", X.pricing_prior(spark, sf_dir)),
+        ("shelf_work", X.pricing_current(spark, sf_dir)),
+    ):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        factor = F.lit("1.01").cast("decimal(3,2)")
+        fine = df.withColumns({c: F.col(c) * factor for c in ("units", "market_units")})
+        name = f"spark_catalog.{database}.pricing_{uuid.uuid4().hex}"
+        fine.withColumnsRenamed(S.PRICING_SOURCE).write.saveAsTable(name)
+        tables.append(pricing_table(read_table(spark, name)))
+    return S.titled(back_data.back_data_check(*tables), "back_data")
+
+
+def _trend_of_ended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trend where one condition is unknown and one has ended."""
+    ended = (F.col("condition") == "R") & (F.col("time_period") >= "1998")
+    pricing = X.pricing_current(spark, sf_dir).filter(~ended)
+    unknown = F.when(F.col("condition") != "A", F.col("condition"))
+    report = index.index_report(pricing.withColumn("condition", unknown))
+    return trend.trend_check(report, TREND_TOLERANCE)
 
 
 def _strip_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overwrite a column of a table: publish a new version of all its rows."""
     table = f"codes_{uuid.uuid4().hex}"
-    location = f"{shared_folder(spark)}/{table}"
+    location = report_folder(spark, table)
     codes = X.codes(spark, sf_dir)
     before = publish(codes, table, location, codes.schema)
     after = hygiene.strip_chars(before, "original_upc", source="upc")
@@ -161,11 +196,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "kvi_index": _current(index.kvi_index),
         "index_report": _index_report,
         "published_index": _published_index,
-        "qc_suite": _qc_suite,
+        "qc_suite": _suite_report("index"),
+        "qc_suite_duplication": _suite_report("duplication", "duplication"),
+        "qc_suite_coverage": _suite_report("coverage", "coverage"),
+        "qc_suite_coverage_keys": _suite_report("coverage_keys"),
+        "qc_suite_coverage_differences": _suite_report("coverage_differences"),
+        "qc_suite_back_data": _suite_report("back_data", "back_data"),
+        "qc_suite_back_data_keys": _suite_report("back_data_keys"),
+        "qc_suite_counts": _suite_report("counts", "counts"),
+        "load_path_back_data": _load_path,
+        "trend_check_ended": _trend_of_ended,
         "trend_check": lambda spark, sf: trend.trend_check(
             index.index_report(X.pricing_current(spark, sf)), TREND_TOLERANCE
         ),
-        "snapshot": lambda spark, sf: snapshot(X.pricing_current(spark, sf), Workspace(spark)),
+        "snapshot": _snapshot,
         "char_profile": _codes(hygiene.char_profile, "original_upc"),
         "char_profile_nbsp": _codes(hygiene.char_profile, "upc", ALL_CHARACTERS),
         "char_profile_summary": _codes(hygiene.char_profile_summary, "upc", ALL_CHARACTERS),

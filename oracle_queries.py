@@ -345,7 +345,7 @@ def _metric_rows(side: str) -> str:
     )
 
 
-def _trend(metrics: list[str], tolerance: float) -> str:
+def _trend(metrics: list[str], tolerance: float, *pricing: str) -> str:
     frame = (
         "OVER (PARTITION BY condition ORDER BY period_date"
         " ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)"
@@ -364,21 +364,71 @@ def _trend(metrics: list[str], tolerance: float) -> str:
     report = _REPORT.replace("report AS", "unrounded AS", 1)
     store = _STORE.replace(f"round({_INDEX}, 4)", _INDEX)
     return (
-        _with(_BASE, _CURRENT, _COUNTS, store, _KVI, report)
+        _with(_BASE, *(pricing or (_CURRENT,)), _COUNTS, store, _KVI, report)
         + f""",
 dated AS (SELECT *, CAST(left(time_period, 10) AS DATE) AS period_date FROM unrounded),
 means AS (SELECT *, {means},
-            period_date = MAX(period_date) OVER (PARTITION BY condition) AS is_latest
+            period_date = MAX(period_date) OVER () AS is_latest,
+            MAX(period_date) OVER (PARTITION BY condition) < MAX(period_date) OVER ()
+              AS condition_ended
           FROM dated),
 diffs AS (SELECT *, {diffs} FROM means)
-SELECT period_date, time_period, condition, is_latest, {columns} FROM diffs"""
+SELECT period_date, time_period, condition, is_latest, condition_ended, {columns} FROM diffs"""
     )
 
 
 # ------------------------------------------------------------------ catalogue
 
 
+def _renamed(table: str, cte: str, columns: str, where: str = "TRUE") -> tuple[str, str]:
+    """A pricing table, and one of its old name derived from it."""
+    return cte.replace(f"{table} AS", f"{table}_all AS", 1), f"""
+{table} AS (SELECT * REPLACE ({columns}) FROM {table}_all WHERE {where})"""
+
+
+_ENDED = _renamed(
+    "pricing_current",
+    _CURRENT,
+    "NULLIF(condition, 'A') AS condition",
+    "NOT (condition = 'R' AND time_period >= '1998')",
+)
+_FINE = (
+    "CAST(units * 1.01 AS DECIMAL(22,4)) AS units,"
+    " CAST(market_units * 1.01 AS DECIMAL(22,4)) AS market_units"
+)
+
+
+def _fine_back_data() -> str:
+    ctes = []
+    for cte in _BACK_CTES:
+        for table in ("pricing_prior", "pricing_current"):
+            if cte.strip().startswith(f"{table} AS"):
+                ctes += _renamed(table, cte, _FINE)
+                break
+        else:
+            ctes.append(cte)
+    return _with(*ctes)
+
+
 def oracle_sql() -> dict[str, str]:
+    found = _library_sql()
+    suite = ("duplication", "coverage", "back_data")
+    found |= {f"qc_suite_{n}": found[f"{n}_check"] for n in suite}
+    found["qc_suite_coverage_differences"] = found["coverage_differences"]
+    found["qc_suite_back_data_keys"] = found["back_data_missing_keys"]
+    found["qc_suite_coverage_keys"] = (
+        "SELECT * FROM (" + found["coverage_missing_keys"]
+        + ") WHERE market_name IN ('ASIA', 'EUROPE')"
+    )
+    found["qc_suite_counts"] = found["period_counts"]
+    found["load_path_back_data"] = found["back_data_check"].replace(
+        _with(*_BACK_CTES), _fine_back_data(), 1
+    )
+    found["trend_check_ended"] = _trend(["store_index", "dollars", "units"], 0.05, *_ENDED)
+    return found
+
+
+def _library_sql() -> dict[str, str]:
     codes = _with(_CODES)
     current = _with(_BASE, _CURRENT)
     dirty = _with(_BASE, _CURRENT, _DIRTY)

@@ -51,7 +51,7 @@ class QcConfig:
     trend_tolerance: float | None = None
     waive: frozenset[str] = frozenset()
     on_zero: str = "raise"
-    date_formats: tuple[str, ...] = ("yyyy-MM-dd", "MM/dd/yyyy")
+    date_formats: tuple[str, ...] = ("yyyy-MM-dd", "M/d/yyyy")
     on_bad_date: str = "raise"
     collapse_labels: bool = False
 

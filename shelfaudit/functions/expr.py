@@ -17,7 +17,7 @@ from shelfaudit import schema as S
 def period_date(
     label: Column,
     side: str,
-    formats: Sequence[str] = ("yyyy-MM-dd", "MM/dd/yyyy"),
+    formats: Sequence[str] = ("yyyy-MM-dd", "M/d/yyyy"),
     on_bad_date: str = "raise",
 ) -> Column:
     """Date held in the first (``"left"``) or last (``"right"``) ten characters."""
@@ -58,15 +58,23 @@ def stability_flag(prior: Column, current: Column, diff: Column, tolerance: floa
     )
 
 
-def index_term(dollars: Column, volume: Column, units: Column, on_zero: str = "raise") -> Column:
-    """A row's share of the index numerator: its price ratio times its units,
-    in parts of 1/INDEX_SCALE."""
-    parts = 100 * ratio(dollars, volume, on_zero) * units.cast("double") * S.INDEX_SCALE
-    # Going through a bigint costs a third of turning a double into a decimal;
-    # the few values beyond its range take the long way.
-    return F.when(
-        F.abs(parts) < 9e18, parts.cast("bigint").cast(S.INDEX_TERM)
-    ).otherwise(parts.cast(S.INDEX_TERM))
+def index_terms(
+    dollars: Column, volume: Column, units: Column, on_zero: str = "raise"
+) -> tuple[Column, Column]:
+    """A row's share of the index numerator, its price ratio times its units, as
+    the nearest whole number and the rest to 20 places.
+
+    Decimals add up alike in any order. Sums of the whole numbers end the run
+    beyond 38 digits.
+    """
+    term = 100 * ratio(dollars, volume, on_zero) * units.cast("double")
+    whole = term.cast(S.INDEX_WHOLE)
+    return whole, (term - whole.cast("double")).cast(S.INDEX_REST)
+
+
+def index_sum(whole: Column, rest: Column) -> Column:
+    """The numerator, from the sums of its two parts."""
+    return whole.cast("double") + rest.cast("double")
 
 
 def index_units(volume: Column, units: Column, on_zero: str = "raise") -> Column:
@@ -78,13 +86,14 @@ def index_units(volume: Column, units: Column, on_zero: str = "raise") -> Column
 
 def index_value(terms: Column, units: Column, on_zero: str = "raise") -> Column:
     """The index, from the sums of its terms and of its units."""
-    return ratio(terms, units, on_zero) / S.INDEX_SCALE
+    return ratio(terms, units, on_zero)
 
 
 def price_index(dollars: Column, volume: Column, units: Column, on_zero: str = "raise") -> Column:
     """Units-weighted mean of 100 x dollars / price-weighted volume."""
+    whole, rest = index_terms(dollars, volume, units, on_zero)
     return index_value(
-        F.sum(index_term(dollars, volume, units, on_zero)),
+        index_sum(F.sum(whole), F.sum(rest)),
         F.sum(index_units(volume, units, on_zero)),
         on_zero,
     )

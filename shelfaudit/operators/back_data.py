@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfaudit.config import DEFAULT, QcConfig
-from shelfaudit.functions.expr import index_value, pct_difference, stability_flag
+from shelfaudit.functions.expr import index_sum, index_value, pct_difference, stability_flag
 from shelfaudit.operators.comparison import (
     differences,
     key_status,
@@ -31,7 +31,7 @@ def period_condition_metrics(
     """Index, volumes, items and markets per period and condition, as doubles."""
     summary = summary_of(pricing, config)
     needed = [
-        "units", "dollars", "market_units", "market_dollars", "index_term", "index_units",
+        "units", "dollars", "market_units", "market_dollars", "index_whole", "index_rest", "index_units",
     ]
     by_market = totals(summary.measures, [*KEYS, "market_name"], needed)
     item_counts = summary.items.groupBy(*KEYS).agg(F.count_distinct("upc").alias("item_count"))
@@ -46,7 +46,7 @@ def period_condition_metrics(
     )
     columns = {
         "index": index_value(
-            F.col("index_term"), F.col("index_units"), config.on_zero
+            index_sum(F.col("index_whole"), F.col("index_rest")), F.col("index_units"), config.on_zero
         ),
         "item_count": F.col("item_count"),
         "focus_dollars": F.col("dollars"),

@@ -119,14 +119,14 @@ def coverage_missing_keys(
     raw: DataFrame, template: DataFrame | Summary, config: QcConfig = DEFAULT
 ) -> DataFrame:
     """Market and date pairs of either table, which the inner join would hide."""
-    return key_status(*_sides(raw, template, config), KEYS)
+    return key_status(*[s.select(*KEYS).distinct() for s in _sides(raw, template, config)], KEYS)
 
 
-def unparsed_periods(df: DataFrame, side: str, config: QcConfig = DEFAULT) -> DataFrame:
+def unparsed_periods(
+    df: DataFrame | Summary, side: str, config: QcConfig = DEFAULT
+) -> DataFrame:
     """Labels in which no date can be read, with their row count."""
+    rows = F.sum("row_count") if isinstance(df, Summary) else F.count("*")
+    labels = df.measures if isinstance(df, Summary) else df
     date = period_date(F.col("time_period"), side, config.date_formats, "null")
-    return (
-        df.groupBy("time_period")
-        .agg(F.count("*").alias("row_count"))
-        .filter(date.isNull())
-    )
+    return labels.groupBy("time_period").agg(rows.alias("row_count")).filter(date.isNull())

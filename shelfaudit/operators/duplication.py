@@ -18,15 +18,28 @@ def _copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def duplication_check(df: DataFrame, keys: Sequence[str] = tuple(S.KEY)) -> DataFrame:
     """Distinct key combinations against all rows, from one shuffle."""
-    distinct, rows = F.col("distinct_combinations"), F.col("all_rows")
-    return (
-        _copies(df, keys)
-        .agg(
-            F.count("*").alias("distinct_combinations"),
-            F.coalesce(F.sum("copies"), F.lit(0)).alias("all_rows"),
-        )
-        .withColumn("duplication_flag", F.when(distinct == rows, S.PASS).otherwise(S.FAIL))
+    counts = _copies(df, keys).agg(
+        F.count("*").alias("distinct_combinations"),
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("all_rows"),
     )
+    return _flagged(counts)
+
+
+def duplication_of(duplicates: DataFrame, rows: DataFrame) -> DataFrame:
+    """The same report from a table's ``duplicate_keys`` and its row counts
+    (``row_count``, to be added up), without another pass over its keys."""
+    extra = duplicates.select((F.col("copies") - 1).alias("extra"), F.lit(0).alias("rows"))
+    both = extra.union(rows.select(F.lit(0), "row_count")).agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("all_rows"),
+        F.coalesce(F.sum("extra"), F.lit(0)).alias("extra"),
+    )
+    distinct = (F.col("all_rows") - F.col("extra")).alias("distinct_combinations")
+    return _flagged(both.select(distinct, "all_rows"))
+
+
+def _flagged(counts: DataFrame) -> DataFrame:
+    same = F.col("distinct_combinations") == F.col("all_rows")
+    return counts.withColumn("duplication_flag", F.when(same, S.PASS).otherwise(S.FAIL))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str] = tuple(S.KEY)) -> DataFrame:

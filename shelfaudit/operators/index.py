@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfaudit import schema as S
 from shelfaudit.config import DEFAULT, QcConfig
-from shelfaudit.functions.expr import index_value
+from shelfaudit.functions.expr import index_sum, index_value
 from shelfaudit.operators.summary import (
     DIMENSIONS,
     Summary,
@@ -57,8 +57,9 @@ def period_counts(pricing: DataFrame | Summary, config: QcConfig = DEFAULT) -> D
 
 
 def _index(config: QcConfig, keep=lambda c: c) -> Column:
-    terms, units = (F.sum(keep(F.col(c))) for c in ("index_term", "index_units"))
-    return index_value(terms, units, config.on_zero)
+    names = ("index_whole", "index_rest", "index_units")
+    whole, rest, units = (F.sum(keep(F.col(c))) for c in names)
+    return index_value(index_sum(whole, rest), units, config.on_zero)
 
 
 def _kvi_names() -> dict[str, str]:

@@ -25,14 +25,18 @@ def trend_check(
 
     No tolerance is implied by the data, so the caller names one. A flag is
     NULL while fewer than ``periods`` earlier values exist or the mean is 0.
-    ``is_latest`` marks the newest period of a condition. The windows run over
-    a finished report, whose groups hold one row per period.
+    ``is_latest`` marks the newest period of the report, ``condition_ended`` a
+    condition whose newest period is older. The windows run over a finished
+    report, which has one row per period and condition.
     """
     order = Window.partitionBy("condition").orderBy("period_date", "time_period")
     before = order.rowsBetween(-periods, -1)
     date = period_date(F.col("time_period"), "left", config.date_formats, config.on_bad_date)
     out = index.select(*KEYS, *metrics).withColumn("period_date", date)
-    out = out.withColumn("is_latest", F.lead("condition").over(order).isNull())
+    newest = F.max("period_date").over(Window.partitionBy())
+    own = F.max("period_date").over(Window.partitionBy("condition"))
+    out = out.withColumn("is_latest", F.coalesce(F.col("period_date") == newest, F.lit(False)))
+    out = out.withColumn("condition_ended", F.coalesce(own < newest, F.lit(False)))
     columns = []
     for m in metrics:
         seen = F.count(m).over(before)
@@ -45,4 +49,4 @@ def trend_check(
             .withColumn(f"{m}_flag", F.when(off, S.FAIL).when(~off, S.PASS))
         )
         columns += [m, f"{m}_mean", f"{m}_pct_diff", f"{m}_flag"]
-    return out.select("period_date", *KEYS, "is_latest", *columns)
+    return out.select("period_date", *KEYS, "is_latest", "condition_ended", *columns)

@@ -10,13 +10,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfaudit import schema as S
 from shelfaudit.config import DEFAULT, QcConfig
-from shelfaudit.operators.back_data import back_data_check
-from shelfaudit.operators.coverage import coverage_check
-from shelfaudit.operators.duplication import duplication_check
+from shelfaudit.operators.back_data import (
+    back_data_check,
+    back_data_differences,
+    back_data_missing_keys,
+)
+from shelfaudit.operators.coverage import (
+    coverage_check,
+    coverage_differences,
+    coverage_missing_keys,
+    unparsed_periods,
+)
+from shelfaudit.operators.duplication import duplicate_keys, duplication_of
 from shelfaudit.operators.index import index_report, period_counts
 from shelfaudit.operators.summary import Summary, items, slices
 from shelfaudit.operators.trend import trend_check
-from shelfaudit.sources.store import Workspace, publish, shared_folder, snapshot
+from shelfaudit.sources.store import Workspace, publish, report_folder, shared_folder, snapshot
 
 
 def _together(spark: SparkSession, *jobs: Callable) -> list:
@@ -54,44 +63,82 @@ def run_qc_suite(
     config: QcConfig = DEFAULT,
     folder: str | None = None,
     freeze: bool = True,
+    index_location: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Run every check on one version of ``template`` and publish the index.
+    """Run every check on one version of each table and publish the index.
 
-    The template is read once to freeze it, and the frozen copy three times:
-    for its keys, its slices and its items. All reports but duplication then
-    come from the two summaries. ``freeze=False`` skips the copy for a table
-    that cannot change during the run.
+    All three tables are read once to freeze them. Of the frozen template the
+    keys, slices and items are read, of the frozen prior table the slices and
+    items; the reports then come from these summaries. ``freeze=False`` skips the
+    copies for tables that cannot change during the run.
 
-    Reports are stored under ``folder`` before the run's tables are dropped.
+    Next to the checks come what their inner joins and flags hide: the status of
+    every key, keys that occur twice, absolute and unknown differences, and
+    labels without a readable date.
+
+    Reports are stored under ``folder``, the session's shared folder unless named,
+    before the run's tables are dropped. The published index is kept in
+    ``index_location``; unless named, below a ``folder`` that was, or else in the
+    warehouse.
     """
     spark = template.sparkSession
+    if index_location is None:
+        index_location = f"{folder}/{index_table}" if folder else report_folder(spark, index_table)
     folder = (folder or shared_folder(spark)).rstrip("/")
     reports = Workspace(spark, f"{folder}/reports")
     with Workspace(spark, folder) as run:
         pricing = template.select(*S.PRICING.fieldNames())
+        published = prior.select(*S.PRICING.fieldNames())
+        feed = raw.select(*S.RAW_PRICING.fieldNames())
         if freeze:
-            pricing = snapshot(pricing, run)
-        duplication, current = _together(
+            pricing, published, feed = _together(
+                spark,
+                lambda: snapshot(pricing, run, "template"),
+                lambda: snapshot(published, run, "prior"),
+                lambda: snapshot(feed, run, "raw"),
+            )
+        keys, current, before = _together(
             spark,
-            lambda: reports.write(duplication_check(pricing), "duplication"),
+            lambda: reports.write(duplicate_keys(pricing), "duplicate_keys"),
             lambda: stored_summary(pricing, run, "current", config),
+            lambda: stored_summary(published, run, "prior_summary", config),
         )
-        coverage, back_data, counts = _together(
-            spark,
-            lambda: reports.write(coverage_check(raw, current, config), "coverage"),
-            lambda: reports.write(back_data_check(prior, current, config), "back_data"),
-            lambda: reports.write(period_counts(current, config), "counts"),
+        plans = {
+            "duplication": duplication_of(keys, current.measures),
+            "coverage": coverage_check(feed, current, config),
+            "coverage_keys": coverage_missing_keys(feed, current, config),
+            "coverage_differences": coverage_differences(feed, current, config),
+            "back_data": back_data_check(before, current, config),
+            "back_data_keys": back_data_missing_keys(before, current),
+            "back_data_differences": back_data_differences(before, current, config),
+            "counts": period_counts(current, config),
+            "unparsed_raw": unparsed_periods(feed, "right", config),
+            "unparsed_template": unparsed_periods(current, "left", config),
+        }
+        stored = dict(
+            zip(
+                plans,
+                _together(
+                    spark, *[lambda n=n, p=p: reports.write(p, n) for n, p in plans.items()]
+                ),
+                strict=True,
+            )
         )
+        counts = stored["counts"]
         report = index_report(current, config, counts)
-        index = published_index(report, index_table, f"{folder}/{index_table}")
+        index = published_index(report, index_table, index_location)
         if config.trend_tolerance is not None:
             trend = trend_check(report, config.trend_tolerance, config=config)
             trend = reports.write(trend, "trend").orderBy("period_date", "condition")
-    results = {
-        "duplication": duplication,
-        "coverage": coverage.orderBy("period_date", "market_name"),
-        "back_data": back_data.orderBy("time_period", "condition"),
-        "counts": counts.orderBy("time_period"),
-        "index": index,
+    order = {
+        "coverage": ["period_date", "market_name"],
+        "coverage_keys": ["period_date", "market_name"],
+        "coverage_differences": ["period_date", "market_name"],
+        "back_data": ["time_period", "condition"],
+        "back_data_keys": ["time_period", "condition"],
+        "back_data_differences": ["time_period", "condition"],
+        "counts": ["time_period"],
     }
+    results = {n: df.orderBy(*order[n]) if n in order else df for n, df in stored.items()}
+    results |= {"duplicate_keys": keys, "index": index}
     return results if config.trend_tolerance is None else {**results, "trend": trend}

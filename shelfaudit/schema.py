@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 2)
-# A row's share of the index numerator is kept as a whole number of 1/INDEX_SCALE
-# parts, so that sums do not depend on the order in which partitions arrive.
-INDEX_TERM = T.DecimalType(28, 0)
-INDEX_SCALE = 1e8
+# A row's share of the index numerator is kept as the nearest whole number and
+# the rest, so that sums do not depend on the order in which partitions arrive.
+INDEX_WHOLE = T.DecimalType(38, 0)
+INDEX_REST = T.DecimalType(21, 20)
 
 PASS = "PASS"
 FAIL = "FAIL"

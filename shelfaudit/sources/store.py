@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -13,16 +12,29 @@ _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as the session names it.
-
-    Only a local session may go without; it gets a temporary folder.
-    """
+    """The folder all executors share, as the session names it."""
     folder = spark.conf.get(_CHECKPOINT_DIR, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise ValueError(f"set {_CHECKPOINT_DIR} to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="shelfaudit-")
+    return folder.rstrip("/")
+
+
+def report_folder(spark: SparkSession, table: str) -> str:
+    """Where a table that outlives the run is kept unless the caller names a place:
+    a folder of its own in the warehouse."""
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table}"
+
+
+def _quoted(table: str) -> str:
+    """A one- to three-part name for SQL, whatever characters its parts hold."""
+    return table if "`" in table else ".".join(f"`{part}`" for part in table.split("."))
+
+
+def _files(spark: SparkSession, folder: str):
+    """The folder in Hadoop's file API, which PySpark offers only through the JVM;
+    dropping folders therefore needs a classic session, not Spark Connect."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 class Workspace:
@@ -44,8 +56,8 @@ class Workspace:
         return self.spark.read.schema(df.schema).parquet(target)
 
     def drop(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        path, files = _files(self.spark, self.path)
+        files.delete(path, True)
 
     def __enter__(self) -> Workspace:
         return self
@@ -65,7 +77,8 @@ def publish(df: DataFrame, table: str, location: str, schema: T.StructType) -> D
 
     Every call writes a new folder below ``location``, checks it, and only
     then points the table at it. Readers see the old report or the new one,
-    and a failure part-way leaves the old one in place. Older folders stay.
+    and a failure part-way leaves the old one in place. Older folders stay until
+    ``drop_old_versions``. The table's catalog must be able to move a table.
     """
     spark = df.sparkSession
     target = f"{location.rstrip('/')}/version-{uuid.uuid4().hex}"
@@ -75,6 +88,7 @@ def publish(df: DataFrame, table: str, location: str, schema: T.StructType) -> D
     stored = spark.read.schema(schema).parquet(target).count()
     if stored != sent.get["rows"]:
         raise RuntimeError(f"{target} holds {stored} rows, {sent.get['rows']} were written")
+    table = _quoted(table)
     if spark.catalog.tableExists(table):
         declared = [(f.name, f.dataType) for f in spark.table(table).schema]
         if declared != [(f.name, f.dataType) for f in schema]:
@@ -85,3 +99,14 @@ def publish(df: DataFrame, table: str, location: str, schema: T.StructType) -> D
         spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{target}'")
     spark.catalog.refreshTable(table)
     return spark.table(table)
+
+
+def drop_old_versions(spark: SparkSession, location: str, keep: int = 1) -> int:
+    """Delete all but the newest ``keep`` versions below a published table's
+    location, and return how many went. Call it when no reader is left on them."""
+    path, files = _files(spark, location)
+    found = [x for x in files.listStatus(path) if x.getPath().getName().startswith("version-")]
+    found.sort(key=lambda x: x.getModificationTime(), reverse=True)
+    for old in found[max(1, keep) :]:
+        files.delete(old.getPath(), True)
+    return len(found[max(1, keep) :])

@@ -154,3 +154,15 @@ def test_index_sum_does_not_depend_on_row_order(spark):
 def test_index_value_of_nothing_is_null(spark):
     none = F.lit(None).cast("decimal(28,0)")
     assert _one(spark, index_value(none, none)) is None
+
+
+def test_price_index_of_fine_and_extreme_values(spark):
+    assert _index(spark, [("1", "3", "0.01")]) == pytest.approx(100 / 3, rel=1e-12)
+    schema = "d double, p double, u double"
+    columns = [F.col(c) for c in "dpu"]
+
+    def of(*row):
+        return spark.createDataFrame([row], schema).agg(price_index(*columns).alias("v")).first().v
+
+    assert of(1e-9, 1.0, 1.0) == pytest.approx(1e-7, rel=1e-12)
+    assert of(1e17, 1.0, 1e17) == pytest.approx(1e19, rel=1e-12)

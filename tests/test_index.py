@@ -140,3 +140,18 @@ def test_trend_is_per_condition_and_sorts_by_date(spark):
 def test_trend_of_nothing_but_zeros(spark):
     rows = trend.trend_check(_report(spark, [0.0, 5.0]), 0.1, ["store_index"], 1).collect()
     assert [r.store_index_flag for r in rows] == [None, None]
+
+
+def test_latest_is_that_of_the_report(spark):
+    rows = [("2019-01-01", None, 1.0), ("2020-01-01", None, 1.0), ("2015-01-01", "B", 1.0)]
+    rows += [("2020-01-01", "C", 1.0), ("01/01/2020", "C", 1.0)]
+    df = spark.createDataFrame(rows, "time_period string, condition string, store_index double")
+    out = trend.trend_check(df, 0.1, ["store_index"], 1).collect()
+    latest = {(r.time_period, r.condition): (r.is_latest, r.condition_ended) for r in out}
+    assert latest == {
+        ("2019-01-01", None): (False, False),
+        ("2020-01-01", None): (True, False),
+        ("2015-01-01", "B"): (False, True),
+        ("2020-01-01", "C"): (True, False),
+        ("01/01/2020", "C"): (True, False),
+    }

@@ -105,13 +105,13 @@ def test_strip_moves_no_row(tables):
 
 
 def test_suite_scans_the_template_three_times(spark, tables, tmp_path, monkeypatch):
-    """Key check, slices and items; every other report reads the summaries."""
+    """Keys, slices and items; every other report reads what these stored."""
     seen = []
     write = suite.Workspace.write
 
     def spy(self, df, name):
         files = _plan(df)
-        seen.append((name, len(re.findall(r"FileScan parquet .*?/snapshot\b", files))))
+        seen.append((name, len(re.findall(r"FileScan parquet .*?/template\b", files))))
         return write(self, df, name)
 
     monkeypatch.setattr(suite.Workspace, "write", spy)
@@ -120,7 +120,7 @@ def test_suite_scans_the_template_three_times(spark, tables, tmp_path, monkeypat
         "qc_scan_count", folder=str(tmp_path),
     )
     scans = {name: n for name, n in seen if n}
-    assert scans == {"current_slices": 1, "current_items": 1, "duplication": 1}
+    assert scans == {"current_slices": 1, "current_items": 1, "duplicate_keys": 1}
 
 
 def test_reports_have_titles_for_every_column(tables):

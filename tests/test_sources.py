@@ -2,12 +2,16 @@ from __future__ import annotations
 
 import os
 import uuid
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from shelfaudit import schema as S
 from shelfaudit.config import QcConfig
+from shelfaudit.operators.back_data import back_data_check
+from shelfaudit.operators.coverage import raw_volume
 from shelfaudit.operators.index import index_report
 from shelfaudit.plans import suite
 from shelfaudit.sources import store
@@ -133,7 +137,13 @@ def _inputs(raw, pricing):
 def test_suite_reports(spark, raw, pricing, tmp_path):
     folder, table = str(tmp_path), _table()
     reports = suite.run_qc_suite(*_inputs(raw, pricing), table, folder=folder)
-    assert set(reports) == {"duplication", "coverage", "back_data", "counts", "index"}
+    assert set(reports) == {
+        *("duplication", "duplicate_keys", "counts", "index", "unparsed_raw", "unparsed_template"),
+        *("coverage", "coverage_keys", "coverage_differences"),
+        *("back_data", "back_data_keys", "back_data_differences"),
+    }
+    assert reports["duplicate_keys"].first().copies == 2
+    assert reports["coverage_keys"].first().key_status == "both"
     assert reports["duplication"].first().duplication_flag == "FAIL"
     assert reports["coverage"].first().item_count_pct_diff == 2.0
     assert reports["back_data"].first().item_count_flag == "FAIL"
@@ -203,3 +213,53 @@ def test_suite_on_collated_tables(spark, raw, pricing, tmp_path):
     assert (row.prior_markets, row.current_markets, row.current_item_count) == (1.0, 1.0, 2.0)
     assert reports["coverage"].first().template_item_count == 2.0
     assert reports["index"].first()["Count of Markets"] == 1.0
+
+
+# ------------------------------------------------- scale of measures on load
+
+
+def _typed(pricing, kind, **values):
+    df = pricing({}).withColumns({n: F.lit(v).cast(kind) for n, v in values.items()})
+    return df.withColumnsRenamed(S.PRICING_SOURCE)
+
+
+def test_measures_keep_their_scale(raw, pricing):
+    feed = raw({}).withColumn("units", F.lit("10.004").cast("decimal(18,4)"))
+    feed = feed.withColumn("comp_units", F.lit("1").cast("decimal(18,4)"))
+    loaded = raw_pricing_table(feed.withColumnsRenamed(S.RAW_PRICING_SOURCE))
+    assert raw_volume(loaded).count() == 1  # 10.004 is more than 10
+    old = _typed(pricing, "decimal(18,4)", dollars="1.0000", price_weighted_volume="0.0040")
+    new = _typed(pricing, "decimal(18,4)", dollars="1.0040", price_weighted_volume="0.0040")
+    row = back_data_check(pricing_table(old), pricing_table(new)).first().asDict()
+    assert (row["focus_dollars_flag"], row["focus_dollars_pct_diff"]) == ("INVESTIGATE", 0.004)
+
+
+@pytest.mark.parametrize(("kind", "value"), [("string", "1.004"), ("double", "1.004")])
+def test_a_lossy_load_ends_the_run(pricing, kind, value):
+    with pytest.raises(Exception, match="rounds"):
+        pricing_table(_typed(pricing, kind, dollars=value)).collect()
+    fine = pricing_table(_typed(pricing, kind, dollars=value), measure=DecimalType(18, 4))
+    assert str(fine.first().dollars) == "1.0040"
+    assert str(pricing_table(_typed(pricing, kind, dollars="1.25")).first().dollars) == "1.25"
+
+
+# ------------------------------------------------------------------- locations
+
+
+def test_a_shared_folder_must_be_named():
+    unset = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(ValueError, match="set spark.checkpoint.dir"):
+        store.shared_folder(unset)
+
+
+def test_three_part_names_and_retention(spark, pricing, tmp_path):
+    database, place = f"d{uuid.uuid4().hex}", str(tmp_path / "t")
+    spark.sql(f"CREATE DATABASE {database}")
+    table = f"spark_catalog.{database}.qc_index"
+    for condition in "ABC":
+        df = pricing({"condition": condition})
+        out = store.publish(df, table, place, df.schema)
+    assert [r.condition for r in out.collect()] == ["C"]
+    assert store.drop_old_versions(spark, place) == 2
+    assert [r.condition for r in out.collect()] == ["C"]
+    assert len(os.listdir(place)) == 1
