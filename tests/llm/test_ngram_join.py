@@ -5,35 +5,7 @@ from __future__ import annotations
 import random
 
 from shelfaudit.llm import ngram_join
-
-
-def _shingles(text):
-    words = [
-        bytes(c + 32 if 65 <= c <= 90 else c for c in w) for w in (text or "").encode().split()
-    ]
-    if len(words) < 5:
-        return frozenset([tuple(words)] if words else [])
-    return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4))
-
-
-def brute_force(rows):
-    sets = {i: _shingles(t) for i, t in rows}
-    parent = {i: i for i in sets}
-
-    def root(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-
-    ids = sorted(sets)
-    for x, i in enumerate(ids):
-        for j in ids[:x]:
-            common = len(sets[i] & sets[j])
-            union = len(sets[i] | sets[j])
-            if common and 100 * common >= 80 * union:
-                a, b = sorted((root(i), root(j)))
-                parent[b] = a
-    return {(i, len(sets[i]), root(i)) for i in ids}
+from tests_llm_brute import brute_force
 
 
 def _texts(seed=3):
