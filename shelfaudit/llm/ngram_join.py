@@ -12,16 +12,14 @@ more. Two ways find every such pair:
    many documents added, can reach the bound.
 2. Pairs that share tokens of many documents only. Then both have as many of
    these as the bound asks for, which holds for members of large families of
-   near copies and for texts that are mostly a common passage. These first try a
-   leader each, the document of a token that consists of frequent tokens most,
-   and so fall into groups (components) of similar documents. The token-group
-   matrix then has, for each frequent token and size band, the groups whose union
-   of tokens holds it. It bounds the overlap of a document with every group, and
-   only groups that reach the bound are opened and compared member by member.
+   near copies and for texts that are to a good part a common passage. These
+   first try a leader each, the document of a token that consists of frequent
+   tokens most, and so fall into groups of similar documents. The token-group
+   matrix (token_groups.py) finds the links between groups on whole sets.
 
 Pairs that pass are verified on the whole sets, and components are taken over
-the links. Members of one group are never compared with each other again, so a
-family of n near copies costs n comparisons and not n squared.
+the links. Members of one component are never compared with each other again, so
+a family of n near copies costs n comparisons and not n squared.
 
 Defined results: texts without words and null texts have no shingles and are
 alone; fewer than five words are one shingle of all of them; repeated rows and
@@ -42,10 +40,10 @@ from . import tokens
 from .common import cut, documents
 from .components import components
 from .repeats import LAST_ID, Batches, packed, unpacked_runs
+from .token_groups import group_links
 
 WIDTH = 5
 FREQUENT = 16  # a token of more documents goes by the token-group matrix
-BAND = 1.05  # the ratio of sizes in a band
 
 EMPTY = np.empty(0, np.int64)
 
@@ -200,91 +198,40 @@ def _leaders(hot: DataFrame, heavy: DataFrame) -> DataFrame:
     return best.select(F.col("dig").alias("a"), "best.b", F.col("n").alias("na"), "best.nb")
 
 
-def _band(n: Column) -> Column:
-    return F.floor(F.log(n.cast("double")) / F.log(F.lit(BAND))).cast("int")
-
-
 def _least(n: Column) -> Column:
     """Shingles that the head of z, of size n, shares with any linked set's head."""
     return F.greatest(F.lit(1), _head_size(n) - F.floor(n / 5))
 
 
-def _open_groups(hot: DataFrame, frequent: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs of a document of mostly frequent tokens with a member of another
-    group, if the document's overlap with the group's tokens reaches its bound."""
+def _linkable(frequent: DataFrame) -> DataFrame:
+    """dig, n of the documents that can have a link of frequent tokens alone."""
     n = F.col("n")
     # A partner has in its head what z shares; a larger z shares less.
     partner = F.col("hot") >= _bound(F.floor(n * 5 / 4), n)
-    use = frequent.select(
-        "dig", "hot", "end", (F.col("hot") >= F.col("least")).alias("asks"), partner.alias("partner")
-    ).filter("asks OR partner")
-    use = use.join(groups, F.col("dig") == groups.node, "left").withColumn(
-        "g", F.coalesce("component", "dig")
-    )
-    rows = cut(
-        hot.join(use, "dig").select(
-            "token", "dig", "n", "hot", "end", "asks", "partner", "g", _band(n).alias("band")
-        )
-    )
-    members = rows.filter("partner").select(
-        "token",
-        "band",
-        F.col("g").alias("other"),
-        F.col("dig").alias("b"),
-        F.col("n").alias("nb"),
-        F.col("end").alias("end_b"),
-    )
-    matrix = members.groupBy("token", "band", "other").agg(F.max("end_b").alias("end_b"))
-    # The bound rises with the partner's size: each size band has its own.
-    smallest = F.greatest(F.ceil(F.pow(F.lit(BAND), F.col("to")) - 1e-6), F.ceil(n * 4 / 5))
-    asking = (
-        rows.filter("asks")
+    return frequent.filter((F.col("hot") >= F.col("least")) | partner).select("dig", "n")
+
+
+def _members(linkable: DataFrame, leaders: DataFrame, groups: DataFrame) -> DataFrame:
+    """key, solo, label, dig, n: those of one component, or of one leader, have one key."""
+    own = groups.select(F.col("node").alias("dig"), F.col("component").alias("own"))
+    led = leaders.select(F.col("a").alias("dig"), F.col("b").alias("leader"))
+    of_leader = groups.select(F.col("node").alias("leader"), F.col("component").alias("led"))
+    return (
+        linkable.join(own, "dig", "left")
+        .join(led, "dig", "left")
+        .join(of_leader, "leader", "left")
         .select(
-            "token",
+            F.coalesce("own", "led", "leader", "dig").alias("key"),
+            F.isnull("own").alias("solo"),
+            F.coalesce("own", "dig").alias("label"),
             "dig",
             "n",
-            "hot",
-            "end",
-            "g",
-            F.explode(F.sequence(_band(F.ceil(n * 4 / 5)), _band(F.floor(n * 5 / 4)))).alias("to"),
         )
-        .withColumn("need", _bound(n, smallest))
-        .filter("hot >= need")
-        .withColumnRenamed("to", "band")
-    )
-    qualify = cut(
-        asking.join(matrix, ["token", "band"])
-        .filter("g <> other AND end <= end_b")
-        .groupBy("dig", "n", "end", "other", "band", "need")
-        .agg(F.count("*").alias("shared"))
-        .filter("shared >= need")
-    )
-    # A group of one has been compared by now; larger ones are opened.
-    size = members.select("other", "band", "b", "nb", "end_b").distinct()
-    alone = size.groupBy("other", "band").agg(
-        F.count("*").alias("size"), F.min("b").alias("b"), F.min("nb").alias("nb")
-    )
-    known = qualify.join(alone, ["other", "band"])
-    single = known.filter("size = 1").select(
-        F.col("dig").alias("a"), "b", F.col("n").alias("na"), "nb", "shared"
-    )
-    opened = (
-        asking.select("token", "dig", "band")
-        .join(known.filter("size > 1").select("dig", "n", "end", "other", "band"), ["dig", "band"])
-        .join(members, ["token", "other", "band"])
-        .filter(_sizes_link(F.col("n"), F.col("nb")) & (F.col("end") <= F.col("end_b")))
-        .groupBy(F.col("dig").alias("a"), "b", F.col("n").alias("na"), "nb")
-        .agg(F.count("*").alias("shared"))
-    )
-    found = single.union(opened).filter(_sizes_link(F.col("na"), F.col("nb")))
-    return found.filter(F.col("shared") >= _bound(F.col("na"), F.col("nb"))).select(
-        "a", "b", "na", "nb"
     )
 
 
-def _sets_of(docs: DataFrame, owners: DataFrame, pairs: DataFrame) -> DataFrame:
-    """dig, shingles of the sets in `pairs`, from the text of one owner each."""
-    wanted = pairs.select(F.col("a").alias("dig")).union(pairs.select("b")).distinct()
+def _sets_of(docs: DataFrame, owners: DataFrame, wanted: DataFrame) -> DataFrame:
+    """dig, shingles of the sets in `wanted` (dig), from the text of one owner each."""
     blobs = packed(docs, ["id"]).join(owners.select("dig", "id").join(wanted, "dig"), "id")
 
     def emit(batches: Batches) -> Batches:
@@ -302,9 +249,8 @@ def _sets_of(docs: DataFrame, owners: DataFrame, pairs: DataFrame) -> DataFrame:
     return found.dropDuplicates(["dig"])
 
 
-def _links(docs: DataFrame, owners: DataFrame, pairs: DataFrame) -> DataFrame:
+def _links(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs whose sets have 80 of 100 parts in common."""
-    sets = cut(_sets_of(docs, owners, pairs))
 
     def verify(batches: Batches) -> Batches:
         for batch in batches:
@@ -364,12 +310,18 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         .filter(F.col("shared") + F.least("ha", "hb") >= least)
         .select("a", "b", "na", "nb")
     )
-    pairs = cut(sharing.union(_leaders(hot, heavy)).distinct())
-    links = _links(rows, owners, pairs)
+    leaders = cut(_leaders(hot, heavy))
+    pairs = cut(sharing.union(leaders).distinct())
+    linkable = cut(_linkable(frequent))
+    wanted = pairs.select(F.col("a").alias("dig")).union(pairs.select("b"))
+    wanted = wanted.union(linkable.select("dig")).distinct()
+    sets = cut(_sets_of(rows, owners, wanted))
+    links = _links(sets, pairs)
     groups = components(links)
-    more = cut(_open_groups(hot, frequent, groups).join(pairs, ["a", "b"], "left_anti"))
+    members = cut(_members(linkable, leaders, groups))
+    more = cut(group_links(members.join(sets, "dig")))
     if not more.isEmpty():
-        groups = components(links.union(_links(rows, owners, more)))
+        groups = components(links.union(more))
     named = whole.join(groups, whole.dig == groups.node, "left").select(
         "id",
         "n",
