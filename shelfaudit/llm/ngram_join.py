@@ -312,7 +312,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     )
     leaders = cut(_leaders(hot, heavy))
     pairs = cut(sharing.union(leaders).distinct())
-    linkable = cut(_linkable(frequent))
+    linkable = _linkable(frequent)
     wanted = pairs.select(F.col("a").alias("dig")).union(pairs.select("b"))
     wanted = wanted.union(linkable.select("dig")).distinct()
     sets = cut(_sets_of(rows, owners, wanted))
@@ -320,8 +320,13 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     groups = components(links)
     members = cut(_members(linkable, leaders, groups))
     more = cut(group_links(members.join(sets, "dig")))
-    if not more.isEmpty():
-        groups = components(links.union(more))
+    if not more.isEmpty():  # links of components
+        joined = components(more).toDF("component", "least")
+        alone = joined.join(groups, joined.component == groups.node, "left_anti")
+        groups = groups.join(joined, "component", "left").select(
+            "node", F.coalesce("least", "component").alias("component")
+        )
+        groups = groups.union(alone)
     named = whole.join(groups, whole.dig == groups.node, "left").select(
         "id",
         "n",

@@ -1,18 +1,19 @@
 """The token-group matrix of the n-gram Jaccard join.
 
 Documents (sets of 64-bit tokens) that are known to be similar, or that chose the
-same leader, are put side by side and cut into blocks of bounded size. A block is
-of one component, or of documents that have no link yet; a component with all its
-blocks, and a block of the latter kind, is a group. Each block stores the union of
-its members' tokens.
+same leader, are put side by side and cut into blocks of bounded size. A group is
+a block, or all blocks that hold only one and the same component. Each block
+stores the union of its members' tokens.
 
 Two sets of 80 of 100 parts in common share one of the rarest tokens of each: of
 any fixed order of tokens, of the first n - ceil(0.8 n) + 1 of both. So the matrix
 holds, for each token that is among those of some member, the groups. A block is
 held against the groups that share a token with it, block by block: the overlap of
 each member with the union of the other block bounds what it can share, members
-below the bound go, and the rest are compared. Members of one component are never
-compared, and of the links between two components of two blocks one is given.
+below the bound go, and the rest are compared. Members of which less than 80 of
+100 tokens are in any other block stay out of this. Members of one component are
+never compared, and of the links between components of two blocks only as many
+are given as join the same components.
 """
 
 from __future__ import annotations
@@ -21,56 +22,61 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
 from .repeats import Batches
 
-BLOCK_MEMBERS = 256
-BLOCK_TOKENS = 50_000  # a set that alone is larger is a block of its own
+BLOCK_MEMBERS = 1024
+BLOCK_TOKENS = 200_000  # a set that alone is larger is a block of its own
 CHUNK = 4096  # tokens compared at once
-
-BLOCKS = (
-    "block long, unit long, solo boolean, lo long, hi long, "
-    "labels array<long>, ends array<int>, tokens array<long>"
-)
-
-
-def _block(rows: list[tuple[int, bool, int, int, np.ndarray]]) -> pa.RecordBatch:
-    """One block of rows (key, solo, label, dig, tokens)."""
-    sizes = [len(r[4]) for r in rows]
-    solo, label, first = rows[0][1], rows[0][2], rows[0][3]
-    columns = [
-        pa.array([first], pa.int64()),
-        pa.array([first if solo else label], pa.int64()),
-        pa.array([solo]),
-        pa.array([min(sizes)], pa.int64()),
-        pa.array([max(sizes)], pa.int64()),
-        pa.array([[r[2] for r in rows]], pa.list_(pa.int64())),
-        pa.array([np.cumsum(sizes).astype(np.int32)], pa.list_(pa.int32())),
-        pa.array([np.concatenate([r[4] for r in rows])], pa.list_(pa.int64())),
-    ]
-    return pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in BLOCKS.split(", ")])
+COMPONENT = np.int64(0x5DEECE66D)  # tells a component from the block of its first member
+
+MEMBERS = "labels array<long>, sizes array<int>, ends array<int>, tokens array<long>"
+BLOCKS = f"block long, unit long, mixed boolean, {MEMBERS}"
+
+
+def _one(schema: str, *values) -> pa.RecordBatch:
+    """A batch of one row; arrays are its lists."""
+    kinds = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
+    names, columns = [], []
+    for field, value in zip(schema.split(", "), values, strict=True):
+        name, kind = field.split()
+        if kind.startswith("array"):
+            flat = pa.array(value, kinds[kind[6:-1]])
+            columns.append(pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat))
+        else:
+            columns.append(pa.array([value], kinds[kind]))
+        names.append(name)
+    return pa.RecordBatch.from_arrays(columns, names)
+
+
+def _block(rows: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
+    """One block of rows (label, dig, tokens). Its unit is the group it is of."""
+    labels = np.array([r[0] for r in rows], np.int64)
+    sizes = np.array([len(r[2]) for r in rows], np.int32)
+    mixed = bool((labels != labels[0]).any())
+    # A lone document is a component too, so its block can only meet others.
+    unit = rows[0][1] if mixed else int(labels[0] ^ COMPONENT)
+    tokens = np.concatenate([r[2] for r in rows])
+    ends = np.cumsum(sizes, dtype=np.int32)
+    return _one(BLOCKS, rows[0][1], unit, mixed, labels, sizes, ends, tokens)
 
 
 def _into_blocks(batches: Batches) -> Batches:
-    """Reads (key, solo, label, dig, tokens) in order."""
-    held: list[tuple[int, bool, int, int, np.ndarray]] = []
+    """Reads (label, dig, tokens) in order."""
+    held: list[tuple[int, int, np.ndarray]] = []
     total = 0
     for batch in batches:
-        key, solo, label, dig = (batch.column(i).to_pylist() for i in range(4))
-        for i, s in enumerate(batch.column(4)):
-            row = (key[i], solo[i], label[i], dig[i], s.values.to_numpy())
-            if held:
-                other = held[-1]
-                apart = row[:2] != other[:2] or not (solo[i] or label[i] == other[2])
-                full = len(held) >= BLOCK_MEMBERS or total + len(row[4]) > BLOCK_TOKENS
-                if apart or full:
-                    yield _block(held)
-                    held, total = [], 0
-            held.append(row)
-            total += len(row[4])
+        label, dig = (batch.column(i).to_pylist() for i in range(2))
+        for i, s in enumerate(batch.column(2)):
+            tokens = s.values.to_numpy()
+            if held and (len(held) >= BLOCK_MEMBERS or total + len(tokens) > BLOCK_TOKENS):
+                yield _block(held)
+                held, total = [], 0
+            held.append((label[i], dig[i], tokens))
+            total += len(tokens)
     if held:
         yield _block(held)
 
@@ -85,45 +91,56 @@ def _unions(batches: Batches) -> Batches:
             )
 
 
-PREFIXES = "token long, block long, unit long, lo long, hi long"
+TRIMMED = f"block long, unit long, lo long, hi long, {MEMBERS}, prefix array<long>"
 
 
-def _prefixes(batches: Batches) -> Batches:
-    """Reads block, unit, lo, hi, ends, tokens, and the tokens that other blocks have
-    with their frequencies. Tokens of no other block come first in the order."""
+def _trim(batches: Batches) -> Batches:
+    """Reads block, unit, MEMBERS, and the tokens that other blocks have with their
+    frequencies. Gives the members that can link with other blocks, their tokens
+    that others have, and the prefix tokens. Tokens of no other block come first
+    in the order."""
     for batch in batches:
-        fixed = [batch.column(i).to_numpy() for i in range(4)]
         for i in range(batch.num_rows):
-            ends = batch.column(4)[i].values.to_numpy()
-            token = batch.column(5)[i].values.to_numpy()
-            known = batch.column(6)[i].values.to_numpy()
+            block, unit = (batch.column(c)[i].as_py() for c in range(2))
+            labels, sizes, _, token, known, often = (
+                batch.column(c)[i].values.to_numpy() for c in range(2, 8)
+            )
             order = np.argsort(known)
-            known, often = known[order], batch.column(7)[i].values.to_numpy()[order]
+            known, often = known[order], often[order]
             at = np.searchsorted(known, token)
             at[at == len(known)] = 0
             frequency = np.where(known[at] == token, often[at], 0)
-            sizes = np.diff(np.append(0, ends))
-            member = np.repeat(np.arange(len(ends)), sizes)
+            sizes = sizes.astype(np.int64)
+            member = np.repeat(np.arange(len(sizes)), sizes)
             by = np.lexsort((token, frequency, member))
-            place = np.arange(len(token)) - np.repeat(ends - sizes, sizes)
+            start = np.cumsum(sizes) - sizes
+            place = np.arange(len(token)) - np.repeat(start, sizes)
             first = place < np.repeat(sizes - -(-4 * sizes // 5) + 1, sizes)
-            chosen = by[first]
-            found = np.unique(token[chosen[frequency[chosen] > 0]])
-            if len(found):
-                rest = [np.full(len(found), c[i]) for c in fixed]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in (found, *rest)],
-                    [x.split()[0] for x in PREFIXES.split(", ")],
+            left = np.bincount(member[frequency > 0], minlength=len(sizes))
+            keeps = 5 * left >= 4 * sizes
+            inside = (frequency > 0) & keeps[member]
+            chosen = by[first & inside[by]]
+            if len(chosen):
+                yield _one(
+                    TRIMMED,
+                    block,
+                    unit,
+                    sizes[keeps].min(),
+                    sizes[keeps].max(),
+                    labels[keeps],
+                    sizes[keeps].astype(np.int32),
+                    np.cumsum(left[keeps], dtype=np.int32),
+                    token[inside],
+                    np.unique(token[chosen]),
                 )
 
 
 class _Members:
-    """Some members of a block: tokens, the member that each is of, sizes, labels."""
+    """Members of a block: labels, sizes, some tokens and the member that each is of."""
 
-    def __init__(self, labels: np.ndarray, ends: np.ndarray, tokens: np.ndarray):
-        self.labels, self.tokens = labels, tokens
-        self.sizes = np.diff(np.append(0, ends)).astype(np.int64)
-        self.member = np.repeat(np.arange(len(ends)), self.sizes)
+    def __init__(self, labels: np.ndarray, sizes: np.ndarray, ends: np.ndarray, tokens: np.ndarray):
+        self.labels, self.sizes, self.tokens = labels, sizes.astype(np.int64), tokens
+        self.member = np.repeat(np.arange(len(ends)), np.diff(np.append(0, ends)))
 
     def within(self, union: np.ndarray) -> None:
         """Keep the tokens of the union, and of those only the tokens of members
@@ -175,24 +192,34 @@ def _spanning(pairs: np.ndarray) -> Iterator[tuple[int, int]]:
             yield x, y
 
 
+def _links(a: _Members, b: _Members) -> Batches:
+    common = _shared(a, b)
+    union = a.sizes[:, None] + b.sizes[None, :] - common
+    linked = (100 * common >= 80 * union) & (a.labels[:, None] != b.labels[None, :])
+    x, y = np.nonzero(linked)
+    links = list(_spanning(np.column_stack((a.labels[x], b.labels[y])))) if len(x) else []
+    if links:
+        columns = [pa.array(c, pa.int64()) for c in zip(*links, strict=True)]
+        yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+
 def _compare(batches: Batches) -> Batches:
-    """Reads labels, ends and tokens of two blocks; gives links of their labels."""
+    """Reads MEMBERS of two blocks; gives links of their labels."""
     for batch in batches:
         for i in range(batch.num_rows):
-            sides = [batch.column(c)[i].values.to_numpy() for c in range(6)]
-            a, b = _Members(*sides[:3]), _Members(*sides[3:])
-            common = _shared(a, b)
-            union = a.sizes[:, None] + b.sizes[None, :] - common
-            linked = (100 * common >= 80 * union) & (a.labels[:, None] != b.labels[None, :])
-            x, y = np.nonzero(linked)
-            links = list(_spanning(np.column_stack((a.labels[x], b.labels[y])))) if len(x) else []
-            if links:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in zip(*links, strict=True)], ["a", "b"]
-                )
+            sides = [batch.column(c)[i].values.to_numpy() for c in range(8)]
+            yield from _links(_Members(*sides[:4]), _Members(*sides[4:]))
 
 
-def _sizes_fit():
+def _compare_own(batches: Batches) -> Batches:
+    """The same for MEMBERS of one block."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            side = [batch.column(c)[i].values.to_numpy() for c in range(4)]
+            yield from _links(_Members(*side), _Members(*side))
+
+
+def _sizes_fit() -> Column:
     return (5 * F.col("hi") >= 4 * F.col("lo_b")) & (5 * F.col("hi_b") >= 4 * F.col("lo"))
 
 
@@ -201,10 +228,12 @@ def group_links(members: DataFrame) -> DataFrame:
     `members` join. Columns: key (equal for documents expected to be similar),
     solo (has no link yet), label (its component, or its own dig), dig, n, s (its
     tokens)."""
-    dealt = members.repartitionByRange("key", "solo", "label", "n", "dig").sortWithinPartitions(
-        "key", "solo", F.when(~F.col("solo"), F.col("label")), "n", "dig"
-    )
-    blocks = cut(dealt.select("key", "solo", "label", "dig", "s").mapInArrow(_into_blocks, BLOCKS))
+    link = "a long, b long"
+    lists = [x.split()[0] for x in MEMBERS.split(", ")]
+    order = ["key", "solo", "grouped", "n", "dig"]
+    grouped = members.withColumn("grouped", F.when(~F.col("solo"), F.col("label")))
+    dealt = grouped.repartitionByRange(*order).sortWithinPartitions(*order)
+    blocks = cut(dealt.select("label", "dig", "s").mapInArrow(_into_blocks, BLOCKS))
     union = cut(blocks.select("block", "tokens").mapInArrow(_unions, "block long, token long"))
     often = union.groupBy("token").agg(F.count("*").alias("often")).filter("often > 1")
     known = (
@@ -213,38 +242,39 @@ def group_links(members: DataFrame) -> DataFrame:
         .agg(F.collect_list(F.struct("token", "often")).alias("known"))
         .select("block", F.col("known.token").alias("known"), F.col("known.often").alias("often"))
     )
-    prefixes = cut(
+    trimmed = cut(
         blocks.join(known, "block")
-        .select("block", "unit", "lo", "hi", "ends", "tokens", "known", "often")
-        .mapInArrow(_prefixes, PREFIXES)
+        .select("block", "unit", *lists, "known", "often")
+        .mapInArrow(_trim, TRIMMED)
     )
-    matrix = prefixes.groupBy("token", F.col("unit").alias("other")).agg(
+    asking = trimmed.select("block", "unit", "lo", "hi", F.explode("prefix").alias("token"))
+    matrix = asking.groupBy("token", F.col("unit").alias("other")).agg(
         F.min("lo").alias("lo_b"), F.max("hi").alias("hi_b")
     )
     groups = (
-        prefixes.join(matrix, "token")
+        asking.join(matrix, "token")
         .filter(F.col("unit") < F.col("other"))
         .filter(_sizes_fit())
         .select("block", "other")
         .distinct()
     )
-    opened = prefixes.select(
+    opened = asking.select(
         "token",
         F.col("unit").alias("other"),
         F.col("block").alias("block_b"),
         F.col("lo").alias("lo_b"),
         F.col("hi").alias("hi_b"),
     )
-    pairs = (
-        prefixes.join(groups, "block")
+    pairs = cut(
+        asking.join(groups, "block")
         .join(opened, ["token", "other"])
         .filter(_sizes_fit())
         .select("block", "block_b")
         .distinct()
     )
-    own = blocks.filter("solo AND size(labels) > 1").select("block", F.col("block").alias("block_b"))
-    side = blocks.select("block", "labels", "ends", "tokens")
-    other = side.toDF("block_b", "labels_b", "ends_b", "tokens_b")
-    compared = cut(pairs.union(own)).join(side, "block").join(other, "block_b")
-    columns = ["labels", "ends", "tokens", "labels_b", "ends_b", "tokens_b"]
-    return compared.select(columns).mapInArrow(_compare, "a long, b long")
+    side = trimmed.select("block", *lists)
+    other = side.toDF("block_b", *[f"{c}_b" for c in lists])
+    between = pairs.join(side, "block").join(other, "block_b")
+    between = between.select(*lists, *[f"{c}_b" for c in lists]).mapInArrow(_compare, link)
+    within = blocks.filter("mixed").select(*lists).mapInArrow(_compare_own, link)
+    return between.union(within).distinct()
