@@ -3,8 +3,10 @@
 A text's zstandard ratio (compressed over raw bytes) falls with its length, so
 each length band has its own limits: below, the text is repetitive; above, it is
 incompressible. Fixed chunks of the text are compressed by themselves as well,
-which finds repetition or noise in a part of a long text; a text goes if too
-many of its chunks are out of their limits.
+which finds repetition or noise in a part of a text; a text goes if too many of
+its chunks are out of their limits. Texts of less than two chunks have smaller
+ones, with limits of their own. The last chunk ends with the text and overlaps
+the one before, so every byte is in a chunk.
 
 Defined results: null and empty texts have no words and fail the base rules; a
 text shorter than the first band passes the bands; rows are judged one by one,
@@ -42,6 +44,11 @@ class Bands:
     )
     chunk_bytes: int = 2048
     chunk: tuple[float, float] = (0.35, 0.75)
+    #: For texts of less than two chunks: (bytes of the text, of a chunk, least, most).
+    short: tuple[tuple[int, int, float, float], ...] = (
+        (0, 256, 0.50, 0.87),
+        (2048, 512, 0.45, 0.77),
+    )
     bad_chunks: float = 0.3
     level: int = 3
 
@@ -81,13 +88,17 @@ def verdict(raw: bytes, bands: Bands, packer: zstandard.ZstdCompressor) -> tuple
         return True, None, 0, 0
     ratio = len(packer.compress(raw)) / len(raw)
     _, least, most = [b for b in bands.whole if b[0] <= len(raw)][-1]
-    size = bands.chunk_bytes
-    full = [raw[i : i + size] for i in range(0, len(raw) - size + 1, size)]
+    size, low, high = bands.chunk_bytes, *bands.chunk
+    if len(raw) < 2 * size:
+        _, size, low, high = [b for b in bands.short if b[0] <= len(raw)][-1]
+    starts = list(range(0, len(raw) - size + 1, size))
+    if starts[-1] + size < len(raw):
+        starts.append(len(raw) - size)
     bad = 0
-    for chunk in full if len(full) > 1 else []:
-        bad += not bands.chunk[0] <= len(packer.compress(chunk)) / size <= bands.chunk[1]
-    kept = least <= ratio <= most and bad <= bands.bad_chunks * len(full)
-    return kept, ratio, len(full), bad
+    for i in starts:
+        bad += not low <= len(packer.compress(raw[i : i + size])) / size <= high
+    kept = least <= ratio <= most and bad <= bands.bad_chunks * len(starts)
+    return kept, ratio, len(starts), bad
 
 
 def compression_rules(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:

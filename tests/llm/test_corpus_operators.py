@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import random
 import re
@@ -10,6 +11,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+import zstandard
 
 from shelfaudit.llm import (
     class_model,
@@ -215,6 +217,26 @@ def test_base_counts_of_the_rules(docs, rows):
     assert compression_rules.compression_rules(docs.limit(0)).collect() == []
 
 
+def test_parts_of_texts_are_tested_by_chunks():
+    rng = random.Random(3)
+    letters, odds = "etaoinsrhldcumfpgwybvk", [12, 9, 8, 8, 7, 7, 6, 6, 6, 4, 4, 3, 3, 2, 2, 2, 2, 2, 2, 1, 1, 1]
+    words = ["".join(rng.choices(letters, odds, k=rng.randint(2, 8))) for _ in range(3000)]
+    plain = lambda n: " ".join(rng.choice(words) for _ in range(n))[:n].encode()
+    noise = lambda n: base64.b64encode(rng.randbytes(n))[:n]
+    bands, packer = compression_rules.Bands(), zstandard.ZstdCompressor(level=3)
+    verdict = lambda raw: compression_rules.verdict(raw, bands, packer)
+    for n in (300, 700, 1500, 2500, 3900, 4096, 5000, 9000):
+        kept, _, chunks, bad = verdict(plain(n))
+        assert kept and chunks and not bad
+    for n in (1300, 1700, 2000, 2400):  # noise at an end of a text below two chunks
+        for raw in (plain(n) + noise(n // 2), noise(n // 2) + plain(n)):
+            kept, ratio, _, bad = verdict(raw)
+            low, high = [b[1:] for b in bands.whole if b[0] <= len(raw)][-1]
+            assert low <= ratio <= high and bad and not kept
+    kept, _, chunks, bad = verdict(plain(4096) + noise(2047))  # the tail of a long one
+    assert (kept, chunks, bad) == (False, 3, 1)
+
+
 @pytest.mark.parametrize("scores", [quality.quality_scores, toxicity.toxicity_scores])
 def test_scores_are_whole_and_ignore_other_columns(docs, labels, rows, scores):
     out = scores(docs, labels).collect()
