@@ -3,10 +3,14 @@
 Documents that share a link key are linked. They start on shards in turn, in a
 hash-random order. In every round each link key counts its documents by shard,
 each document adds up the counts of its keys, and those that would be with more
-of their neighbours elsewhere ask to move there. Moves are admitted in hash
-order up to what swaps and free places allow, so no shard ever holds more than
-its quota. Documents without links fill the places that are left, which makes
-the number of rows per shard differ by one at most (the law `rows`).
+of their neighbours elsewhere ask to move there, be it full or not. Moves are
+admitted in hash order up to what swaps, rings of moves and free places allow, so
+no shard ever holds more than its quota. Rounds go on while they bring neighbours
+together. Documents without links fill the places that are left, which makes the
+number of rows per shard differ by one at most (the law `rows`).
+
+A full shard that nobody asks to leave is closed to others, so they ask for their
+next best one: a key of more rows than a shard holds fills one after the other.
 
 A shard's votes are columns, so a key's documents are never brought together:
 a key that holds a third of all rows leaves each map task as one row of counts.
@@ -25,10 +29,10 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import KEY_BITS, cut, documents, hash_key, running_total
+from .common import cut, documents, hash_key, running_total
 
 SHARDS = 16
-ROUNDS = 4
+ROUNDS = 4  # rounds in a row without gain that end the propagation
 STEPS = 256
 
 
@@ -36,10 +40,13 @@ def _votes(shard: str, n: int) -> list[Column]:
     return [F.count_if(F.col(shard) == s).alias(f"_v{s}") for s in range(n)]
 
 
-def _propose(state: DataFrame, room: list[bool], n: int, whole: int) -> DataFrame:
+def _propose(
+    state: DataFrame, shut: set[int], n: int, whole: int, turn: int
+) -> DataFrame:
     """Adds `_want`: the shard with most neighbours among the present one and
-    those with room. Ties go to the first shard from a place given by the key."""
-    ends = state.select("_uid", "_shard", "_key", F.explode("_links").alias("_link"))
+    those that are not shut. Ties go to the first shard from a place given by the
+    key and the turn. `_here` of its `_near` neighbours are in the present one."""
+    ends = state.select("_uid", "_shard", "_rank", F.explode("_links").alias("_link"))
     counts = ends.groupBy("_link").agg(*_votes("_shard", n))
     sums = [F.sum(f"_v{s}").alias(f"_v{s}") for s in range(n)]
     voted = (
@@ -47,15 +54,16 @@ def _propose(state: DataFrame, room: list[bool], n: int, whole: int) -> DataFram
         .groupBy("_uid")
         .agg(
             F.first("_shard").alias("_shard"),
-            F.first("_key").alias("_key"),
+            F.first("_rank").alias("_rank"),
             F.collect_list("_link").alias("_links"),
             *sums,
         )
-        .withColumn("_turn", F.pmod(F.xxhash64(F.array_min("_links")), F.lit(n)))
+        .withColumn("_group", F.xxhash64(F.array_min("_links"), F.lit(turn)))
+        .withColumn("_turn", F.pmod("_group", F.lit(n)))
     )
     choices = [
         F.when(
-            F.lit(room[s]) | (F.col("_shard") == s),
+            F.lit(s not in shut) | (F.col("_shard") == s),
             F.struct(
                 F.col(f"_v{s}").alias("v"),
                 (-F.pmod(F.lit(s) - F.col("_turn"), F.lit(n))).alias("turn"),
@@ -65,28 +73,48 @@ def _propose(state: DataFrame, room: list[bool], n: int, whole: int) -> DataFram
         for s in range(n)
     ]
     # Small groups move as one; the members of a large one by themselves.
-    steps = 1 << KEY_BITS
     near = sum((F.col(f"_v{s}") for s in range(n)), F.lit(0))
-    step = F.when(
-        near <= whole, F.pmod(F.xxhash64(F.array_min("_links")), F.lit(STEPS))
-    ).otherwise(F.expr(f"_key div {steps // STEPS}L"))
+    by = F.when(near <= whole, F.col("_group")).otherwise(F.xxhash64("_rank", F.lit(turn)))
+    step = F.pmod(F.xxhash64(by), F.lit(STEPS))
     return voted.select(
         "_uid",
         "_shard",
-        "_key",
+        "_rank",
         "_links",
+        F.element_at(F.array(*[f"_v{s}" for s in range(n)]), F.col("_shard") + 1).alias("_here"),
+        near.alias("_near"),
         F.greatest(*choices)["s"].alias("_want"),
         step.alias("_step"),
     )
 
 
+def _ring(edges: dict[int, list[int]]) -> list[int]:
+    """Shards of which each has an edge to the next, and the last to the first."""
+    done: set[int] = set()
+
+    def search(path: list[int]) -> list[int]:
+        for b in edges.get(path[-1], []):
+            if b in path:
+                return path[path.index(b) :]
+            if b not in done and (ring := search([*path, b])):
+                return ring
+        done.add(path[-1])
+        return []
+
+    for a in sorted(edges):
+        if a not in done and (ring := search([a])):
+            return ring
+    return []
+
+
 def _admit(
     asked: dict[tuple[int, int], dict[int, int]], load: list[int], quota: list[int]
 ) -> dict[tuple[int, int], int]:
     """For each pair of shards, the hash step below which its moves are admitted.
 
-    A pair swaps as many as both directions have, in whole steps; then free
-    places are given out. Steps admitted never hold more rows than allowed."""
+    A pair swaps as many as both directions have, in whole steps; then steps of
+    equal size go round in rings of shards, and free places are given out. Steps
+    admitted never hold more rows than allowed."""
 
     def steps(pair: tuple[int, int], allowed: int) -> tuple[int, int]:
         total = 0
@@ -114,6 +142,19 @@ def _admit(
                 load[b] += there - back
                 break
             there = back + max(0, quota[b] - load[b])
+    left = {p: [x for x in sorted(s.items()) if x[0] >= admitted[p]] for p, s in asked.items()}
+    ring = [0]
+    while ring:
+        for size in sorted({x[0][1] for x in left.values() if x}):
+            edges = defaultdict(list)
+            for a, b in sorted(p for p, x in left.items() if x and x[0][1] == size):
+                edges[a].append(b)
+            if ring := _ring(edges):
+                break
+        else:
+            break
+        for pair in zip(ring, [*ring[1:], ring[0]], strict=True):
+            admitted[pair], passed[pair] = left[pair].pop(0)[0] + 1, passed[pair] + size
     for a, b in sorted(most, key=lambda p: (-most[p], p)):
         before = passed[a, b]
         admitted[a, b], passed[a, b] = steps((a, b), before + max(0, quota[b] - load[b]))
@@ -124,7 +165,9 @@ def _admit(
 
 def balanced_labels(items: DataFrame, n: int, rounds: int) -> DataFrame:
     """Adds shard (0 to n-1) to `items` (_uid, _key: a hash_key, _links: an array
-    of keys shared with other rows), with row counts that differ by one at most."""
+    of keys shared with other rows), with row counts that differ by one at most.
+    `rounds` in a row that bring no more neighbours together end the propagation;
+    0 leaves all rows where they start."""
     linked_keys = (
         items.select(F.explode("_links").alias("_link"))
         .groupBy("_link")
@@ -141,27 +184,45 @@ def balanced_labels(items: DataFrame, n: int, rounds: int) -> DataFrame:
     rows, n_linked = items.count(), linked.count()
     quota = [rows // n + (s < rows % n) for s in range(n)]
     start = running_total(linked, [], "_key", ["_uid"], F.lit(1), "_rank", n_linked)
-    state = cut(start.withColumn("_shard", (F.col("_rank") % n).cast("int")).drop("_rank"))
-    for _ in range(rounds if n_linked else 0):
-        load = [0] * n
-        for shard, count in state.groupBy("_shard").count().collect():
-            load[shard] = count
-        room = [x < q for x, q in zip(load, quota, strict=True)]
-        proposed = cut(_propose(state, room, n, max(1, quota[0] // STEPS)))
-        moves = proposed.filter("_want <> _shard")
+    state = cut(start.withColumn("_shard", (F.col("_rank") % n).cast("int")).drop("_key"))
+    load = [n_linked // n + (s < n_linked % n) for s in range(n)]
+    kept, kept_load, most = state, load, 0
+    stalled, turn, closed = 0, 0, set()
+    while n_linked and stalled < rounds:
+        full = {s for s in range(n) if load[s] >= quota[s]}
+        # A round without gain is followed by one of moves to shards with room alone.
+        shut = full if stalled % 2 and len(full) < n else closed
+        proposed = cut(_propose(state, shut, n, max(1, quota[0] // STEPS), turn))
+        step = F.when(F.col("_want") != F.col("_shard"), F.col("_step"))
+        by = proposed.groupBy("_shard", "_want", step.alias("_step"))
         asked: dict = defaultdict(dict)
-        for a, b, k, count in moves.groupBy("_shard", "_want", "_step").count().collect():
-            asked[a, b][k] = count
-        if not asked:
+        here = near = 0
+        for a, b, k, count, *votes in by.agg(F.count("*"), F.sum("_here"), F.sum("_near")).collect():
+            here, near = here + votes[0], near + votes[1]
+            if a != b:
+                asked[a, b][k] = count
+        settled = full - {a for a, _ in asked}
+        if here > most:
+            kept, kept_load, most, stalled, closed = state, load, here, 0, settled
+        elif settled <= closed:
+            stalled += 1
+        else:
+            closed = closed | settled
+        if here == near:
             break
+        turn += 1
         limit = _admit(asked, load, quota)
+        load = list(load)
+        for (a, b), steps in asked.items():
+            moved = sum(count for k, count in steps.items() if k < limit[a, b])
+            load[a], load[b] = load[a] - moved, load[b] + moved
         table = F.array(*[F.lit(limit.get((a, b), 0)) for a in range(n) for b in range(n)])
         below = F.element_at(table, (F.col("_shard") * n + F.col("_want") + 1).cast("int"))
         moved = F.when(F.col("_step") < below, F.col("_want")).otherwise(F.col("_shard"))
-        state = cut(proposed.withColumn("_shard", moved).drop("_want", "_step"))
-    load = [0] * n
-    for shard, count in state.groupBy("_shard").count().collect():
-        load[shard] = count
+        state = cut(
+            proposed.select("_uid", moved.cast("int").alias("_shard"), "_rank", "_links")
+        )
+    state, load = kept, kept_load
     free = items.join(state.select("_uid"), "_uid", "left_anti").select("_uid", "_key")
     free = running_total(free, [], "_key", ["_uid"], F.lit(1), "_rank", rows - n_linked)
     ends_at, filled = 0, F.lit(n - 1)

@@ -111,6 +111,26 @@ def test_shards_of_one_group_of_all_rows(spark):
     assert sorted({r["count"] for r in counts}) == [6, 7] and len(counts) == 16
 
 
+def test_shards_join_texts_that_all_occur_twice(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(800).selectExpr("id AS doc_id", "concat('text ', id % 400) AS text")
+    out = sharding.shard_documents(df, [F.col("text")]).collect()
+    shards, counts = {}, {}
+    for r in out:
+        shards.setdefault(r.text_crc32, set()).add(r.shard)
+        counts[r.shard] = counts.get(r.shard, 0) + 1
+    assert len(out) == 800 and set(counts.values()) == {50} and len(counts) == 16
+    # What rings of moves cannot join is a forest over the shards.
+    assert sum(len(x) > 1 for x in shards.values()) <= 30
+
+
+def test_moves_go_round_in_rings_of_full_shards():
+    asked = {(0, 1): {3: 1}, (1, 2): {7: 1}, (2, 0): {0: 1}, (2, 3): {0: 1}}
+    limit = sharding._admit(asked, [5] * 4, [5] * 4)
+    assert [limit[p] > max(s) for p, s in asked.items()] == [True, True, True, False]
+
+
 def _by_id(rows):
     return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
 
