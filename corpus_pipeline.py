@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from shelfaudit.llm.common import cut, documents
 from shelfaudit.llm.decontamination import decontaminate
 from shelfaudit.llm.mixing import mixed_documents
-from shelfaudit.llm.ngram_join import similar_documents
+from shelfaudit.llm.ngram_join import first_rows
 from shelfaudit.llm.quality import score_documents, train
 from shelfaudit.llm.sharding import shard_documents
 
@@ -25,11 +25,11 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id."""
-    similar = similar_documents(docs.select("doc_id", "text"))
-    first = similar.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = first.select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(ids, docs.doc_id.eqNullSafe(ids._kept), "left_semi")
+    """Of each group of near duplicates the row with the smallest id, null last;
+    of equal ids one row. `docs` is stored, so that rows keep their numbers."""
+    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    first = first_rows(numbered, "_row")
+    return numbered.join(first, "_row", "left_semi").select(*docs.columns)
 
 
 def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

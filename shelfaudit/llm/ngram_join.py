@@ -94,8 +94,8 @@ def _documents(batches: Batches) -> Batches:
         sets = [(len(s), digest(s), _end(s)) for s in shingle_sets(tokens.utf8(batch.column(1)))]
         columns = zip(*sets, strict=True) if sets else [()] * 3
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), *(pa.array(c, pa.int64()) for c in columns)],
-            ["id", "n", "dig", "end"],
+            [batch.column(0), *(pa.array(c, pa.int64()) for c in columns), *batch.columns[2:]],
+            ["id", "n", "dig", "end", *batch.schema.names[2:]],
         )
 
 
@@ -274,13 +274,18 @@ def _links(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return cut(joined.select("a", "b", "sa", "sb").mapInArrow(verify, "a long, b long"))
 
 
-def similar_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document."""
-    rows = docs.select(
+def _components_of(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """id (LAST_ID for null), n, c of every row: its component, or its id if it has
+    no shingles. The column `row` (long) is passed on."""
+    extra = [row] if row else []
+    keyed = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"),
         F.coalesce("text", F.lit("")).alias("text"),
+        *extra,
     )
-    whole = cut(rows.mapInArrow(_documents, "id long, n long, dig long, end long"))
+    rows = keyed.select("id", "text")
+    fields = ["id", "n", "dig", "end", *extra]
+    whole = cut(keyed.mapInArrow(_documents, ", ".join(f"`{x}` long" for x in fields)))
     owners = whole.filter("n > 0").groupBy("dig").agg(F.min("id").alias("id"), F.min("end").alias("end"))
     owners = cut(owners)
     heads = rows.select("text").mapInArrow(_heads, "token long, dig long, n long")
@@ -333,8 +338,23 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         F.when(F.col("n") == 0, F.struct(F.lit(False).alias("set"), F.col("id").alias("k")))
         .otherwise(F.struct(F.lit(True).alias("set"), F.coalesce("component", "dig").alias("k")))
         .alias("c"),
+        *extra,
     )
-    named = cut(named)
+    return cut(named)
+
+
+def first_rows(docs: DataFrame, row: str) -> DataFrame:
+    """The values of `row`, a number that each row has for itself, of the rows to
+    keep: of each component the one with the smallest id (null comes last), then
+    `row`; rows without shingles are alone and stay."""
+    named = _components_of(docs, row)
+    least = named.filter("n > 0").groupBy("c").agg(F.min(F.struct("id", row)).alias("least"))
+    return least.select(f"least.{row}").union(named.filter("n = 0").select(row))
+
+
+def similar_documents(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id of every document."""
+    named = _components_of(docs)
     least_id = named.groupBy("c").agg(F.min("id").alias("least"))
     null = F.lit(None).cast("long")
     return named.join(least_id, "c").select(

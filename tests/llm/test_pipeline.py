@@ -77,3 +77,27 @@ def test_stages(spark, tmp_path):
     sizes = [counts[s] for s in range(16)]
     assert max(sizes) - min(sizes) <= 1
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(placed)
+
+
+def test_one_row_of_each_group_of_near_duplicates_stays(spark, tmp_path):
+    rng = random.Random(7)
+    words = [f"{a}{b}" for a in "bcdfghklm" for b in ("on", "ist", "en", "um", "ar")]
+    a, b, c, d, e = (" ".join(rng.choice(words) for _ in range(120)) for _ in range(5))
+    rows = [
+        (1, a, "s"), (1, a, "s"), (1, a, "t"),  # repeated rows, and an id with more than one
+        (2, a + " end", "s"), (2, b, "s"),  # text, of which one has a copy with a smaller id
+        (None, c, "s"), (None, c + " end", "s"),  # a group of null ids alone
+        (None, b + " end", "s"), (None, d, "s"), (3, d, "s"),  # copies of documents with ids
+        (4, e, "s"), (5, None, "s"), (None, "", "s"), (None, None, "s"),
+    ]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(
+        3).write.parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    out = corpus_pipeline.distinct_documents(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    kept = [tuple(r) for r in out.collect()]
+    assert set(kept) <= set(rows)
+    assert Counter(i for i, *_ in kept) == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, None: 3}
+    by_id = {i: t for i, t, _ in kept if i is not None}
+    assert by_id == {1: a, 2: b, 3: d, 4: e, 5: None}
+    assert {t for i, t, _ in kept if i is None} in ({c, "", None}, {c + " end", "", None})
