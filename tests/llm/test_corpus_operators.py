@@ -311,3 +311,76 @@ def test_exchange_finds_classes():
     np.add.at(pairs, (line[:-1], line[1:]), 1)
     owner = class_model.exchange(pairs, classes=3)
     assert len(set(owner[1:5])) == len(set(owner[5:9])) == 1 and owner[1] != owner[5]
+
+
+def test_every_training_word_has_the_class_of_greatest_gain(spark, docs, rows, monkeypatch):
+    seen = {}
+    beside, classed = class_model._beside, class_model._classed
+
+    def spy_beside(training, units, owner, k):
+        seen.update(units=units, owner=owner, k=k)
+        return beside(training, units, owner, k)
+
+    def spy_classed(counted, joint):
+        seen.update(joint=joint, table=classed(counted, joint))
+        return seen["table"]
+
+    for name, x in (("CORE", 4), ("FREQUENT", 5), ("_beside", spy_beside), ("_classed", spy_classed)):
+        monkeypatch.setattr(class_model, name, x)
+    out = class_model.score_texts(docs).collect()
+    units, owner, k, joint = (seen[x] for x in ("units", "owner", "k", "joint"))
+
+    def hashed(word):
+        _, words, forms, _ = next(class_model.tokens.shaped_blocks([word.encode()]))
+        return int(words.view(np.int64)[0]), int(units.of(words, forms)[0])
+
+    words = {w: hashed(w) for _, t, *_ in rows for w in _words(t)}
+    held = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 5 == 1
+    seed = {w: int(owner[u]) for w, (_, u) in words.items()}
+    lines = [_words(t) for i, t, *_ in rows if not held(i)]
+    before, behind = {}, {}
+    for line in lines:
+        classes = [0, *[seed[w] for w in line], 0]
+        for x, w in enumerate(line):
+            before.setdefault(w, np.zeros(k))[classes[x]] += 1
+            behind.setdefault(w, np.zeros(k))[classes[x + 2]] += 1
+    h = lambda x: float((x * np.log(np.maximum(x, 1))).sum())
+    table = {r.word: (r["class"], r.n) for r in seen["table"].collect()}
+    assert len(table) == sum(u > 4 for w, (_, u) in words.items() if w in before)
+
+    def likelihood(j, size, c, s, w, add):
+        a, b = before[w], behind[w]
+        row, column = j[c] - (0 if add else b), j[:, c] - (0 if add else a)
+        left, right = (j.sum(axis=x)[c] - (0 if add else size) for x in (1, 0))
+        return (h(row + b) - h(row) + h(column + a) - h(column)
+                - h(left + size) + h(left) - h(right + size) + h(right))
+
+    for w, (key, unit) in words.items():
+        if unit <= 4 or w not in before:
+            continue
+        n = behind[w].sum()
+        gains = [likelihood(joint, n, c, seed[w], w, c != seed[w]) for c in range(1, k)]
+        assert table[key][1] == n and gains[table[key][0] - 1] >= max(gains) - 1e-6
+    assert any(table[words[w][0]][0] != seed[w] for w in before if words[w][1] > 4)
+
+    own = {w: table[key][0] if key in table else seed[w] for w, (key, _) in words.items()}
+    count = {w: behind[w].sum() for w in behind}
+    size, kinds, pairs = np.zeros(k), np.zeros(k), np.zeros((k, k))
+    size[0], kinds[0] = len(lines), 1
+    for w, n in count.items():
+        size[own[w]] += n
+        kinds[own[w]] += 1
+    for line in lines:
+        classes = [0, *[own[w] for w in line], 0]
+        np.add.at(pairs, (classes[:-1], classes[1:]), 1)
+    chance = (size + 1) / (size.sum() + k)
+    step = np.log10((pairs + 5 * chance) / (pairs.sum(axis=1, keepdims=True) + 5))
+    of_class = np.log10(size + 0.5 * (kinds + 1))
+    scores = []
+    for i, t, *_ in rows:
+        line = _words(t)
+        classes = [0, *[own[w] for w in line], 0]
+        score = sum(step[a, b] for a, b in zip(classes, classes[1:], strict=False))
+        score += sum(np.log10(count.get(w, 0) + 0.5) - of_class[own[w]] for w in line)
+        scores.append((i is None, i or 0, round(score + np.log10(len(lines) + 0.5) - of_class[0], 6)))
+    assert sorted(scores) == sorted((r.doc_id is None, r.doc_id or 0, round(r.score, 6)) for r in out)
