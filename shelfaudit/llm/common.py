@@ -18,14 +18,29 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cut(df: DataFrame) -> DataFrame:
     """End the lineage of `df` in the folder of spark.checkpoint.dir, which all
-    executors share. A session without that setting, as in tests, gets a folder."""
+    executors share. Without that setting a session of one machine gets a folder;
+    on a cluster there is none that all could read."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
     return df.checkpoint()
 
 
+def free_names(taken: list[str], *names: str) -> list[str]:
+    """`names`, with as many underscores behind each as make it differ from `taken`."""
+    used = {t.lower() for t in taken}
+    out = []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def n_words(text: Column) -> Column:
     """Runs of characters other than space and U+0009..U+000D; null has none."""
     inner = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))

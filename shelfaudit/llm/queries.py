@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    bpe,
     class_model,
     compression_rules,
     decontamination,
+    filter_audit,
+    manifest,
     mixing,
     ngram_join,
     quality,
@@ -30,6 +33,9 @@ _QUERIES = (
     compression_rules.op8_compression_bands,
     recompression.op9_recompression,
     quality.op10_pairwise_quality,
+    manifest.op11_merkle_manifest,
+    bpe.op12_speculative_bpe,
+    filter_audit.op13_filter_audit,
 )
 
 
@@ -38,4 +44,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_source_mix": mixing.ORACLE, "op9_recompression": recompression.ORACLE}
+    return {
+        "op1_source_mix": mixing.ORACLE,
+        "op9_recompression": recompression.ORACLE,
+        "op11_merkle_manifest": manifest.ORACLE,
+        "op13_filter_audit": filter_audit.ORACLE,
+    }
