@@ -26,6 +26,7 @@ are names, as rows are carried under names of this module; an empty table gives
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,8 +66,9 @@ def leaf_digest(docs: DataFrame, **instead: Column) -> Column:
 
 
 class Manifest(NamedTuple):
-    """`leaves`: known, name, rank, rows with their columns. `sources`: known, name,
-    place, size. `records`: digest, children. `root`: digest, one row or none."""
+    """`leaves`: known, name, rank, size (of the source), digest, and the columns of
+    the rows. `sources`: known, name, size, rank. `records`: digest, children. `root`:
+    digest, one row or none."""
 
     leaves: DataFrame
     sources: DataFrame
@@ -74,20 +76,24 @@ class Manifest(NamedTuple):
     root: DataFrame
 
 
-def with_ranks(rows: DataFrame, by: list[str], order: list[str], rank: str) -> DataFrame:
-    """`rows` with their place, from 0, within equal `by` (not null) by `order`."""
+def with_ranks(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """`rows` with rank, their place from 0 within equal `by` (not null) by `order`,
+    and size, how many they are there."""
     sort = [*by, *order]
     placed = rows.withColumn("_salt", F.monotonically_increasing_id())
     dealt = placed.repartitionByRange(*sort, "_salt").sortWithinPartitions(*sort)
     dealt = cut(dealt.drop("_salt").withColumn("_at", F.monotonically_increasing_id()))
     dealt = dealt.withColumn("_part", F.shiftright("_at", ROW_BITS))
     runs = dealt.groupBy(*by, "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
-    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*by)
+    earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")
-    offsets = runs.select(*by, "_part", before.alias("_offset"))
+    offsets = runs.select(
+        *by, "_part", before.alias("_offset"), F.sum("_n").over(whole).alias("size")
+    )
     return (
         dealt.join(offsets, [*by, "_part"])
-        .withColumn(rank, F.col("_at") + F.col("_offset"))
+        .withColumn("rank", F.col("_at") + F.col("_offset"))
         .drop("_at", "_part", "_offset")
     )
 
@@ -122,10 +128,7 @@ def _grow(nodes: DataFrame, by: list[str]) -> tuple[DataFrame | None, DataFrame]
         records = records.union(new) if records else new
         nodes = nodes.drop("children")
     tops.append(nodes)
-    top = tops[0]
-    for other in tops[1:]:
-        top = top.unionByName(other)
-    return records, top.select(*by, "digest")
+    return records, reduce(DataFrame.unionByName, tops).select(*by, "digest")
 
 
 def build_manifest(rows: DataFrame) -> Manifest:
@@ -137,17 +140,13 @@ def build_manifest(rows: DataFrame) -> Manifest:
         .withColumn("name", F.coalesce(F.col("source").cast("string"), F.lit("")))
         .drop("source")
     )
-    leaves = with_ranks(named, SOURCE, ["doc_id", "digest"], "rank")
-    sizes = cut(named.groupBy(*SOURCE).agg(F.count("*").alias("size")))
-    of_source = leaves.select(*SOURCE, "rank", "digest").join(sizes, SOURCE)
-    records, subroots = _grow(of_source, SOURCE)
-    subroots = cut(subroots)
-    everything = F.lit(0).alias("all")
-    sources = cut(with_ranks(sizes.select("*", everything), ["all"], SOURCE, "place").drop("all"))
-    n_sources = sources.count()
-    top = subroots.join(sources.select(*SOURCE, F.col("place").alias("rank")), SOURCE)
-    top = top.select(everything, "rank", F.lit(n_sources).cast("long").alias("size"), "digest")
-    above, root = _grow(top, ["all"])
+    leaves = cut(with_ranks(named, SOURCE, ["doc_id", "digest"]))
+    records, subroots = _grow(leaves.select(*SOURCE, "rank", "size", "digest"), SOURCE)
+    sizes = leaves.groupBy(*SOURCE).agg(F.count("*").alias("leaves"))
+    subroots = subroots.join(sizes, SOURCE).withColumn("all", F.lit(0))
+    subroots = cut(with_ranks(cut(subroots), ["all"], SOURCE))
+    above, root = _grow(subroots.select("all", "rank", "size", "digest"), ["all"])
+    sources = subroots.select(*SOURCE, F.col("leaves").alias("size"), "rank")
     found = [r for r in (records, above) if r is not None]
     if not found:
         found = [root.select("digest", F.lit(None).cast("binary").alias("children")).limit(0)]
@@ -169,69 +168,73 @@ def _child(children: Column, digit: Column) -> Column:
 
 
 def _step(at: DataFrame, records: DataFrame) -> DataFrame:
-    """Rows (source's prefix, prefix, left, digest, path) one digit further down."""
+    """Rows with prefix, left, digest, path one digit further down."""
     digits = F.sequence(F.lit(0), (F.octet_length("children") / DIGEST_BYTES - 1).cast("int"))
     opened = at.join(records, "digest").withColumn("digit", F.explode(digits))
     digit, children = F.col("digit"), F.col("children")
-    return opened.select(
-        "place",
-        (F.shiftleft("prefix", FANOUT_BITS) + digit).alias("prefix"),
-        (F.col("left") - 1).alias("left"),
-        _child(children, digit).alias("digest"),
-        F.concat("path", F.array(_segment(children, digit))).alias("path"),
-    )
-
-
-def with_paths(manifest: Manifest, requests: DataFrame) -> DataFrame:
-    """`requests` (known, name, rank and further columns) with root, subroot and path:
-    the digests before and behind the node at each level, from the leaf's run up."""
+    new = {
+        "prefix": F.shiftleft("prefix", FANOUT_BITS) + digit,
+        "left": F.col("left") - 1,
+        "digest": _child(children, digit),
+        "path": F.concat("path", F.array(_segment(children, digit))),
+    }
+    return opened.select([new.get(c, F.col(c)).alias(c) for c in at.columns])
+
+
+def with_paths(manifest: Manifest, requests: DataFrame | None = None) -> DataFrame:
+    """`requests`, some of the manifest's leaves (none given: all), with root, subroot
+    and path: the digests before and behind the node at each level, from the leaf's run
+    up to the root."""
     records = manifest.records
-    n_sources = manifest.sources.count()
-    largest = manifest.sources.agg(F.max("size")).first()[0] or 0
-    no_path = F.array().cast(f"array<{SEGMENT}>").alias("path")
-    zero = F.lit(0).cast("long")
+    n_sources, largest = manifest.sources.agg(F.count("*"), F.max("size")).first()
+    zero = F.lit(0).cast("long").alias("prefix")
+    runs = None
+    if requests is not None:
+        run = F.shiftright("rank", FANOUT_BITS).alias("run")
+        runs = cut(requests.select(*SOURCE, "size", run).distinct())
+    requests = manifest.leaves if requests is None else requests
+
+    def asked(rows: DataFrame, prefixes: DataFrame | None, on: list[str]) -> DataFrame:
+        """Those of the rows whose prefix a request has."""
+        if prefixes is not None:
+            rows = rows.join(prefixes.select(on).distinct(), on, "left_semi")
+        return cut(rows)
+
     at = manifest.root.select(
-        zero.alias("place"), zero.alias("prefix"), F.lit(0).alias("left"), "digest", no_path
+        zero,
+        F.lit(levels_above(n_sources)).alias("left"),
+        "digest",
+        F.col("digest").alias("root"),
+        F.array().cast(f"array<{SEGMENT}>").alias("path"),
     )
-    wanted = cut(requests.groupBy(*SOURCE, F.shiftright("rank", FANOUT_BITS).alias("run")).count())
-    wanted = wanted.join(manifest.sources.select(*SOURCE, "place", "size"), SOURCE)
-    of_sources = wanted.select("place").distinct()
-
-    def asked(rows: DataFrame, prefixes: DataFrame, on: list[str]) -> DataFrame:
-        return cut(rows.join(prefixes, on, "left_semi"))
-
+    places = manifest.sources
+    if runs is not None:
+        places = places.join(runs.select(*SOURCE).distinct(), SOURCE, "left_semi")
     for left in reversed(range(levels_above(n_sources))):
-        prefix = F.shiftright("place", FANOUT_BITS * left).alias("prefix")
-        at = asked(_step(at, records), of_sources.select(prefix).distinct(), ["prefix"])
-    subroots = at.select(F.col("prefix").alias("place"), F.col("digest").alias("subroot"), "path")
-    sources = manifest.sources.withColumn("levels", _levels(F.col("size")))
-    at = subroots.join(sources, "place").select(
-        "place", zero.alias("prefix"), F.col("levels").alias("left"),
-        F.col("subroot").alias("digest"), "path",
+        prefix = F.shiftright("rank", FANOUT_BITS * left).alias("prefix")
+        at = asked(_step(at, records), None if runs is None else places.select(prefix), ["prefix"])
+    subroots = at.withColumnRenamed("prefix", "rank").withColumn("subroot", F.col("digest"))
+    at = subroots.join(places, "rank").select(
+        *SOURCE, zero, _levels(F.col("size")).alias("left"), "digest", "root", "subroot", "path"
     )
     ended = [at.filter("left <= 1")]
-    for _ in range(levels_above(largest) - 1):
-        # What is left of the rank's digits, without the last, when the prefix ends.
-        runs = wanted.withColumn("left", F.explode(F.sequence(F.lit(1), _levels(F.col("size")))))
-        shift = F.expr(f"shiftright(run, {FANOUT_BITS} * (left - 1))")
-        prefixes = runs.select("place", "left", shift.alias("prefix")).distinct()
-        at = asked(_step(at.filter("left > 1"), records), prefixes, ["place", "left", "prefix"])
+    for _ in range(levels_above(largest or 0) - 1):
+        prefixes = None
+        if runs is not None:
+            lefts = runs.withColumn("left", F.explode(F.sequence(F.lit(1), _levels(F.col("size")))))
+            shift = F.expr(f"shiftright(run, {FANOUT_BITS} * (left - 1))")
+            prefixes = lefts.withColumn("prefix", shift)
+        at = _step(at.filter("left > 1"), records)
+        at = asked(at, prefixes, [*SOURCE, "left", "prefix"])
         ended.append(at.filter("left = 1"))
-    runs = ended[0]
-    for other in ended[1:]:
-        runs = runs.unionByName(other)
     # A lone leaf is its own subroot: no record, no segment.
-    opened = runs.join(records, "digest", "left").select(
-        "place",
+    opened = reduce(DataFrame.unionByName, ended).join(records, "digest", "left").select(
+        *SOURCE,
         F.col("prefix").alias("run"),
         F.when(F.col("left") > 0, F.col("children")).alias("children"),
         "path",
-    )
-    opened = (
-        opened.join(sources, "place")
-        .join(subroots.select("place", "subroot"), "place")
-        .crossJoin(manifest.root.select(F.col("digest").alias("root")))  # one row
-        .select(*SOURCE, "run", "children", "path", "subroot", "root")
+        "subroot",
+        "root",
     )
     digit = F.col("rank").bitwiseAND((1 << FANOUT_BITS) - 1)
     last = F.when(F.col("children").isNull(), F.array().cast(f"array<{SEGMENT}>")).otherwise(
@@ -272,7 +275,7 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         changed.alias("changed"),
     )
     manifest = build_manifest(rows)
-    proven = with_paths(manifest, manifest.leaves)
+    proven = with_paths(manifest)
     path = F.col("path")
     root = F.col("folded")
     return (
