@@ -18,11 +18,11 @@ ids being the largest; an empty table gives no rows; further columns are ignored
 from __future__ import annotations
 
 import itertools
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import BLANKS, cut, documents
 
@@ -33,7 +33,6 @@ SYMBOLS = r"[#$%&*|]"
 SALTS = 16
 LETTERS = "ABCDE"
 CAPITALS = "".join(map(chr, range(65, 91)))
-COUNTS = ["n", "good", "toxic"]
 
 
 def text_failures(text: Column) -> dict[str, Column]:
@@ -87,83 +86,112 @@ def failing_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return cut(found.withColumn("E", copies(found)).drop("doc_id", "least"))
 
 
-def _bit(letter: str, letters: str) -> int:
-    return 1 << letters.index(letter)
-
-
-def removals(fails: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """From a table (row, part, good, toxic) of failing rows of each filter: filter,
-    prefix (a set of other filters, by bits), part and the counts of the rows that the
-    filter removes behind the prefix; and the same for rows that the prefix's last
-    filter removes, being the first of the prefix to do so."""
-    letters = "".join(fails)
-    tables = [df.select(F.lit(x).alias("filter"), F.lit(0).alias("prefix"), "*") for x, df in fails.items()]
-    counts = [F.count("*").alias("n"), F.sum("good").alias("good"), F.sum("toxic").alias("toxic")]
-    in_vain = []
-    for letter, failing in fails.items():
-        longer = (F.col("prefix") + F.lit(_bit(letter, letters))).alias("prefix")
-        rows = reduce(DataFrame.unionByName, tables).filter(F.col("filter") != letter)
+def removals(fails: dict[str, DataFrame]) -> DataFrame:
+    """From a table (row, part, good, toxic) of failing rows of each filter: part,
+    filter (its number), prefix (a set of other filters, by bits), vain, n, good, toxic.
+    Not vain: the rows that the filter removes behind the prefix. Vain: the failing rows
+    that the prefix's last filter, in the order of `fails`, is the first to remove."""
+    columns = ["filter", "prefix", "vain", "row", "part", "good", "toxic"]
+    tables = [
+        df.withColumns({"filter": F.lit(i), "prefix": F.lit(0), "vain": F.lit(False)}).select(columns)
+        for i, df in enumerate(fails.values())
+    ]
+    for i, failing in enumerate(fails.values()):
+        rows = reduce(DataFrame.unionByName, tables).filter(f"filter <> {i} AND NOT vain")
+        rows = rows.withColumn("prefix", F.col("prefix") + F.lit(1 << i))
         ids = failing.select("row")
-        columns = ["filter", longer, "row", "part", "good", "toxic"]
-        tables.append(cut(rows.join(ids, "row", "left_anti").select(columns)))
-        dropped = rows.join(ids, "row", "left_semi").select(columns)
-        in_vain.append(dropped.groupBy("filter", "prefix", "part").agg(*counts))
-    removed = reduce(DataFrame.unionByName, tables).groupBy("filter", "prefix", "part").agg(*counts)
-    return cut(removed), cut(reduce(DataFrame.unionByName, in_vain))
+        stay = rows.join(ids, "row", "left_anti").select(columns)
+        gone = rows.join(ids, "row", "left_semi").withColumn("vain", F.lit(True)).select(columns)
+        tables.append(cut(stay.union(gone)))
+    whole = reduce(DataFrame.unionByName, tables)
+    return whole.groupBy("part", "filter", "prefix", "vain").agg(
+        F.count("*").alias("n"), F.sum("good").alias("good"), F.sum("toxic").alias("toxic")
+    )
 
 
-def orders(letters: str) -> list[tuple[str, int, str, int, list[int]]]:
-    """filter_order, step, filter, its prefix, and the prefixes that lead to that by
-    the order of letters. As many rows as the filters have orders and steps."""
+def orders(letters: str) -> list[dict]:
+    """Of each step of each order: its filter and prefix as a cell's number, the cells
+    of the steps so far, the cells that the semi joins gave on the way to its prefix,
+    the cell behind all other filters, and the cells of this filter's step in every
+    order."""
+    n = len(letters)
+    every = (1 << n) - 1
     found = []
-    for order in itertools.permutations(letters):
-        for i, letter in enumerate(order):
-            bits = sorted(_bit(x, letters) for x in order[:i])
-            lead = list(itertools.accumulate(bits))
-            found.append(("".join(order), i + 1, letter, sum(bits), lead))
+    for order in itertools.permutations(range(n)):
+        steps = [_cell(x, sum(1 << y for y in order[:i])) for i, x in enumerate(order)]
+        for i, x in enumerate(order):
+            way = itertools.accumulate(sorted(1 << y for y in order[:i]))
+            found.append(
+                {
+                    "filter_order": "".join(letters[y] for y in order),
+                    "step": i + 1,
+                    "cell": steps[i],
+                    "so_far": steps[: i + 1],
+                    "on_the_way": [_cell(x, prefix) for prefix in way],
+                    "alone": _cell(x, every - (1 << x)),
+                    "filter": x,
+                }
+            )
     return found
 
 
+STEP = (
+    "array<struct<filter_order: string, step: int, cell: int, so_far: array<int>, "
+    "on_the_way: array<int>, alone: int, filter: int>>"
+)
+CELL = 1 << 10  # more than there are sets of filters
+DOCUMENTS = -1  # the cell of all documents
+
+
+def _cell(number, prefix):
+    return number * CELL + prefix
+
+
 def audit(rows: DataFrame, letters: str = LETTERS) -> DataFrame:
     """part, filter_order, step, kept, removed, redundant, unique_fails, good_lost,
     toxic_lost, shapley, for all orders of the filters. `rows` are stored: row, part,
     good, toxic and a boolean column for each filter."""
-    spark = rows.sparkSession
     columns = ["row", "part", "good", "toxic"]
     fails = {x: cut(rows.filter(x).select(columns)) for x in letters}
-    removed, in_vain = removals(fails)
-    schema = "filter_order string, step int, filter string, prefix int, lead array<int>"
-    steps = spark.createDataFrame(orders(letters), schema)
-    key = ["filter", "prefix", "part"]
-    parts = cut(rows.groupBy("part").agg(F.count("*").alias("documents")))
-    # The counts of each filter, set and part, zeros included.
-    sets = steps.select("filter", "prefix", "lead").dropDuplicates(["filter", "prefix"])
-    cells = parts.join(F.broadcast(sets))  # a fixed number of rows for each part
-    led = cells.select(*key, F.explode("lead").alias("on_the_way"))
-    vain = in_vain.select("filter", F.col("prefix").alias("on_the_way"), "part", F.col("n").alias("redundant"))
-    redundant = led.join(vain, ["filter", "on_the_way", "part"]).groupBy(*key)
-    redundant = redundant.agg(F.sum("redundant").alias("redundant"))
-    cells = cells.drop("lead").join(removed, key, "left").join(redundant, key, "left")
-    cells = cut(cells.na.fill(0, [*COUNTS, "redundant"]))
-    every = (1 << len(letters)) - 1
-    alone = every - reduce(
-        lambda c, x: F.when(F.col("filter") == x, _bit(x, letters)).otherwise(c), letters, F.lit(0)
+    counts = removals(fails)
+    zero = F.lit(0).cast("long")
+    documents = rows.groupBy("part").agg(F.count("*").alias("n")).select(
+        "part", F.lit(DOCUMENTS).alias("cell"), F.lit(False).alias("vain"), "n",
+        zero.alias("good"), zero.alias("toxic"), zero.alias("shapley"), zero.alias("filter"),
+    )
+    size = F.bit_count("prefix").cast("int")
+    times = F.factorial(size) * F.factorial(F.lit(len(letters) - 1) - size)
+    cells = counts.select(
+        "part", _cell(F.col("filter"), F.col("prefix")).alias("cell"), "vain", "n", "good", "toxic",
+        F.when(F.col("vain"), 0).otherwise(F.col("n") * times).alias("shapley"), "filter",
+    ).unionByName(documents)
+    # A row for each part, whose maps have a cell for each filter and set of others.
+    value = F.struct("cell", F.struct("n", "good", "toxic", "shapley", "filter"))
+    of_part = cells.groupBy("part").agg(
+        F.map_from_entries(F.collect_list(F.when(~F.col("vain"), value))).alias("removed"),
+        F.map_from_entries(F.collect_list(F.when(F.col("vain"), F.struct("cell", "n")))).alias("vain"),
     )
-    unique = cells.filter(F.col("prefix") == alone).select("part", "filter", F.col("n").alias("unique_fails"))
-    whole = cells.join(F.broadcast(steps.drop("lead")), ["filter", "prefix"]).join(unique, ["part", "filter"])
-    along = Window.partitionBy("part", "filter_order").orderBy("step")
-    of_filter = Window.partitionBy("part", "filter")
-    return whole.select(
+    steps = F.from_json(F.lit(json.dumps(orders(letters))), STEP)
+    found = of_part.withColumn("s", F.explode(steps))
+
+    def of(cell: Column, field: str) -> Column:
+        return F.coalesce(F.col("removed")[cell][field], zero)
+
+    def total(cells: Column, value) -> Column:
+        return F.aggregate(cells, zero, lambda sum_, cell: sum_ + value(cell))
+
+    own = F.filter(F.map_values("removed"), lambda v: v["filter"] == F.col("s.filter"))
+    return found.select(
         "part",
-        "filter_order",
-        "step",
-        (F.col("documents") - F.sum("n").over(along)).alias("kept"),
-        F.col("n").alias("removed"),
-        "redundant",
-        "unique_fails",
-        F.col("good").alias("good_lost"),
-        F.col("toxic").alias("toxic_lost"),
-        F.sum("n").over(of_filter).alias("shapley"),
+        "s.filter_order",
+        "s.step",
+        (of(F.lit(DOCUMENTS), "n") - total(F.col("s.so_far"), lambda c: of(c, "n"))).alias("kept"),
+        of(F.col("s.cell"), "n").alias("removed"),
+        total(F.col("s.on_the_way"), lambda c: F.coalesce(F.col("vain")[c], zero)).alias("redundant"),
+        of(F.col("s.alone"), "n").alias("unique_fails"),
+        of(F.col("s.cell"), "good").alias("good_lost"),
+        of(F.col("s.cell"), "toxic").alias("toxic_lost"),
+        F.aggregate(own, zero, lambda sum_, v: sum_ + v["shapley"]).alias("shapley"),
     )
 
 
