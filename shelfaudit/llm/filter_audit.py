@@ -86,25 +86,28 @@ def failing_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return cut(found.withColumn("E", copies(found)).drop("doc_id", "least"))
 
 
-def removals(fails: dict[str, DataFrame]) -> DataFrame:
-    """From a table (row, part, good, toxic) of failing rows of each filter: part,
-    filter (its number), prefix (a set of other filters, by bits), vain, n, good, toxic.
-    Not vain: the rows that the filter removes behind the prefix. Vain: the failing rows
-    that the prefix's last filter, in the order of `fails`, is the first to remove."""
+def removals(rows: DataFrame, letters: str) -> DataFrame:
+    """part, filter (its number), prefix (a set of other filters, by bits), vain, n,
+    good, toxic. Not vain: the rows that the filter removes behind the prefix. Vain: the
+    failing rows that the prefix's last filter, in the order of `letters`, is the first
+    to remove. A round takes every row once as it is and once with a longer prefix."""
+    fails = [cut(rows.filter(x).select("row")) for x in letters]
+    numbers = F.filter(
+        F.array(*[F.when(F.col(x), F.lit(i)) for i, x in enumerate(letters)]), lambda i: i.isNotNull()
+    )
     columns = ["filter", "prefix", "vain", "row", "part", "good", "toxic"]
-    tables = [
-        df.withColumns({"filter": F.lit(i), "prefix": F.lit(0), "vain": F.lit(False)}).select(columns)
-        for i, df in enumerate(fails.values())
-    ]
-    for i, failing in enumerate(fails.values()):
-        rows = reduce(DataFrame.unionByName, tables).filter(f"filter <> {i} AND NOT vain")
-        rows = rows.withColumn("prefix", F.col("prefix") + F.lit(1 << i))
-        ids = failing.select("row")
-        stay = rows.join(ids, "row", "left_anti").select(columns)
-        gone = rows.join(ids, "row", "left_semi").withColumn("vain", F.lit(True)).select(columns)
-        tables.append(cut(stay.union(gone)))
-    whole = reduce(DataFrame.unionByName, tables)
-    return whole.groupBy("part", "filter", "prefix", "vain").agg(
+    found = rows.withColumn("filter", F.explode(numbers))
+    found = found.withColumns({"prefix": F.lit(0), "vain": F.lit(False)}).select(columns)
+    for i, failing in enumerate(fails):
+        grows = (F.col("filter") != i) & ~F.col("vain")
+        both = F.when(grows, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+        taken = found.withColumn("longer", F.explode(both))
+        ids = failing.withColumn("longer", F.lit(True))
+        stay = taken.join(ids, ["row", "longer"], "left_anti")
+        gone = taken.join(ids, ["row", "longer"], "left_semi").withColumn("vain", F.lit(True))
+        longer = F.col("prefix") + F.when(F.col("longer"), 1 << i).otherwise(0)
+        found = cut(stay.unionByName(gone).withColumn("prefix", longer).select(columns))
+    return found.groupBy("part", "filter", "prefix", "vain").agg(
         F.count("*").alias("n"), F.sum("good").alias("good"), F.sum("toxic").alias("toxic")
     )
 
@@ -151,9 +154,7 @@ def audit(rows: DataFrame, letters: str = LETTERS) -> DataFrame:
     """part, filter_order, step, kept, removed, redundant, unique_fails, good_lost,
     toxic_lost, shapley, for all orders of the filters. `rows` are stored: row, part,
     good, toxic and a boolean column for each filter."""
-    columns = ["row", "part", "good", "toxic"]
-    fails = {x: cut(rows.filter(x).select(columns)) for x in letters}
-    counts = removals(fails)
+    counts = removals(rows, letters)
     zero = F.lit(0).cast("long")
     documents = rows.groupBy("part").agg(F.count("*").alias("n")).select(
         "part", F.lit(DOCUMENTS).alias("cell"), F.lit(False).alias("vain"), "n",
