@@ -1,14 +1,14 @@
 """Language-model scores by Brown class-based bigrams.
 
-Words belong to classes; the model is P(class | class before) * P(word | class).
+A-Z is lower-cased. Words belong to classes; the model is P(class | class before) * P(word | class).
 Exchange clustering moves one unit after the other to the class that makes the
 training text likeliest, until none moves. Its units are the `CORE` most frequent
 words and, for all others, the `ENDINGS` most frequent word shapes (the last two
-bytes and a capital), so the counts of pairs of units, which the driver clusters,
+bytes), so the counts of pairs of units, which the driver clusters,
 have a size fixed by these parameters. These classes are the seed: every further
 training word then goes to the class with the greatest gain of likelihood by the
-seed classes beside it, counted over the whole training text by a shuffle on the
-word. Words that are not in the training text have the class of their shape.
+seed classes beside it, counted over the whole training text: summed by word and
+class first, so that a word has at most two rows for each class when they meet. Words that are not in the training text have the class of their shape.
 
 The `FREQUENT` most frequent words are looked up in the tasks (a table of fixed
 size); the others are joined with their classes and counts, one row for each word
@@ -277,7 +277,10 @@ def _classed(beside: DataFrame, joint: np.ndarray) -> DataFrame:
         if len(held[0]):
             yield assign(*held)
 
-    dealt = beside.repartition("word").sortWithinPartitions("word", "packed")
+    key, n = F.shiftright("packed", COUNT_BITS), F.col("packed").bitwiseAND((1 << COUNT_BITS) - 1)
+    summed = beside.groupBy("word", key.alias("key")).agg(F.sum(n).alias("n"))
+    packed = (F.shiftleft("key", COUNT_BITS) + F.col("n")).alias("packed")
+    dealt = summed.select("word", packed).repartition("word").sortWithinPartitions("word", "packed")
     return dealt.mapInArrow(run, "word long, class int, n long")
 
 

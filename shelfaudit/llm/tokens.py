@@ -84,17 +84,16 @@ def _blocks(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def shapes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A number for a word's last two bytes and whether it starts with A to Z."""
-    last, first = raw[ends - 1].astype(np.int32), raw[starts]
+    """A number for a word's last two bytes."""
     second = np.where(ends - starts > 1, raw[ends - 2], 0).astype(np.int32)
-    capital = ((first >= 65) & (first <= 90)).astype(np.int32)
-    return (capital << 16) | (second << 8) | last
+    return (second << 8) | raw[ends - 1]
 
 
 def shaped_blocks(
     texts: list[bytes],
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """As word_blocks, with the shapes of the words; one long text at a time."""
+    """As word_blocks, A-Z lower-cased, with the shapes of the words; one long text at
+    a time."""
     for first, last in _blocks(np.fromiter(map(len, texts), np.int64, len(texts))):
         parts = (
             _stretches(texts[first], BLANK)
@@ -103,6 +102,7 @@ def shaped_blocks(
         )
         hashes, forms = [np.empty(0, np.uint64)], [np.empty(0, np.int32)]
         for raw in parts:
+            raw = _LOWER[raw]
             own, starts, ends = hash_block(raw, False)
             hashes.append(own)
             forms.append(shapes(raw, starts, ends))

@@ -282,10 +282,13 @@ def test_held_out_accuracy(spark, scores, column):
 
 
 def test_class_scores(spark, docs, rows):
-    out = class_model.score_texts(docs).collect()
-    assert len(out) == len(rows)
     held = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 5 == 1
-    train = [_words(t) for i, t, *_ in rows if not held(i)]
+    lower = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+    rows = [*rows, *((700 + i, "The the THE cat Äpfel ÄPFEL", "en", "s0", 0) for i in range(6))]
+    more = spark.createDataFrame(rows[-6:], SCHEMA)
+    out = class_model.score_texts(docs.unionByName(more, allowMissingColumns=True)).collect()
+    rows = [(i, lower(t)) for i, t, *_ in rows]
+    train = [_words(t) for i, t in rows if not held(i)]
     counts = {}
     for w in (w for text in train for w in text):
         counts[w] = counts.get(w, 0) + 1
@@ -294,14 +297,26 @@ def test_class_scores(spark, docs, rows):
     expected = sorted(
         (held(i), len(_words(t)) + 1, sum(w in counts for w in _words(t)) + 1,
          round(sum(log(counts.get(w, 0)) for w in _words(t)) + log(len(train)), 6))
-        for i, t, *_ in rows
+        for i, t in rows
     )
+    assert len(out) == len(rows)
     assert expected == sorted((r.held_out, r.n_tokens, r.n_known, round(r.base_score, 6)) for r in out)
     assert {r.train_tokens for r in out} == {n}
     assert all(r.score <= 0 for r in out)
     assert class_model.score_texts(docs.limit(0)).collect() == []
 
 
+def test_class_scores_ignore_capitals(spark):
+    six = [(i, "The the THE cat") for i in range(6)]
+    out = class_model.score_texts(spark.createDataFrame(six, "doc_id long, text string")).collect()
+    held = sum(zlib.crc32(str(i).encode()) % 5 == 1 for i in range(6))
+    train = 6 - held
+    n, v = 5 * train, 3
+    log = lambda c: np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
+    base = 3 * log(3 * train) + 2 * log(train)
+    assert {(r.train_tokens, r.n_known, round(r.base_score, 6)) for r in out} == {(n, 5, round(base, 6))}
+
+
 def test_exchange_finds_classes():
     rng = np.random.default_rng(0)
     pairs = np.zeros((9, 9))
