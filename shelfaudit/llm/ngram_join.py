@@ -324,7 +324,7 @@ def _components_of(docs: DataFrame, row: str | None = None) -> DataFrame:
     links = _links(sets, pairs)
     groups = components(links)
     members = cut(_members(linkable, leaders, groups))
-    more = cut(group_links(members.join(sets, "dig")))
+    more = cut(group_links(members, sets))
     if not more.isEmpty():  # links of components
         joined = components(more).toDF("component", "least")
         alone = joined.join(groups, joined.component == groups.node, "left_anti")

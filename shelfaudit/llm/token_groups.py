@@ -24,12 +24,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import cut
 from .repeats import Batches
 
 BLOCK_MEMBERS = 1024
-BLOCK_TOKENS = 200_000  # a set that alone is larger is a block of its own
+BLOCK_TOKENS = 200_000  # a block has at most one set beyond that
 CHUNK = 4096  # tokens compared at once
 COMPONENT = np.int64(0x5DEECE66D)  # tells a component from the block of its first member
 
@@ -65,22 +66,44 @@ def _block(rows: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
 
 
 def _into_blocks(batches: Batches) -> Batches:
-    """Reads (label, dig, tokens) in order."""
+    """Reads (number of the block, label, dig, tokens) in order."""
     held: list[tuple[int, int, np.ndarray]] = []
-    total = 0
+    now = None
     for batch in batches:
-        label, dig = (batch.column(i).to_pylist() for i in range(2))
-        for i, s in enumerate(batch.column(2)):
-            tokens = s.values.to_numpy()
-            if held and (len(held) >= BLOCK_MEMBERS or total + len(tokens) > BLOCK_TOKENS):
+        number, label, dig = (batch.column(i).to_pylist() for i in range(3))
+        for i, s in enumerate(batch.column(3)):
+            if held and number[i] != now:
                 yield _block(held)
-                held, total = [], 0
-            held.append((label[i], dig[i], tokens))
-            total += len(tokens)
+                held = []
+            now = number[i]
+            held.append((label[i], dig[i], s.values.to_numpy()))
     if held:
         yield _block(held)
 
 
+def block_numbers(members: DataFrame, order: list[str]) -> DataFrame:
+    """dig, label, and the number of each member's block: the members in `order`, cut
+    whenever another BLOCK_TOKENS are full. A member weighs as many tokens as it has,
+    but so much at least that a block has at most BLOCK_MEMBERS. How the members are
+    dealt over partitions does not show."""
+    dealt = members.select("dig", "label", "n", *order).repartitionByRange(*order)
+    placed = cut(
+        dealt.sortWithinPartitions(*order).select(
+            "dig",
+            "label",
+            F.greatest("n", F.lit(BLOCK_TOKENS // BLOCK_MEMBERS + 1)).alias("weight"),
+            F.monotonically_increasing_id().alias("at"),
+        )
+    ).withColumn("part", F.shiftright("at", 33))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy("part").agg(F.sum("weight").alias("w"))  # a row for each partition
+    before = F.coalesce(F.sum("w").over(earlier), F.lit(0)).alias("before")
+    within = Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    total = F.col("before") + F.coalesce(F.sum("weight").over(within), F.lit(0))
+    numbered = placed.join(parts.select("part", before), "part")
+    return numbered.select("dig", "label", F.floor(total / BLOCK_TOKENS).alias("number"))
+
+
 def _unions(batches: Batches) -> Batches:
     for batch in batches:
         block = batch.column(0).to_numpy()
@@ -223,17 +246,24 @@ def _sizes_fit() -> Column:
     return (5 * F.col("hi") >= 4 * F.col("lo_b")) & (5 * F.col("hi_b") >= 4 * F.col("lo"))
 
 
-def group_links(members: DataFrame) -> DataFrame:
+def group_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) of labels, enough to join all components that links of
     `members` join. Columns: key (equal for documents expected to be similar),
-    solo (has no link yet), label (its component, or its own dig), dig, n, s (its
-    tokens)."""
+    solo (has no link yet), label (its component, or its own dig), dig, n. `sets` has
+    the tokens of each: dig, s."""
     link = "a long, b long"
     lists = [x.split()[0] for x in MEMBERS.split(", ")]
-    order = ["key", "solo", "grouped", "n", "dig"]
-    grouped = members.withColumn("grouped", F.when(~F.col("solo"), F.col("label")))
-    dealt = grouped.repartitionByRange(*order).sortWithinPartitions(*order)
-    blocks = cut(dealt.select("label", "dig", "s").mapInArrow(_into_blocks, BLOCKS))
+    order = ["key", "solo", "grouped", "size", "place"]
+    grouped = members.withColumns(
+        {
+            "grouped": F.when(~F.col("solo"), F.col("label")),
+            "size": F.col("n"),
+            "place": F.col("dig"),
+        }
+    )
+    numbered = block_numbers(grouped, order).join(sets, "dig")
+    dealt = numbered.repartition("number").sortWithinPartitions("number", "dig")
+    blocks = cut(dealt.select("number", "label", "dig", "s").mapInArrow(_into_blocks, BLOCKS))
     union = cut(blocks.select("block", "tokens").mapInArrow(_unions, "block long, token long"))
     often = union.groupBy("token").agg(F.count("*").alias("often")).filter("often > 1")
     known = (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from shelfaudit.llm import ngram_join
+from shelfaudit.llm import ngram_join, token_groups
 from tests_llm_brute import brute_force
 
 
@@ -46,3 +46,24 @@ def test_odd_rows(spark):
     found = sorted(map(tuple, ngram_join.similar_documents(docs).collect()), key=str)
     assert found == [(1, 2, 1), (1, 2, 1), (None, 2, 1)]
     assert ngram_join.similar_documents(docs.limit(0)).collect() == []
+
+
+def test_blocks_do_not_depend_on_partitions(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(i, rng.randint(0, 40), i % 3 == 0, i % 7, rng.randint(1, 900)) for i in range(3000)]
+    members = spark.createDataFrame(rows, "dig long, key long, solo boolean, label long, n int")
+    monkeypatch.setattr(token_groups, "BLOCK_TOKENS", 20_000)
+    found = []
+    for n in (3, 41):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            members = members.withColumn("place", members.dig)
+            out = token_groups.block_numbers(members, ["key", "solo", "n", "place"]).collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 4)
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        found.append({(r.dig, r.number) for r in out})
+    assert found[0] == found[1] and len(found[0]) == 3000
+    total = sum(r[4] for r in rows)
+    assert total / 20_000 <= len({b for _, b in found[0]}) <= total / 20_000 + 25
