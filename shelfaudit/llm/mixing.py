@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import cut, documents, hash_key, n_words, running_total
+from .common import cut, documents, free_names, hash_key, n_words, running_total
 
 WEIGHTS = (5, 2, 1)
 SHARE_PERCENT = 150
@@ -71,15 +71,19 @@ def mix_sources(
     percent: int = SHARE_PERCENT,
     epochs: int = MAX_EPOCHS,
     seed: str = SEED,
+    row: str | None = None,
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken of every document.
+    """doc_id, source, size, source_size, target, taken of every document, and its
+    column `row`, which tells equal rows apart.
 
     `weights` go to the sources by name, repeating. The mix has `percent` of all
     words, but no source more than `epochs` times its size. `taken` counts the
     words that the mix takes from the document, repeats included.
     """
+    own = [row] if row else []
     sized = cut(
         docs.select(
+            *own,
             "doc_id",
             "source",
             F.coalesce("source", F.lit("")).alias("_source"),
@@ -92,37 +96,29 @@ def mix_sources(
     rows = per_source.agg(F.sum("_rows")).first()[0] or 0
     budgets = targets(per_source.drop("_rows"), weights, percent, epochs)
     ranked = running_total(
-        sized, SOURCE, "_key", ["doc_id", "size"], F.col("size"), "_before", rows
+        sized, SOURCE, "_key", ["doc_id", "size", *own], F.col("size"), "_before", rows
     )
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     rest = F.floor("target") - whole * F.col("source_size") - F.col("_before")
     taken = whole * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest))
     # One row per source: Spark broadcasts it if it is below the session's limit.
     return ranked.join(budgets, SOURCE).select(
-        "doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken")
+        *own, "doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken")
     )
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of `docs` as often as the mix takes them, with all their columns.
 
-    A document that the mix takes a part of comes whole. Rows equal in id, source
-    and size come as often as the one of them that is taken most."""
-    same = ["_id", "_source", "_size"]
-    taken = (
-        mix_sources(docs, **options)
-        .filter("taken > 0")
-        .groupBy(
-            F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size")
-        )
-        .agg(F.max(F.ceil(F.col("taken") / F.col("size"))).cast("int").alias("_times"))
-    )
-    sized = docs.withColumn("_words", n_words(F.col("text")).cast("long"))
-    names = dict(zip(same, ["doc_id", "source", "_words"], strict=True))
-    equal = [taken[k].eqNullSafe(sized[v]) for k, v in names.items()]
+    A document that the mix takes a part of comes whole. Rows get numbers of their own
+    and are stored with them, so that equal rows come as often as each is taken."""
+    row, times, epoch = free_names(docs.columns, "_row", "_times", "_epoch")
+    numbered = cut(docs.withColumn(row, F.monotonically_increasing_id()))
+    whole = F.ceil(F.col("taken") / F.col("size")).cast("int")
+    taken = mix_sources(numbered, row=row, **options).filter("taken > 0").select(row, whole.alias(times))
     return (
-        sized.join(taken, equal)
-        .withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+        numbered.join(taken, row)
+        .withColumn(epoch, F.explode(F.sequence(F.lit(1), F.col(times))))
         .select(*docs.columns)
     )
 

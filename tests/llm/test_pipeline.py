@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import random
 from collections import Counter
+from functools import reduce
 
 import corpus_pipeline
 import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 from shelfaudit.llm import mixing
 from tests_llm_brute import brute_force, contains
@@ -101,3 +103,33 @@ def test_one_row_of_each_group_of_near_duplicates_stays(spark, tmp_path):
     by_id = {i: t for i, t, _ in kept if i is not None}
     assert by_id == {1: a, 2: b, 3: d, 4: e, 5: None}
     assert {t for i, t, _ in kept if i is None} in ({c, "", None}, {c + " end", "", None})
+
+
+def test_columns_of_users_stay_in_every_stage(spark, tmp_path):
+    _tables(tmp_path)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    names = ["score", "predicted", "_id", "_row", "_words", "_size", "_epoch", "_times", "n"]
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, F.col("doc_id") * 100 + i)
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{number}")
+        out = spark.read.parquet(f"{tmp_path}/{number}")
+        assert out.columns == docs.columns and not out.isEmpty()
+        wrong = [F.col(x) != F.col("doc_id") * 100 + i for i, x in enumerate(names)]
+        assert out.filter(reduce(lambda a, b: a | b, wrong)).isEmpty(), name
+
+
+def test_mix_takes_equal_rows_one_by_one(spark):
+    text = " ".join(["word"] * 10)
+    for ids in (range(400), [None] * 400, [7] * 400):
+        rows = [(i, text, "s") for i in ids]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        assert mixing.mixed_documents(docs).count() == 600
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    _tables(tmp_path)
+    for name in ("documents", "labels", "benchmark"):
+        empty = spark.read.parquet(f"{tmp_path}/{name}.parquet").limit(0)
+        empty.write.parquet(f"{tmp_path}/empty/{name}.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").collect() == []
