@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfaudit.llm.common import cut, documents
+from shelfaudit.llm.common import cut, documents, free_names
 from shelfaudit.llm.decontamination import decontaminate
 from shelfaudit.llm.mixing import mixed_documents
 from shelfaudit.llm.ngram_join import first_rows
@@ -21,15 +21,18 @@ from shelfaudit.llm.sharding import shard_documents
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Those that the quality classifier does not reject."""
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), "quality")
-    return score_documents(docs, model).filter("predicted = 1").select(*docs.columns)
+    score, predicted = free_names(docs.columns, "score", "predicted")
+    scored = score_documents(docs, model, names=(score, predicted))
+    return scored.filter(F.col(predicted) == 1).select(*docs.columns)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the row with the smallest id, null last;
     of equal ids one row. `docs` is stored, so that rows keep their numbers."""
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    first = first_rows(numbered, "_row")
-    return numbered.join(first, "_row", "left_semi").select(*docs.columns)
+    row = free_names(docs.columns, "_row")[0]
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    first = first_rows(numbered, row)
+    return numbered.join(first, row, "left_semi").select(*docs.columns)
 
 
 def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
