@@ -20,6 +20,7 @@ from shelfaudit.operators import (  # noqa: E402
     back_data,
     coverage,
     duplication,
+    history,
     hygiene,
     index,
     trend,
@@ -191,6 +192,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "back_data_check": _back_data_check,
         "back_data_differences": _back(back_data.back_data_differences),
         "back_data_missing_keys": _back(back_data.back_data_missing_keys),
+        "history_check": _back(history.history_check),
+        "history_changes": _back(history.changed_items),
+        "history_check_swapped": lambda spark, sf: history.history_check(
+            X.pricing_prior(spark, sf), X.pricing_swapped(spark, sf)
+        ),
+        "history_changes_swapped": lambda spark, sf: history.changed_items(
+            X.pricing_prior(spark, sf), X.pricing_swapped(spark, sf)
+        ),
         "period_counts": _current(index.period_counts, title="counts"),
         "store_index": _current(index.store_index),
         "kvi_index": _current(index.kvi_index),

@@ -410,6 +410,59 @@ def _fine_back_data() -> str:
     return _with(*ctes)
 
 
+_SWAPPED = """
+pricing_swapped AS (
+  SELECT * REPLACE (CASE WHEN NOT starts_with(time_period, '1996') THEN upc
+           WHEN upc = MIN(upc) OVER g THEN MAX(upc) OVER g
+           WHEN upc = MAX(upc) OVER g THEN MIN(upc) OVER g ELSE upc END AS upc)
+  FROM pricing_prior WINDOW g AS (PARTITION BY market_name, time_period, condition))"""
+_HISTORY_SUMS = ["units", "dollars", "market_units", "market_dollars"]
+
+
+def _history(new: str) -> str:
+    """Rows of two tables compared one by one, copies counted; no hash, no sum."""
+    group = "time_period, condition, market_name"
+    sums = " AND ".join(f"SUM(sign * {c}) = 0" for c in _HISTORY_SUMS)
+    return f"""
+, p AS (SELECT *, COUNT(*) AS copies FROM pricing_prior GROUP BY ALL),
+c AS (SELECT *, COUNT(*) AS copies FROM {new} GROUP BY ALL),
+odd AS (
+  (SELECT * FROM p EXCEPT SELECT * FROM c) UNION ALL (SELECT * FROM c EXCEPT SELECT * FROM p)),
+two AS (SELECT *, -1 AS sign FROM pricing_prior UNION ALL SELECT *, 1 AS sign FROM {new}),
+checked AS (
+  SELECT {group},
+         CASE WHEN COUNT(*) FILTER (sign < 0) = 0 THEN 'new'
+              WHEN COUNT(*) FILTER (sign > 0) = 0 THEN 'missing'
+              WHEN ({group}) IN (SELECT ({group}) FROM odd) THEN 'changed' ELSE 'same' END AS status,
+         SUM(sign) = 0 AND {sums} AS sums_equal,
+         COUNT(*) FILTER (sign < 0) AS prior_rows, COUNT(*) FILTER (sign > 0) AS current_rows
+  FROM two GROUP BY {group})
+"""
+
+
+def _history_check(new: str) -> str:
+    return _history(new) + """
+SELECT *, CASE WHEN status IN ('same', 'new') THEN 'PASS' ELSE 'FAIL' END AS history_flag
+FROM checked"""
+
+
+def _history_changes(new: str) -> str:
+    item = "time_period, condition, market_name, upc"
+    group = "time_period, condition, market_name"
+    changes = ", ".join(
+        f"round(CAST(SUM(sign * {c}) AS DOUBLE), 4) AS {c}_diff" for c in _HISTORY_SUMS
+    )
+    return _history(new) + f"""
+SELECT {item},
+       CASE WHEN COUNT(*) FILTER (sign < 0) = 0 THEN 'new'
+            WHEN COUNT(*) FILTER (sign > 0) = 0 THEN 'missing' ELSE 'changed' END AS status,
+       COUNT(*) FILTER (sign < 0) AS prior_rows, COUNT(*) FILTER (sign > 0) AS current_rows, {changes}
+FROM two
+WHERE ({group}) IN (SELECT ({group}) FROM checked WHERE status = 'changed')
+  AND ({item}) IN (SELECT ({item}) FROM odd)
+GROUP BY {item}"""
+
+
 def oracle_sql() -> dict[str, str]:
     found = _library_sql()
     suite = ("duplication", "coverage", "back_data")
@@ -469,6 +522,11 @@ WHERE TRY_CAST(left(time_period, 10) AS DATE) IS NULL GROUP BY time_period""",
             _BASE, _CURRENT, _PRIOR, _metrics("prior"), _metrics("current")
         )
         + _key_status("prior_metrics", "current_metrics", ["time_period", "condition"]),
+        "history_check": _with(_BASE, _CURRENT, _PRIOR) + _history_check("pricing_current"),
+        "history_changes": _with(_BASE, _CURRENT, _PRIOR) + _history_changes("pricing_current"),
+        "history_check_swapped": _with(_BASE, _PRIOR, _SWAPPED) + _history_check("pricing_swapped"),
+        "history_changes_swapped": _with(_BASE, _PRIOR, _SWAPPED)
+        + _history_changes("pricing_swapped"),
         "period_counts": _with(_BASE, _CURRENT, _COUNTS)
         + """
 SELECT time_period AS "Time_Period", market_count AS "Count of Markets",

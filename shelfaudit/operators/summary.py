@@ -20,13 +20,13 @@ from pyspark.sql import functions as F
 
 from shelfaudit import schema as S
 from shelfaudit.config import DEFAULT, QcConfig
-from shelfaudit.functions.expr import index_terms, index_units
+from shelfaudit.functions.expr import PRINTS, index_terms, index_units, row_prints
 
 DIMENSIONS = ["time_period", "condition", "market_name"]
 CLASSES = ["is_kvi", "is_store", "is_sold"]
 ADDITIVE = [
     "row_count", "upc_count", "units", "dollars", "market_units", "market_dollars",
-    "index_whole", "index_rest", "index_units",
+    "index_whole", "index_rest", "index_units", *PRINTS,
 ]
 
 
@@ -47,6 +47,7 @@ def measures(pricing: DataFrame, config: QcConfig = DEFAULT) -> DataFrame:
     """One output row per input row. A NULL class counts as "no"."""
     units, volume = F.col("units"), F.col("price_weighted_volume")
     whole, rest = index_terms(F.col("dollars"), volume, units, config.on_zero)
+    prints = row_prints([F.col(n) for n in S.PRICING.fieldNames()])
     return pricing.select(
         *DIMENSIONS,
         _is_kvi().alias("is_kvi"),
@@ -63,6 +64,7 @@ def measures(pricing: DataFrame, config: QcConfig = DEFAULT) -> DataFrame:
         whole.alias("index_whole"),
         rest.alias("index_rest"),
         index_units(volume, units, config.on_zero).alias("index_units"),
+        *[c.alias(n) for n, c in prints.items()],
     )
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shelfaudit import schema as S
 
@@ -128,6 +129,21 @@ def pricing_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pricing_swapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published table after an edit that no sum shows: in each group of the year
+    1996 the first and the last item, by text, have changed places."""
+    group = Window.partitionBy("market_name", "time_period", "condition")
+    first, last = F.min("upc").over(group), F.max("upc").over(group)
+    edited = (
+        F.when(~F.col("time_period").startswith("1996"), F.col("upc"))
+        .when(F.col("upc") == first, last)
+        .when(F.col("upc") == last, first)
+        .otherwise(F.col("upc"))
+    )
+    prior = pricing_prior(spark, sf_dir)
+    return prior.withColumn("upc", edited).select(*prior.columns)
+
+
 def pricing_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pricing_current`` with every 97th item's rows written twice."""
     twice = F.when(F.col("upc").cast("bigint") % 97 == 0, 2).otherwise(1)
