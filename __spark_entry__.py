@@ -6,6 +6,7 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,9 +24,11 @@ from shelfaudit.operators import (  # noqa: E402
     history,
     hygiene,
     index,
+    item_bits,
     trend,
 )
 from shelfaudit.plans import suite  # noqa: E402
+from shelfaudit.plans.increments import SummaryStore  # noqa: E402
 from shelfaudit.sources import fixtures as X  # noqa: E402
 from shelfaudit.sources.tables import pricing_table, read_table  # noqa: E402
 from shelfaudit.sources.store import Workspace, publish, report_folder, snapshot  # noqa: E402
@@ -38,9 +41,11 @@ except ImportError:
     corpus = corpus_pipeline = None
 
 FOCUS = QcConfig(focus_markets=tuple(X.FOCUS_MARKETS))
+TREND_TOLERANCE = 0.05
+TRENDING = replace(FOCUS, trend_tolerance=TREND_TOLERANCE)
+LENIENT = QcConfig(on_zero="skip", on_bad_date="null", collapse_labels=True)
 WAIVED = QcConfig(focus_markets=FOCUS.focus_markets, waive=frozenset({"item_count"}))
 ALL_CHARACTERS = {**CHARACTERS, **NBSP_160}
-TREND_TOLERANCE = 0.05
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -70,32 +75,105 @@ def _index_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.titled(report, "index").orderBy("Time_Period", "Condition")
 
 
-def _index_location(spark: SparkSession) -> tuple[str, str]:
-    table = f"qc_index_{uuid.uuid4().hex}"
-    return table, report_folder(spark, table)
-
-
 def _published_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = f"qc_index_{uuid.uuid4().hex}"
     with Workspace(spark) as run:
         frozen = snapshot(X.pricing_current(spark, sf_dir), run)
         summary = suite.stored_summary(frozen, run, "current")
-        return suite.published_index(index.index_report(summary), *_index_location(spark))
+        report = index.index_report(summary)
+        found = suite.published_index(report, table, f"{run.path}/published").checkpoint()
+        spark.sql(f"DROP TABLE {table}")
+    return found
 
 
-def _suite_report(name: str, title: str | None = None):
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        reports = suite.run_qc_suite(
-            X.raw_pricing(spark, sf_dir),
+def _published_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index report, published twice to a folder and read through its pointer."""
+    with Workspace(spark) as run:
+        location = f"{run.path}/published"
+        summary = suite.stored_summary(X.pricing_prior(spark, sf_dir), run, "prior")
+        suite.published_index(index.index_report(summary), None, location)
+        summary = suite.stored_summary(X.pricing_current(spark, sf_dir), run, "current")
+        return suite.published_index(index.index_report(summary), None, location).checkpoint()
+
+
+_SUITES: dict[tuple, dict[str, DataFrame]] = {}
+
+
+def _suite(spark: SparkSession, sf_dir: str, odd: bool) -> dict[str, DataFrame]:
+    """The reports of one run of the suite, which all queries on them read. The odd run
+    has duplicate keys and labels without a date."""
+    key = (spark.sparkContext.applicationId, sf_dir, odd)
+    if key not in _SUITES:
+        template = X.pricing_odd if odd else X.pricing_current
+        _SUITES[key] = suite.run_qc_suite(
+            (X.raw_mixed if odd else X.raw_pricing)(spark, sf_dir),
             X.pricing_prior(spark, sf_dir),
-            X.pricing_current(spark, sf_dir),
-            index_table=f"qc_index_{uuid.uuid4().hex}",
-            config=FOCUS,
+            template(spark, sf_dir),
+            index_table=None,
+            config=LENIENT if odd else TRENDING,
+            index_location=report_folder(spark, f"qc_index_{'odd_' * odd}{os.path.basename(sf_dir)}"),
         )
-        return S.titled(reports[name], title) if title else reports[name]
+    return _SUITES[key]
+
+
+def _suite_report(name: str, title: str | None = None, odd: bool = False):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        report = _suite(spark, sf_dir, odd)[name]
+        return S.titled(report, title) if title else report
 
     return query
 
 
+def _of_bits(report, prepared=X.pricing_current):
+    """A report that reads sums and distinct items from one table of bit slices."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        pricing = prepared(spark, sf_dir)
+        numbers = item_bits.item_numbers(pricing)
+        bits = item_bits.bit_slices(pricing, numbers, numbers.count())
+        return report(item_bits.bit_summary(bits))
+
+    return query
+
+
+def _incremental_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index report of a table that grew, changed and shrank between three updates of
+    the summary that is kept of it."""
+    current, prior = X.pricing_current(spark, sf_dir), X.pricing_prior(spark, sf_dir)
+    with Workspace(spark) as run:
+        table = f"{run.path}/table"
+        store = SummaryStore(spark, f"{run.path}/summary")
+        newest = F.col("time_period") >= "2000"
+        current.filter(~newest).write.parquet(f"{table}/old")
+        prior.filter(newest).write.parquet(f"{table}/new")
+        store.update(table, shape=_as_is)
+        current.filter(newest).write.mode("overwrite").parquet(f"{table}/new")
+        store.update(table, shape=_as_is)
+        summary, _ = store.update(table, shape=_as_is)
+        return S.titled(index.index_report(summary), "index").checkpoint()
+
+
+def _as_is(df: DataFrame) -> DataFrame:
+    return df
+
+
+def _hashed_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with Workspace(spark) as run:
+        dirty = X.pricing_dirty(spark, sf_dir)
+        return duplication.duplicate_keys_by_hash(dirty, run).checkpoint()
+
+
+def _stepped_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trend of the periods from 2000 on, each year from the state that the years
+    before it left."""
+    report = index.index_report(X.pricing_current(spark, sf_dir)).checkpoint()
+    year = F.left("time_period", F.lit(4))
+    _, state = trend.trend_step(None, report.filter(year < "2000"), TREND_TOLERANCE)
+    first, state = trend.trend_step(state, report.filter(year == "2000"), TREND_TOLERANCE)
+    second, _ = trend.trend_step(state, report.filter(year > "2000"), TREND_TOLERANCE)
+    return first.drop("is_latest", "condition_ended").unionByName(second.drop("is_latest", "condition_ended"))
+
+
 def _snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     with Workspace(spark) as run:
         return snapshot(X.pricing_current(spark, sf_dir), run).checkpoint()
@@ -103,8 +181,8 @@ def _snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _load_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Back data of two catalog tables with a user's column names, in two databases,
-    whose units have four decimals."""
-    tables = []
+    whose units have four decimals. One has its column names in capitals."""
+    names = []
     for database, df in (
         ("shelf_live", X.pricing_prior(spark, sf_dir)),
         ("shelf_work", X.pricing_current(spark, sf_dir)),
@@ -113,9 +191,15 @@ def _load_path(spark: SparkSession, sf_dir: str) -> DataFrame:
         factor = F.lit("1.01").cast("decimal(3,2)")
         fine = df.withColumns({c: F.col(c) * factor for c in ("units", "market_units")})
         name = f"spark_catalog.{database}.pricing_{uuid.uuid4().hex}"
-        fine.withColumnsRenamed(S.PRICING_SOURCE).write.saveAsTable(name)
-        tables.append(pricing_table(read_table(spark, name)))
-    return S.titled(back_data.back_data_check(*tables), "back_data")
+        # Names are found whatever the case of their letters.
+        titles = {n: t.upper() if database == "shelf_work" else t for n, t in S.PRICING_SOURCE.items()}
+        fine.withColumnsRenamed(titles).write.saveAsTable(name)
+        names.append(name)
+    tables = [pricing_table(read_table(spark, name)) for name in names]
+    found = S.titled(back_data.back_data_check(*tables), "back_data").checkpoint()
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+    return found
 
 
 def _trend_of_ended(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,11 +214,14 @@ def _trend_of_ended(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _strip_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overwrite a column of a table: publish a new version of all its rows."""
     table = f"codes_{uuid.uuid4().hex}"
-    location = report_folder(spark, table)
-    codes = X.codes(spark, sf_dir)
-    before = publish(codes, table, location, codes.schema)
-    after = hygiene.strip_chars(before, "original_upc", source="upc")
-    return publish(after, table, location, codes.schema)
+    with Workspace(spark) as run:
+        location = f"{run.path}/codes"
+        codes = X.codes(spark, sf_dir)
+        before = publish(codes, table, location, codes.schema)
+        after = hygiene.strip_chars(before, "original_upc", source="upc")
+        found = publish(after, table, location, codes.schema).checkpoint()
+        spark.sql(f"DROP TABLE {table}")
+    return found
 
 
 def _current(operator, *args, title: str | None = None):
@@ -175,6 +262,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "duplicate_keys": lambda spark, sf: duplication.duplicate_keys(
             X.pricing_dirty(spark, sf)
         ),
+        "duplicate_keys_by_hash": _hashed_duplicates,
+        "raw_volume_mixed": lambda spark, sf: coverage.raw_volume(X.raw_mixed(spark, sf), LENIENT),
+        "store_index_zero": lambda spark, sf: index.store_index(X.pricing_zero(spark, sf), LENIENT),
         "raw_volume": lambda spark, sf: coverage.raw_volume(X.raw_pricing(spark, sf)),
         "template_volume": _current(coverage.template_volume),
         "coverage_check": _coverage(coverage.coverage_check, FOCUS, "coverage"),
@@ -205,7 +295,23 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "kvi_index": _current(index.kvi_index),
         "index_report": _index_report,
         "published_index": _published_index,
+        "published_files": _published_files,
+        "incremental_index": _incremental_index,
+        "item_bits_counts": _of_bits(lambda s: S.titled(index.period_counts(s), "counts")),
+        "item_bits_metrics": _of_bits(
+            lambda s: back_data.period_condition_metrics(s, "prior"), X.pricing_prior
+        ),
+        "item_bits_kvi": _of_bits(
+            lambda s: item_bits.item_counts(s.measures, ["time_period", "condition", "market_name"])
+        ),
+        "trend_steps": _stepped_trend,
         "qc_suite": _suite_report("index"),
+        "qc_suite_history": _suite_report("history"),
+        "qc_suite_trend": _suite_report("trend"),
+        "qc_suite_back_data_differences": _suite_report("back_data_differences"),
+        "qc_suite_duplicate_keys": _suite_report("duplicate_keys", odd=True),
+        "qc_suite_unparsed_raw": _suite_report("unparsed_raw", odd=True),
+        "qc_suite_unparsed_template": _suite_report("unparsed_template", odd=True),
         "qc_suite_duplication": _suite_report("duplication", "duplication"),
         "qc_suite_coverage": _suite_report("coverage", "coverage"),
         "qc_suite_coverage_keys": _suite_report("coverage_keys"),
@@ -225,6 +331,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "char_profile_documents": lambda spark, sf: hygiene.char_profile_summary(
             spark.read.parquet(f"{sf}/documents.parquet"), "text", ALL_CHARACTERS
         ),
+        "code_points": _codes(hygiene.code_points, "upc"),
+        "code_points_documents": lambda spark, sf: hygiene.code_points(
+            spark.read.parquet(f"{sf}/documents.parquet"), "text"
+        ),
+        "strip_controls": lambda spark, sf: hygiene.strip_chars(
+            X.codes(spark, sf),
+            "upc",
+            characters=hygiene.control_characters(X.codes(spark, sf), "upc", keep="\t"),
+        ),
         "strip_chars": lambda spark, sf: hygiene.strip_chars(
             X.codes(spark, sf),
             "upc",

@@ -477,10 +477,71 @@ def oracle_sql() -> dict[str, str]:
     found["load_path_back_data"] = found["back_data_check"].replace(
         _with(*_BACK_CTES), _fine_back_data(), 1
     )
+    found |= {f"qc_suite_{n}": found[n] for n in ("back_data_differences",)}
+    found["qc_suite_history"] = found["history_check"]
+    found["qc_suite_trend"] = found["trend_check"]
+    found["trend_steps"] = (
+        "SELECT * EXCLUDE (is_latest, condition_ended) FROM (" + found["trend_check"]
+        + ") WHERE period_date >= DATE '2000-01-01'"
+    )
+    found["published_files"] = found["incremental_index"] = found["published_index"]
+    found["item_bits_counts"] = found["period_counts"]
+    found["item_bits_metrics"] = found["prior_metrics"]
+    found["duplicate_keys_by_hash"] = found["duplicate_keys"]
     found["trend_check_ended"] = _trend(["store_index", "dollars", "units"], 0.05, *_ENDED)
     return found
 
 
+_RAW_MIXED = """
+raw_mixed AS (
+  SELECT * REPLACE (CASE WHEN CAST(upc AS BIGINT) % 7 = 0 THEN 'QTR unknown'
+           WHEN CAST(upc AS BIGINT) % 3 = 0
+             THEN 'QTR ' || strftime(CAST(right(time_period, 10) AS DATE), '%m/%d/%Y')
+           ELSE time_period END AS time_period)
+  FROM raw_pricing)"""
+_ODD = """
+pricing_odd AS (
+  SELECT * REPLACE (CASE WHEN CAST(upc AS BIGINT) % 89 = 0 THEN 'unknown QTR'
+           ELSE time_period END AS time_period)
+  FROM pricing_dirty)"""
+_MIXED_VOLUME = """
+SELECT market_name,
+       coalesce(TRY_CAST(right(time_period, 10) AS DATE),
+                CAST(try_strptime(right(time_period, 10), '%m/%d/%Y') AS DATE)) AS period_date,
+       COUNT(upc) AS raw_item_count,
+       CAST(SUM(units) AS DOUBLE) AS raw_client_units, CAST(SUM(comp_units) AS DOUBLE) AS raw_rom_units,
+       CAST(SUM(dollars) AS DOUBLE) AS raw_client_dollars,
+       CAST(SUM(comp_dollars) AS DOUBLE) AS raw_rom_dollars
+FROM raw_mixed WHERE units > 10 AND comp_units > 0 GROUP BY ALL"""
+_ZERO_INDEX = """
+SELECT time_period, condition,
+       round(SUM(CASE WHEN w <> 0 THEN 100 * (CAST(dollars AS DOUBLE) / w) * CAST(units AS DOUBLE) END)
+             / CAST(SUM(CASE WHEN w <> 0 THEN units END) AS DOUBLE), 4) AS store_index,
+       CAST(SUM(dollars) AS DOUBLE) AS dollars, CAST(SUM(units) AS DOUBLE) AS units,
+       CAST(SUM(market_dollars) AS DOUBLE) AS market_dollars,
+       CAST(SUM(market_units) AS DOUBLE) AS market_units
+FROM (SELECT *, CASE WHEN CAST(upc AS BIGINT) % 71 = 0 THEN 0
+             ELSE CAST(price_weighted_volume AS DOUBLE) END AS w FROM pricing_current)
+WHERE outlier_flag <> 'Outlier' GROUP BY time_period, condition"""
+
+
+def _code_points(column: str, table: str) -> str:
+    return f"""
+SELECT unicode(ch) AS code, COUNT(*) AS value_count,
+       regexp_matches(ch, '\\p{{Cc}}') AS is_control,
+       regexp_matches(ch, '[\\p{{Z}}\\x09-\\x0D]') AS is_space
+FROM (SELECT unnest(list_distinct(regexp_extract_all({column}, '(?s).'))) AS ch FROM {table})
+GROUP BY ch"""
+
+
+def _unread(table: str, end: str) -> str:
+    return f"""
+SELECT time_period, COUNT(*) AS row_count FROM {table}
+WHERE TRY_CAST({end}(time_period, 10) AS DATE) IS NULL
+  AND try_strptime({end}(time_period, 10), '%m/%d/%Y') IS NULL
+GROUP BY time_period"""
+
+
 def _library_sql() -> dict[str, str]:
     codes = _with(_CODES)
     current = _with(_BASE, _CURRENT)
@@ -493,6 +554,24 @@ def _library_sql() -> dict[str, str]:
         + """
 SELECT market_name, time_period, upc, condition, COUNT(*) AS copies
 FROM pricing_dirty GROUP BY market_name, time_period, upc, condition HAVING COUNT(*) > 1""",
+        "qc_suite_duplicate_keys": _with(_BASE, _CURRENT, _DIRTY, _ODD)
+        + """
+SELECT market_name, time_period, upc, condition, COUNT(*) AS copies
+FROM pricing_odd GROUP BY ALL HAVING COUNT(*) > 1""",
+        "qc_suite_unparsed_raw": _with(_BASE, _RAW, _RAW_MIXED) + _unread("raw_mixed", "right"),
+        "qc_suite_unparsed_template": _with(_BASE, _CURRENT, _DIRTY, _ODD)
+        + _unread("pricing_odd", "left"),
+        "raw_volume_mixed": _with(_BASE, _RAW, _RAW_MIXED) + _MIXED_VOLUME,
+        "store_index_zero": current + _ZERO_INDEX,
+        "item_bits_kvi": current
+        + """
+SELECT time_period, condition, market_name, COUNT(DISTINCT upc) AS item_count,
+       COUNT(DISTINCT CASE WHEN kvi_quad = 'KVI' THEN upc END) AS kvi_item_count
+FROM pricing_current GROUP BY ALL""",
+        "code_points": codes + _code_points("upc", "codes"),
+        "code_points_documents": _code_points("text", "documents"),
+        "strip_controls": codes
+        + f"SELECT original_upc, {_strip('upc', [8, 10, 11, 12, 13])} AS upc FROM codes",
         "raw_volume": _with(_BASE, _RAW, _RAW_VOLUME) + _volume("raw_volume", "raw"),
         "template_volume": _with(_BASE, _CURRENT, _TEMPLATE_VOLUME)
         + _volume("template_volume", "template"),

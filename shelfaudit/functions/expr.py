@@ -61,12 +61,17 @@ def stability_flag(prior: Column, current: Column, diff: Column, tolerance: floa
 PRINTS = ["print_0", "print_1", "print_2", "print_3"]
 
 
+def row_hash(columns: Sequence[Column], seed: int = 0) -> Column:
+    """A 64-bit hash of a row. Which columns are NULL is hashed too, since the hash
+    itself passes over them."""
+    nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in columns])
+    return F.xxhash64(F.lit(seed), nulls, *columns)
+
+
 def row_prints(columns: Sequence[Column]) -> dict[str, Column]:
     """A 128-bit hash of a row as four numbers below 2**32, whose sums over rows are
-    a fingerprint of the set of rows. Which columns are NULL is hashed too, since a
-    hash passes over them."""
-    nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in columns])
-    hashes = F.xxhash64(nulls, *columns), F.xxhash64(F.lit(1), nulls, *columns)
+    a fingerprint of the set of rows."""
+    hashes = [row_hash(columns, seed) for seed in (0, 1)]
     halves = [half for h in hashes for half in (h.bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(h, 32))]
     return dict(zip(PRINTS, halves, strict=True))
 

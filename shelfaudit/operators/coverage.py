@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,10 +15,11 @@ from shelfaudit.operators.comparison import (
     pct_differences,
     side_by_side,
 )
-from shelfaudit.operators.summary import Summary, summary_of
+from shelfaudit.operators.summary import Summary, summary_of, totals
 
 MEASURES = list(LOSS_THRESHOLDS)
 KEYS = ["market_name", "period_date"]
+RAW_VOLUMES = ["units", "comp_units", "dollars", "comp_dollars"]
 
 
 def _focus(df: DataFrame, config: QcConfig) -> DataFrame:
@@ -42,14 +45,38 @@ def _volume(rows: DataFrame, aggregates: dict, side: str, config: QcConfig) -> D
     return dated(grouped).select(*KEYS, *aggregates)
 
 
-def raw_volume(raw: DataFrame, config: QcConfig = DEFAULT) -> DataFrame:
-    sold = raw.filter(
-        (F.col("units") > config.min_units) & (F.col("comp_units") > config.min_market_units)
+@dataclass(frozen=True)
+class RawSummary:
+    """``measures``: market_name, time_period, is_sold and additive columns."""
+
+    measures: DataFrame
+
+
+def raw_measures(raw: DataFrame, config: QcConfig = DEFAULT) -> DataFrame:
+    """One output row per row of the feed, in columns that add up."""
+    units, comp_units = F.col("units"), F.col("comp_units")
+    return raw.select(
+        "market_name",
+        "time_period",
+        ((units > config.min_units) & (comp_units > config.min_market_units)).alias("is_sold"),
+        F.lit(1).cast("bigint").alias("row_count"),
+        F.col("upc").isNotNull().cast("bigint").alias("upc_count"),
+        *RAW_VOLUMES,
     )
+
+
+def raw_slices(raw: DataFrame, config: QcConfig = DEFAULT) -> DataFrame:
+    """The feed added up by market and label, in one scan: all that the reports need."""
+    keys = ["market_name", "time_period", "is_sold"]
+    return totals(raw_measures(raw, config), keys, ["row_count", "upc_count", *RAW_VOLUMES])
+
+
+def raw_volume(raw: DataFrame | RawSummary, config: QcConfig = DEFAULT) -> DataFrame:
+    rows = raw.measures if isinstance(raw, RawSummary) else raw_measures(raw, config)
     return _volume(
-        sold,
+        rows.filter("is_sold"),
         {
-            "raw_item_count": F.count("upc"),
+            "raw_item_count": F.sum("upc_count"),
             "raw_client_units": F.sum("units"),
             "raw_rom_units": F.sum("comp_units"),
             "raw_client_dollars": F.sum("dollars"),
@@ -84,7 +111,7 @@ def _sides(raw, template, config: QcConfig) -> tuple[DataFrame, DataFrame]:
 
 
 def coverage_check(
-    raw: DataFrame, template: DataFrame | Summary, config: QcConfig = DEFAULT
+    raw: DataFrame | RawSummary, template: DataFrame | Summary, config: QcConfig = DEFAULT
 ) -> DataFrame:
     """Volume of both tables per market and date, with a flag per measure."""
     flags = {
@@ -109,24 +136,25 @@ def coverage_check(
 
 
 def coverage_differences(
-    raw: DataFrame, template: DataFrame | Summary, config: QcConfig = DEFAULT
+    raw: DataFrame | RawSummary, template: DataFrame | Summary, config: QcConfig = DEFAULT
 ) -> DataFrame:
     joined = side_by_side(*_sides(raw, template, config), KEYS)
     return differences(joined, KEYS, MEASURES, "raw", "template", config.on_zero)
 
 
 def coverage_missing_keys(
-    raw: DataFrame, template: DataFrame | Summary, config: QcConfig = DEFAULT
+    raw: DataFrame | RawSummary, template: DataFrame | Summary, config: QcConfig = DEFAULT
 ) -> DataFrame:
     """Market and date pairs of either table, which the inner join would hide."""
     return key_status(*[s.select(*KEYS).distinct() for s in _sides(raw, template, config)], KEYS)
 
 
 def unparsed_periods(
-    df: DataFrame | Summary, side: str, config: QcConfig = DEFAULT
+    df: DataFrame | Summary | RawSummary, side: str, config: QcConfig = DEFAULT
 ) -> DataFrame:
     """Labels in which no date can be read, with their row count."""
-    rows = F.sum("row_count") if isinstance(df, Summary) else F.count("*")
-    labels = df.measures if isinstance(df, Summary) else df
+    stored = isinstance(df, Summary | RawSummary)
+    rows = F.sum("row_count") if stored else F.count("*")
+    labels = df.measures if stored else df
     date = period_date(F.col("time_period"), side, config.date_formats, "null")
     return labels.groupBy("time_period").agg(rows.alias("row_count")).filter(date.isNull())

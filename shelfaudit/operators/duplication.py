@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfaudit import schema as S
+from shelfaudit.functions.expr import row_hash
+from shelfaudit.sources.store import Workspace
 
 
 def _copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -45,3 +47,20 @@ def _flagged(counts: DataFrame) -> DataFrame:
 def duplicate_keys(df: DataFrame, keys: Sequence[str] = tuple(S.KEY)) -> DataFrame:
     """The key combinations that occur more than once, with their count."""
     return _copies(df, keys).filter(F.col("copies") > 1)
+
+
+def duplicate_keys_by_hash(
+    df: DataFrame, workspace: Workspace, keys: Sequence[str] = tuple(S.KEY)
+) -> DataFrame:
+    """The same as ``duplicate_keys``, for long keys that are nearly all unique.
+
+    First 64-bit hashes of the keys are counted, so eight bytes of a key are shuffled
+    and not its text. Then the keys themselves are compared, of rows whose hash occurs
+    more than once only; different keys of one hash part ways there. The repeated hashes
+    are stored, so that Spark knows their size before it plans the second scan: it
+    broadcasts them if they are few, and then moves no other row.
+    """
+    hashed = df.select(*keys, row_hash([F.col(k) for k in keys]).alias("key_hash"))
+    counts = hashed.groupBy("key_hash").agg(F.count("*").alias("rows"))
+    repeated = workspace.write(counts.filter("rows > 1").select("key_hash"), "repeated_hashes")
+    return duplicate_keys(hashed.join(repeated, "key_hash", "left_semi").select(*keys), keys)

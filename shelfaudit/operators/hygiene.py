@@ -62,6 +62,31 @@ def stray_characters(
     return "".join(chr(r["code"]) for r in found.orderBy("code").collect())
 
 
+def code_points(df: DataFrame, column: str) -> DataFrame:
+    """Every character that the column holds: code, value_count (how many values hold
+    it), is_control and is_space. No list of characters is needed.
+
+    Each value gives its distinct characters, and each task adds them up before anything
+    is shuffled, so a task sends one row for each character it met.
+    """
+    text = F.collate(F.col(column), "UTF8_BINARY")
+    each = df.select(F.explode(F.array_distinct(F.split(text, ""))).alias("character"))
+    counts = each.filter("character <> ''").groupBy("character").agg(F.count("*").alias("value_count"))
+    return counts.select(
+        F.ascii("character").alias("code"),
+        "value_count",
+        F.col("character").rlike(r"\p{Cc}").alias("is_control"),
+        F.col("character").rlike(r"\p{Z}|[\x09-\x0D]").alias("is_space"),
+    )
+
+
+def control_characters(df: DataFrame, column: str, keep: str = "") -> str:
+    """The control characters that the column holds, ready for ``strip_chars``, but for
+    those in ``keep``. Collects one row for each of Unicode's 65 at most."""
+    found = code_points(df, column).filter("is_control")
+    return "".join(c for r in found.orderBy("code").collect() if (c := chr(r["code"])) not in keep)
+
+
 def strip_chars(
     df: DataFrame, target: str, source: str | None = None, characters: str = LINE_BREAKS
 ) -> DataFrame:

@@ -13,6 +13,7 @@ only the keys.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -43,8 +44,11 @@ def _is_kvi() -> Column:
     return F.col("kvi_quad") == S.KVI
 
 
-def measures(pricing: DataFrame, config: QcConfig = DEFAULT) -> DataFrame:
-    """One output row per input row. A NULL class counts as "no"."""
+def measures(
+    pricing: DataFrame, config: QcConfig = DEFAULT, more: Sequence[Column | str] = ()
+) -> DataFrame:
+    """One output row per input row, with ``more`` columns passed on. A NULL class
+    counts as "no"."""
     units, volume = F.col("units"), F.col("price_weighted_volume")
     whole, rest = index_terms(F.col("dollars"), volume, units, config.on_zero)
     prints = row_prints([F.col(n) for n in S.PRICING.fieldNames()])
@@ -65,6 +69,7 @@ def measures(pricing: DataFrame, config: QcConfig = DEFAULT) -> DataFrame:
         rest.alias("index_rest"),
         index_units(volume, units, config.on_zero).alias("index_units"),
         *[c.alias(n) for n, c in prints.items()],
+        *more,
     )
 
 

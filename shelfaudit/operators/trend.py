@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfaudit import schema as S
@@ -14,6 +14,10 @@ from shelfaudit.functions.expr import pct_difference, period_date
 KEYS = ["time_period", "condition"]
 
 
+def _date(config: QcConfig) -> Column:
+    return period_date(F.col("time_period"), "left", config.date_formats, config.on_bad_date)
+
+
 def trend_check(
     index: DataFrame,
     tolerance: float,
@@ -31,8 +35,7 @@ def trend_check(
     """
     order = Window.partitionBy("condition").orderBy("period_date", "time_period")
     before = order.rowsBetween(-periods, -1)
-    date = period_date(F.col("time_period"), "left", config.date_formats, config.on_bad_date)
-    out = index.select(*KEYS, *metrics).withColumn("period_date", date)
+    out = index.select(*KEYS, *metrics).withColumn("period_date", _date(config))
     newest = F.max("period_date").over(Window.partitionBy())
     own = F.max("period_date").over(Window.partitionBy("condition"))
     out = out.withColumn("is_latest", F.coalesce(F.col("period_date") == newest, F.lit(False)))
@@ -50,3 +53,33 @@ def trend_check(
         )
         columns += [m, f"{m}_mean", f"{m}_pct_diff", f"{m}_flag"]
     return out.select("period_date", *KEYS, "is_latest", "condition_ended", *columns)
+
+
+def trend_step(
+    state: DataFrame | None,
+    report: DataFrame,
+    tolerance: float,
+    metrics: Sequence[str] = ("store_index", "dollars", "units"),
+    periods: int = 5,
+    config: QcConfig = DEFAULT,
+) -> tuple[DataFrame, DataFrame]:
+    """The trend of new periods from a kept state, and the state to keep next.
+
+    ``state`` has the last rows of each condition, one more than ``periods``, so a run
+    reads the index rows of its own periods and not those of all history. If the newest
+    period comes again, it replaces the one in the state. Store the new state, for example by ``publish_files``, before the
+    old one is dropped.
+    """
+    new = report.select(*KEYS, *metrics)
+    rows = new
+    named = new.select(*[F.col(k).alias(f"new_{k}") for k in KEYS])
+    if state is not None:
+        again = [F.col(k).eqNullSafe(F.col(f"new_{k}")) for k in KEYS]
+        rows = state.select(*KEYS, *metrics).join(named, again, "left_anti").unionByName(new)
+    found = trend_check(rows, tolerance, metrics, periods, config)
+    own = [F.col(k).eqNullSafe(F.col(f"new_{k}")) for k in KEYS]
+    newest = Window.partitionBy("condition").orderBy(
+        F.desc_nulls_last("period_date"), F.desc_nulls_last("time_period")
+    )
+    kept = rows.withColumn("period_date", _date(config)).withColumn("age", F.row_number().over(newest))
+    return found.join(named, own, "left_semi"), kept.filter(F.col("age") <= periods + 1).select(*KEYS, *metrics)

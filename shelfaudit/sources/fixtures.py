@@ -144,6 +144,30 @@ def pricing_swapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prior.withColumn("upc", edited).select(*prior.columns)
 
 
+def raw_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed with dates in two forms, and labels without a date for some items."""
+    item = F.col("upc").cast("long")
+    date = F.right("time_period", F.lit(10))
+    slashed = F.concat(F.lit("QTR "), F.date_format(date.cast("date"), "MM/dd/yyyy"))
+    label = F.when(item % 7 == 0, "QTR unknown").when(item % 3 == 0, slashed)
+    return raw_pricing(spark, sf_dir).withColumn("time_period", F.coalesce(label, "time_period"))
+
+
+def pricing_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dirty table, with labels without a date for some items."""
+    unread = F.when(F.col("upc").cast("long") % 89 == 0, "unknown QTR")
+    dirty = pricing_dirty(spark, sf_dir)
+    return dirty.withColumn("time_period", F.coalesce(unread, "time_period"))
+
+
+def pricing_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rebuilt table with no price-weighted volume for some items."""
+    zero = F.when(F.col("upc").cast("long") % 71 == 0, F.lit(0).cast(S.MONEY))
+    current = pricing_current(spark, sf_dir)
+    volume = F.coalesce(zero, "price_weighted_volume").cast(S.MONEY)
+    return current.withColumn("price_weighted_volume", volume)
+
+
 def pricing_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pricing_current`` with every 97th item's rows written twice."""
     twice = F.when(F.col("upc").cast("bigint") % 97 == 0, 2).otherwise(1)

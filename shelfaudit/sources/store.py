@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfaudit.sources.files import drop_all_but, hadoop_path, point, pointed
+
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
@@ -30,13 +32,6 @@ def _quoted(table: str) -> str:
     return table if "`" in table else ".".join(f"`{part}`" for part in table.split("."))
 
 
-def _files(spark: SparkSession, folder: str):
-    """The folder in Hadoop's file API, which PySpark offers only through the JVM;
-    dropping folders therefore needs a classic session, not Spark Connect."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 class Workspace:
     """A folder of its own for one run's tables, so that a run that died cannot
     get in the way of the next. Leaving the ``with`` block drops it."""
@@ -56,7 +51,7 @@ class Workspace:
         return self.spark.read.schema(df.schema).parquet(target)
 
     def drop(self) -> None:
-        path, files = _files(self.spark, self.path)
+        path, files = hadoop_path(self.spark, self.path)
         files.delete(path, True)
 
     def __enter__(self) -> Workspace:
@@ -72,6 +67,38 @@ def snapshot(df: DataFrame, workspace: Workspace, name: str = "snapshot") -> Dat
     return workspace.write(df, name)
 
 
+def _new_version(df: DataFrame, location: str, schema: T.StructType) -> str:
+    """Write a report to a new folder below ``location``, check it, return its name."""
+    name = f"version-{uuid.uuid4().hex}"
+    target = f"{location.rstrip('/')}/{name}"
+    shaped = df.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
+    sent = Observation()
+    shaped.observe(sent, F.count(F.lit(1)).alias("rows")).write.parquet(target)
+    stored = df.sparkSession.read.schema(schema).parquet(target).count()
+    if stored != sent.get["rows"]:
+        raise RuntimeError(f"{target} holds {stored} rows, {sent.get['rows']} were written")
+    return name
+
+
+def publish_files(df: DataFrame, location: str, schema: T.StructType, keep: int = 2) -> DataFrame:
+    """Replace the report at ``location`` without a catalog: write a new version, check
+    it, then point at it. Readers (``read_published``) see the old report or the new one.
+    The newest ``keep`` versions stay for readers that have begun."""
+    spark, location = df.sparkSession, location.rstrip("/")
+    name = _new_version(df, location, schema)
+    point(spark, location, name, keep)
+    drop_all_but(spark, location, "version-", max(1, keep), [name])
+    return read_published(spark, location, schema)
+
+
+def read_published(spark: SparkSession, location: str, schema: T.StructType) -> DataFrame:
+    """The report that ``location`` points at."""
+    name = pointed(spark, location.rstrip("/"))
+    if name is None:
+        raise ValueError(f"nothing has been published to {location}")
+    return spark.read.schema(schema).parquet(f"{location.rstrip('/')}/{name}")
+
+
 def publish(df: DataFrame, table: str, location: str, schema: T.StructType) -> DataFrame:
     """Replace a report table's contents and return the table.
 
@@ -81,22 +108,17 @@ def publish(df: DataFrame, table: str, location: str, schema: T.StructType) -> D
     ``drop_old_versions``. The table's catalog must be able to move a table.
     """
     spark = df.sparkSession
-    target = f"{location.rstrip('/')}/version-{uuid.uuid4().hex}"
-    shaped = df.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
-    sent = Observation()
-    shaped.observe(sent, F.count(F.lit(1)).alias("rows")).write.parquet(target)
-    stored = spark.read.schema(schema).parquet(target).count()
-    if stored != sent.get["rows"]:
-        raise RuntimeError(f"{target} holds {stored} rows, {sent.get['rows']} were written")
+    target = f"{location.rstrip('/')}/{_new_version(df, location, schema)}"
     table = _quoted(table)
+    place = target.replace("\\", "\\\\").replace("'", "\\'")
     if spark.catalog.tableExists(table):
         declared = [(f.name, f.dataType) for f in spark.table(table).schema]
         if declared != [(f.name, f.dataType) for f in schema]:
             raise ValueError(f"{table} is declared with other columns than the report")
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{target}'")
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{place}'")
     else:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{target}'")
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{place}'")
     spark.catalog.refreshTable(table)
     return spark.table(table)
 
@@ -104,9 +126,4 @@ def publish(df: DataFrame, table: str, location: str, schema: T.StructType) -> D
 def drop_old_versions(spark: SparkSession, location: str, keep: int = 1) -> int:
     """Delete all but the newest ``keep`` versions below a published table's
     location, and return how many went. Call it when no reader is left on them."""
-    path, files = _files(spark, location)
-    found = [x for x in files.listStatus(path) if x.getPath().getName().startswith("version-")]
-    found.sort(key=lambda x: x.getModificationTime(), reverse=True)
-    for old in found[max(1, keep) :]:
-        files.delete(old.getPath(), True)
-    return len(found[max(1, keep) :])
+    return drop_all_but(spark, location, "version-", max(1, keep))

@@ -140,7 +140,7 @@ def test_suite_reports(spark, raw, pricing, tmp_path):
     assert set(reports) == {
         *("duplication", "duplicate_keys", "counts", "index", "unparsed_raw", "unparsed_template"),
         *("coverage", "coverage_keys", "coverage_differences"),
-        *("back_data", "back_data_keys", "back_data_differences"),
+        *("back_data", "back_data_keys", "back_data_differences", "history"),
     }
     assert reports["duplicate_keys"].first().copies == 2
     assert reports["coverage_keys"].first().key_status == "both"
