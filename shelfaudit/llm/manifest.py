@@ -31,16 +31,14 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import cut, documents
+from .common import cut, documents, with_ranks
 
 FANOUT_BITS = 4
 DIGEST_BYTES = 32
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 SOURCE = ["known", "name"]  # known: false for a null source
 TAMPER_FOLDS = 5
-ROW_BITS = 33  # of monotonically_increasing_id below the number of the partition
 SEGMENT = "struct<before: binary, after: binary>"
 
 
@@ -76,28 +74,6 @@ class Manifest(NamedTuple):
     root: DataFrame
 
 
-def with_ranks(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
-    """`rows` with rank, their place from 0 within equal `by` (not null) by `order`,
-    and size, how many they are there."""
-    sort = [*by, *order]
-    placed = rows.withColumn("_salt", F.monotonically_increasing_id())
-    dealt = placed.repartitionByRange(*sort, "_salt").sortWithinPartitions(*sort)
-    dealt = cut(dealt.drop("_salt").withColumn("_at", F.monotonically_increasing_id()))
-    dealt = dealt.withColumn("_part", F.shiftright("_at", ROW_BITS))
-    runs = dealt.groupBy(*by, "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
-    whole = Window.partitionBy(*by)
-    earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")
-    offsets = runs.select(
-        *by, "_part", before.alias("_offset"), F.sum("_n").over(whole).alias("size")
-    )
-    return (
-        dealt.join(offsets, [*by, "_part"])
-        .withColumn("rank", F.col("_at") + F.col("_offset"))
-        .drop("_at", "_part", "_offset")
-    )
-
-
 def levels_above(size: int) -> int:
     """How often runs of 16 are joined until one of `size` nodes is left."""
     return max(0, -(-(max(1, size) - 1).bit_length() // FANOUT_BITS))

@@ -1,7 +1,8 @@
 """Sharding by balanced label propagation, with DataFrame operations only.
 
-Documents that share a link key are linked. They start on shards in turn, in a
-hash-random order. In every round each link key counts its documents by shard,
+Documents that share a link key are linked. They start side by side: ranked by their
+first key, they fill one shard after the other, so that only groups at the end of a
+shard are split and rounds have little left to do. In every round each link key counts its documents by shard,
 each document adds up the counts of its keys, and those that would be with more
 of their neighbours elsewhere ask to move there, be it full or not. Moves are
 admitted in hash order up to what swaps, rings of moves and free places allow, so
@@ -29,7 +30,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, documents, hash_key, running_total
+from .common import cut, documents, hash_key, running_total, with_ranks
 
 SHARDS = 16
 ROUNDS = 4  # rounds in a row without gain that end the propagation
@@ -183,9 +184,17 @@ def balanced_labels(items: DataFrame, n: int, rounds: int) -> DataFrame:
     )
     rows, n_linked = items.count(), linked.count()
     quota = [rows // n + (s < rows % n) for s in range(n)]
-    start = running_total(linked, [], "_key", ["_uid"], F.lit(1), "_rank", n_linked)
-    state = cut(start.withColumn("_shard", (F.col("_rank") % n).cast("int")).drop("_key"))
     load = [n_linked // n + (s < n_linked % n) for s in range(n)]
+    first = linked.withColumn("_first", F.array_min("_links"))
+    start = with_ranks(first, [], ["_first", "_key", "_uid"])
+    more, size = n_linked % n, max(1, n_linked // n)  # `more` shards hold one row more
+    behind = F.col("rank") - more * (size + 1)
+    shard = F.when(behind < 0, F.floor(F.col("rank") / (size + 1))).otherwise(more + F.floor(behind / size))
+    if n_linked < n:
+        shard = F.col("rank")
+    state = cut(
+        start.select("_uid", "_links", F.col("rank").alias("_rank"), shard.cast("int").alias("_shard"))
+    )
     kept, kept_load, most = state, load, 0
     stalled, turn, closed = 0, 0, set()
     while n_linked and stalled < rounds:
