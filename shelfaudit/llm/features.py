@@ -27,7 +27,9 @@ def bounded(ids: DataFrame, rows: int, seed: str) -> DataFrame:
 
 
 def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents of `ids`, at most some ten thousand rows by `bounded`."""
-    return docs.selectExpr("cast(doc_id AS long) AS doc_id", "text").join(
-        F.broadcast(ids), "doc_id"
-    )
+    """`ids` (at most some ten thousand rows by `bounded`) with the text of each. Of
+    several rows of one id it is the text of least hash, so there are no more rows
+    than ids."""
+    rows = docs.selectExpr("cast(doc_id AS long) AS doc_id", "text")
+    found = rows.join(F.broadcast(ids), "doc_id")
+    return found.groupBy(*ids.columns).agg(F.min_by("text", F.xxhash64("text")).alias("text"))

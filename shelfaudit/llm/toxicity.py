@@ -6,9 +6,11 @@ at the class prior, so its risk as harmless text is corrected by the prior times
 the risk of the toxic examples as harmless text; where that corrected part falls
 below zero the step goes the other way, which keeps it from overfitting.
 
-Both training sets are bounded samples (`MAX_TOXIC`, `MAX_UNLABELLED`), and the
-model has a weight for words found in several toxic examples only; every whole
-text is scored in the tasks.
+Both training sets are bounded samples of the labelled rows of the training folds:
+`MAX_TOXIC` of the confirmed toxic ones, and `MAX_UNLABELLED` of all, toxic ones
+too, whose labels are not looked at. The prior is counted over all labelled rows. The
+model has a weight for words found in several toxic examples only; every whole text is
+scored in the tasks.
 
 Defined results: null and empty texts have no words and get the score of the
 bias; without toxic examples every score is 0; repeated rows get equal scores;
@@ -123,16 +125,9 @@ def train(docs: DataFrame, labels: DataFrame, column: str) -> dict:
     counts = known.agg(F.count("*").alias("n"), F.sum("label").alias("toxic")).first()
     prior = (counts.toxic or 0) / max(1, counts.n)
     toxic = bounded(known.filter("label = 1").select("doc_id"), MAX_TOXIC, "toxic")
-    # Unlabelled: documents of the training folds that no label row names; if
-    # there are none, all that are not confirmed toxic, whose prior is lower.
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id IS NOT NULL")
-    ids = ids.filter(fold(F.col("doc_id"), FOLDS) != 0).distinct()
-    named = labels.select(F.col("doc_id").cast("long").alias("doc_id"))
-    free = bounded(ids.join(named, "doc_id", "left_anti"), MAX_UNLABELLED, "free")
-    unlabelled = _sets(texts_of(docs, free))
-    if not unlabelled:
-        unlabelled = _sets(texts_of(docs, bounded(known.select("doc_id"), MAX_UNLABELLED, "free")))
-    return fit(_sets(texts_of(docs, toxic)), unlabelled, prior)
+    # The prior is that of the labelled rows, so the unlabelled text is theirs too.
+    unlabelled = bounded(known.select("doc_id"), MAX_UNLABELLED, "free")
+    return fit(_sets(texts_of(docs, toxic)), _sets(texts_of(docs, unlabelled)), prior)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
