@@ -2,9 +2,10 @@
 
 Documents that share a link key are linked. They start side by side: ranked by their
 first key, they fill one shard after the other, so that only groups at the end of a
-shard are split and rounds have little left to do. In every round each link key counts its documents by shard,
-each document adds up the counts of its keys, and those that would be with more
-of their neighbours elsewhere ask to move there, be it full or not. Moves are
+shard are split. Groups of one key that start whole are settled and take no part in
+the rounds. In every round each link key counts its documents by shard, each
+document adds up the counts of its keys, and those that would be with more of
+their neighbours elsewhere ask to move there, be it full or not. Moves are
 admitted in hash order up to what swaps, rings of moves and free places allow, so
 no shard ever holds more than its quota. Rounds go on while they bring neighbours
 together. Documents without links fill the places that are left, which makes the
@@ -89,6 +90,19 @@ def _propose(
     )
 
 
+def _unsettled(state: DataFrame) -> DataFrame:
+    """The rows that can ever ask to move or be asked for: not those whose only key
+    is the only one of all its rows, which are in one shard. These would always
+    want to stay."""
+    ends = state.select("_shard", F.size("_links").alias("n"), F.explode("_links").alias("_link"))
+    split = (F.min("_shard") < F.max("_shard")) | (F.max("n") > 1)
+    open_keys = ends.groupBy("_link").agg(split.alias("split")).filter("split").select("_link")
+    first = state.withColumn("_link", F.element_at("_links", 1))
+    single = F.size("_links") == 1
+    alone = first.filter(single).join(open_keys, "_link", "left_semi")
+    return alone.select(*state.columns).union(state.filter(~single))
+
+
 def _ring(edges: dict[int, list[int]]) -> list[int]:
     """Shards of which each has an edge to the next, and the last to the first."""
     done: set[int] = set()
@@ -195,7 +209,8 @@ def balanced_labels(items: DataFrame, n: int, rounds: int) -> DataFrame:
     state = cut(
         start.select("_uid", "_links", F.col("rank").alias("_rank"), shard.cast("int").alias("_shard"))
     )
-    kept, kept_load, most = state, load, 0
+    start, state = state, cut(_unsettled(state))
+    kept, kept_load, most = state, load, -1
     stalled, turn, closed = 0, 0, set()
     while n_linked and stalled < rounds:
         full = {s for s in range(n) if load[s] >= quota[s]}
@@ -206,7 +221,9 @@ def balanced_labels(items: DataFrame, n: int, rounds: int) -> DataFrame:
         by = proposed.groupBy("_shard", "_want", step.alias("_step"))
         asked: dict = defaultdict(dict)
         here = near = 0
-        for a, b, k, count, *votes in by.agg(F.count("*"), F.sum("_here"), F.sum("_near")).collect():
+        for a, b, k, count, *votes in by.agg(
+            F.count("*"), F.sum("_here"), F.sum("_near")
+        ).collect():
             here, near = here + votes[0], near + votes[1]
             if a != b:
                 asked[a, b][k] = count
@@ -231,8 +248,12 @@ def balanced_labels(items: DataFrame, n: int, rounds: int) -> DataFrame:
         state = cut(
             proposed.select("_uid", moved.cast("int").alias("_shard"), "_rank", "_links")
         )
-    state, load = kept, kept_load
-    free = items.join(state.select("_uid"), "_uid", "left_anti").select("_uid", "_key")
+    load = kept_load
+    moved = kept.select("_uid", F.col("_shard").alias("_moved"))
+    placed = start.join(moved, "_uid", "left").select(
+        "_uid", F.coalesce("_moved", "_shard").alias("shard")
+    )
+    free = items.join(linked.select("_uid"), "_uid", "left_anti").select("_uid", "_key")
     free = running_total(free, [], "_key", ["_uid"], F.lit(1), "_rank", rows - n_linked)
     ends_at, filled = 0, F.lit(n - 1)
     bounds = []
@@ -241,9 +262,7 @@ def balanced_labels(items: DataFrame, n: int, rounds: int) -> DataFrame:
         bounds.append(ends_at)
     for s in reversed(range(n)):
         filled = F.when(F.col("_rank") < bounds[s], s).otherwise(filled)
-    shards = state.select("_uid", F.col("_shard").alias("shard")).union(
-        free.select("_uid", filled.cast("int").alias("shard"))
-    )
+    shards = placed.union(free.select("_uid", filled.cast("int").alias("shard")))
     return items.join(shards, "_uid")
 
 
