@@ -10,9 +10,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfaudit import schema as S
 
+# Collations whose equality a function of plain text gives: (ignores case, trims).
+FOLDS = {
+    "UTF8_LCASE": (True, False),
+    "UTF8_LCASE_RTRIM": (True, True),
+    "UTF8_BINARY_RTRIM": (False, True),
+}
+
 
 def period_date(
     label: Column,
@@ -115,3 +123,19 @@ def price_index(dollars: Column, volume: Column, units: Column, on_zero: str = "
         F.sum(index_units(volume, units, on_zero)),
         on_zero,
     )
+
+
+def folded(column: Column, kind: T.DataType) -> Column:
+    """Text of the plain collation that is equal where ``column``, of type ``kind``, is.
+
+    Spark groups plain text by hash, but sorts rows to group text of another
+    collation. Types that need no folding, and collations of a language, come back as
+    they are.
+    """
+    if getattr(kind, "collation", None) not in FOLDS:
+        return column
+    ignores_case, trims = FOLDS[kind.collation]
+    text = F.collate(column, "UTF8_BINARY")
+    if ignores_case:  # lower() writes a sigma at the end of a word differently
+        text = F.translate(F.lower(text), "ς", "σ")
+    return F.rtrim(text) if trims else text

@@ -5,7 +5,9 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from shelfaudit.config import QcConfig
+from shelfaudit.functions.expr import folded
 from shelfaudit.operators import back_data, coverage, duplication
+from shelfaudit.sources.store import Workspace
 from shelfaudit.sources.tables import with_collation
 
 
@@ -42,6 +44,48 @@ def test_collation_decides_equality(pricing):
     assert duplication.duplication_check(folded).first().distinct_combinations == 1
 
 
+SPELLINGS = ["Metro", "METRO  ", "metro", None, None, "Όλος", "ΌΛΟΣ", "other", " metro"]
+
+
+def _spelled(pricing, collation):
+    df = pricing(*[{"market_name": m} for m in SPELLINGS])
+    return with_collation(df, collation, ["market_name"])
+
+
+@pytest.mark.parametrize(
+    ("collation", "found"),
+    [
+        ("UTF8_LCASE_RTRIM", {"METRO  ": 3, None: 2, "ΌΛΟΣ": 2}),
+        ("UTF8_LCASE", {"Metro": 2, None: 2, "ΌΛΟΣ": 2}),
+        ("UTF8_BINARY_RTRIM", {None: 2}),
+        ("UNICODE_CI_RTRIM", {"METRO  ": 3, None: 2, "ΌΛΟΣ": 2}),
+    ],
+)
+def test_repeated_collated_keys_keep_a_spelling(pricing, spark, collation, found):
+    df = _spelled(pricing, collation)
+    rows = duplication.duplicate_keys(df)
+    assert rows.schema["market_name"].dataType == df.schema["market_name"].dataType
+    assert {r.market_name: r.copies for r in rows.collect()} == found
+    with Workspace(spark) as run:
+        hashed = duplication.duplicate_keys_by_hash(df, run)
+        assert {r.market_name: r.copies for r in hashed.collect()} == found
+    row = duplication.duplication_check(df).first()
+    assert row.distinct_combinations == len(SPELLINGS) - sum(n - 1 for n in found.values())
+    assert row.distinct_combinations == df.select("market_name").distinct().count()
+
+
+def test_folded_text_is_equal_where_the_collation_is(spark):
+    """For every code point, alone and inside a word."""
+    points = spark.range(1, 0x110000, 1, 8).filter("id NOT BETWEEN 55296 AND 57343")
+    char = F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')")
+    for text in (char, F.concat(F.lit("aσ"), char, F.lit("b "))):
+        df = points.select(F.collate(text, "UTF8_LCASE_RTRIM").alias("t"))
+        keys = df.withColumn("k", folded(F.col("t"), df.schema["t"].dataType))
+        groups = keys.groupBy("t").agg(F.min("k").alias("low"), F.max("k").alias("high"))
+        assert groups.filter("low <> high").isEmpty()
+        assert groups.count() == keys.select("k").distinct().count()
+
+
 # -------------------------------------------------------------------- coverage
 
 

@@ -12,6 +12,7 @@ from shelfaudit.operators import back_data, coverage, duplication, hygiene, inde
 from shelfaudit.operators.summary import items, slices
 from shelfaudit.plans import suite
 from shelfaudit.sources import fixtures
+from shelfaudit.sources.tables import with_collation
 
 
 def _plan(df) -> str:
@@ -151,3 +152,12 @@ def test_joined_test_data_leaves_hot_keys_to_be_split(spark, sf_dir):
         (join,) = [i for i, x in enumerate(lines) if f"SortMergeJoin [{key}#" in x]
         exchange = next(x for x in reversed(lines[:join]) if "Exchange" in x)
         assert f"hashpartitioning({above}#" in exchange
+
+
+def test_collated_keys_are_grouped_by_hash(tables):
+    names = ["market_name", "time_period", "condition", "upc"]
+    folded = with_collation(tables["pricing_current"], "UTF8_LCASE_RTRIM", names)
+    for df in (duplication.duplication_check(folded), duplication.duplicate_keys(folded)):
+        plan = _plan(df)
+        assert "HashAggregate" in plan
+        assert "SortAggregate" not in plan
