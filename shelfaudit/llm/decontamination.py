@@ -156,3 +156,35 @@ def decontaminate(
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return contained_items(documents(spark, sf_dir), benchmark)
+
+
+ORACLE = r"""
+WITH item_words AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM benchmark),
+items AS (
+  SELECT item_id, w, least(5, len(w)) AS width FROM item_words WHERE len(w) > 0),
+item_starts AS (
+  SELECT item_id, width, w, unnest(range(1, len(w) - width + 2)) AS pos FROM items),
+item_shingles AS (
+  SELECT DISTINCT item_id, width, array_to_string(w[pos:pos + width - 1], ' ') AS s
+  FROM item_starts),
+doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
+doc_starts AS (
+  SELECT doc_id, width, w, unnest(range(1, len(w) - width + 2)) AS pos
+  FROM doc_words, (SELECT DISTINCT width FROM items)),
+doc_shingles AS (
+  SELECT DISTINCT doc_id, width, array_to_string(w[pos:pos + width - 1], ' ') AS s
+  FROM doc_starts),
+shared AS (
+  SELECT doc_id, item_id, count(*) AS shared
+  FROM doc_shingles JOIN item_shingles USING (width, s) GROUP BY doc_id, item_id),
+sizes AS (
+  SELECT item_id, count(*) AS n FROM item_shingles GROUP BY item_id)
+SELECT doc_id, item_id, n AS item_shingles, shared, shared::DOUBLE / n AS containment
+FROM shared JOIN sizes USING (item_id) WHERE 100 * shared >= 80 * n
+"""

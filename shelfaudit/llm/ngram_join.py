@@ -366,3 +366,31 @@ def similar_documents(docs: DataFrame) -> DataFrame:
 
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(documents(spark, sf_dir))
+
+
+ORACLE = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS w FROM documents),
+starts AS (
+  SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS pos
+  FROM words WHERE len(w) > 0),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[pos:pos + 4], ' ') AS s FROM starts),
+sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * n_both >= 80 * (x.n + y.n - n_both)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+FROM documents JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+  USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""

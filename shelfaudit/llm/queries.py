@@ -46,6 +46,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_source_mix": mixing.ORACLE,
+        "op2_decontamination": decontamination.ORACLE,
+        "op5_suffix_array_dedup": suffix_dedup.ORACLE,
+        "op7_ngram_jaccard": ngram_join.ORACLE,
         "op9_recompression": recompression.ORACLE,
         "op11_merkle_manifest": manifest.ORACLE,
         "op13_filter_audit": filter_audit.ORACLE,

@@ -350,3 +350,38 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir))
+
+
+ORACLE = r"""
+WITH texts AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+parts AS (
+  SELECT doc_id, base, x[2 * base + 1:2 * base + 2098] AS x
+  FROM (SELECT *, unnest(range(0, strlen(x) // 2 - 49, 1000)) AS base FROM texts)),
+starts AS (
+  SELECT doc_id, base, x, unnest(range(0, least(1000, strlen(x) // 2 - 49))) AS pos FROM parts),
+windows AS (
+  SELECT doc_id, base + pos AS pos, md5(x[2 * pos + 1:2 * pos + 100]) AS h FROM starts),
+firsts AS (
+  SELECT h, min(doc_id) AS first_id FROM windows GROUP BY h),
+marked AS (
+  SELECT doc_id, pos, lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS last_pos
+  FROM windows JOIN firsts USING (h) WHERE doc_id > first_id),
+runs AS (
+  SELECT doc_id, pos, sum((last_pos IS NULL OR pos > last_pos + 50)::INT)
+           OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM marked),
+spans AS (
+  SELECT doc_id, min(pos) AS f, max(pos) + 50 AS t FROM runs GROUP BY doc_id, run),
+gaps AS (
+  SELECT doc_id, f, t, coalesce(lag(t) OVER (PARTITION BY doc_id ORDER BY f), 0) AS kept_from,
+         row_number() OVER (PARTITION BY doc_id ORDER BY f DESC) = 1 AS is_last
+  FROM spans),
+rest AS (
+  SELECT doc_id, sum(t - f) AS n_removed, count(*) AS n_spans,
+         string_agg(x[2 * kept_from + 1:2 * f]
+           || CASE WHEN is_last THEN x[2 * t + 1:] ELSE '' END, '' ORDER BY f) AS kept
+  FROM gaps JOIN texts USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, (strlen(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM texts LEFT JOIN rest USING (doc_id)
+"""
