@@ -59,44 +59,48 @@ def fold(doc_id: Column, folds: int = 5) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % folds
 
 
+def _dealt(rows: DataFrame, sort: list[str]) -> DataFrame:
+    """`rows` stored in the order of `sort`, with _at, a number that rises along it,
+    and _part, the partition. Rows equal in `sort` are spread over partitions too."""
+    salted = rows.withColumn("_salt", F.monotonically_increasing_id())
+    dealt = salted.repartitionByRange(*sort, "_salt").sortWithinPartitions(*sort, "_salt")
+    dealt = cut(dealt.drop("_salt").withColumn("_at", F.monotonically_increasing_id()))
+    return dealt.withColumn("_part", F.shiftright("_at", ROW_BITS))
+
+
 def running_total(
-    df: DataFrame, by: list[str], key: str, ties: list[str], weight: Column, out: str, rows: int
+    df: DataFrame, by: list[str], order: list[str], weight: Column, out: str
 ) -> DataFrame:
     """Adds `out`: the sum of `weight` over the rows of the same `by` that come
-    earlier in the order of `key` (a hash_key), then `ties`.
+    earlier in `order`; rows equal in `order` come in any order.
 
-    The key range is cut into about sqrt(rows) equal parts. Each part is summed
-    by itself and offset by the parts before it, so no task holds a whole group.
-    `by` columns are not null.
+    The rows are range-sorted. Each range is summed by itself and offset by the
+    ranges before it, so no task holds a whole group, be it rows of one key. `by`
+    columns are not null.
     """
-    width = (1 << KEY_BITS) // max(1, round(rows**0.5)) + 1
-    df = df.withColumn("_part", F.expr(f"`{key}` div {width}L")).withColumn("_weight", weight)
-    parts = df.groupBy(*by, "_part").agg(F.sum("_weight").alias("_sum"))
+    dealt = _dealt(df.withColumn("_weight", weight), [*by, *order])
+    parts = dealt.groupBy(*by, "_part").agg(F.sum("_weight").alias("_sum"))
     earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.select(
         *by, "_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset")
     )
     within = (
         Window.partitionBy(*by, "_part")
-        .orderBy(key, *ties)
+        .orderBy("_at")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     before = F.col("_offset") + F.coalesce(F.sum("_weight").over(within), F.lit(0))
     return (
-        df.join(offsets, [*by, "_part"])
+        dealt.join(offsets, [*by, "_part"])
         .withColumn(out, before)
-        .drop("_part", "_weight", "_offset")
+        .drop("_at", "_part", "_weight", "_offset")
     )
 
 
 def with_ranks(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
     """`rows` with rank, their place from 0 within equal `by` (not null) by `order`,
     and size, how many they are there."""
-    sort = [*by, *order]
-    placed = rows.withColumn("_salt", F.monotonically_increasing_id())
-    dealt = placed.repartitionByRange(*sort, "_salt").sortWithinPartitions(*sort)
-    dealt = cut(dealt.drop("_salt").withColumn("_at", F.monotonically_increasing_id()))
-    dealt = dealt.withColumn("_part", F.shiftright("_at", ROW_BITS))
+    dealt = _dealt(rows, [*by, *order])
     runs = dealt.groupBy(*by, "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
     whole = Window.partitionBy(*by)
     earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

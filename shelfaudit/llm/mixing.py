@@ -92,11 +92,10 @@ def mix_sources(
             hash_key(F.lit(seed), F.col("doc_id")).alias("_key"),
         )
     )
-    per_source = cut(sized.groupBy(*SOURCE).agg(F.sum("size").alias("source_size"), F.count("*").alias("_rows")))
-    rows = per_source.agg(F.sum("_rows")).first()[0] or 0
-    budgets = targets(per_source.drop("_rows"), weights, percent, epochs)
+    per_source = sized.groupBy(*SOURCE).agg(F.sum("size").alias("source_size"))
+    budgets = targets(per_source, weights, percent, epochs)
     ranked = running_total(
-        sized, SOURCE, "_key", ["doc_id", "size", *own], F.col("size"), "_before", rows
+        sized, SOURCE, ["_key", "doc_id", "size", *own], F.col("size"), "_before"
     )
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     rest = F.floor("target") - whole * F.col("source_size") - F.col("_before")

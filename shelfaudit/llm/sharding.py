@@ -254,7 +254,7 @@ def balanced_labels(items: DataFrame, n: int, rounds: int) -> DataFrame:
         "_uid", F.coalesce("_moved", "_shard").alias("shard")
     )
     free = items.join(linked.select("_uid"), "_uid", "left_anti").select("_uid", "_key")
-    free = running_total(free, [], "_key", ["_uid"], F.lit(1), "_rank", rows - n_linked)
+    free = running_total(free, [], ["_key", "_uid"], F.lit(1), "_rank")
     ends_at, filled = 0, F.lit(n - 1)
     bounds = []
     for s in range(n):
@@ -286,9 +286,7 @@ def shard_documents(
         )
     )
     placed = cut(balanced_labels(items, n, rounds))
-    slots = running_total(
-        placed, ["shard"], "_key", ["doc_id", "_uid"], F.lit(1), "_slot", items.count()
-    )
+    slots = running_total(placed, ["shard"], ["_key", "doc_id", "_uid"], F.lit(1), "_slot")
     return slots.select(
         "doc_id",
         "size",
