@@ -231,15 +231,18 @@ def _members(linkable: DataFrame, leaders: DataFrame, groups: DataFrame) -> Data
 
 
 def _sets_of(docs: DataFrame, owners: DataFrame, wanted: DataFrame) -> DataFrame:
-    """dig, shingles of the sets in `wanted` (dig), from the text of one owner each."""
-    blobs = packed(docs, ["id"]).join(owners.select("dig", "id").join(wanted, "dig"), "id")
+    """dig, shingles of the sets in `wanted` (dig), from the text of one owner each.
+    Rows are told apart by id and hash of the text: rows of one id, or of none, meet
+    only sets of their own."""
+    sought = owners.select("dig", "id", "h").join(wanted, "dig")
+    blobs = packed(docs, ["id", "h"]).join(sought, ["id", "h"])
 
     def emit(batches: Batches) -> Batches:
         for batch in batches:
             dig = batch.column(0).to_numpy()
             for at, texts in unpacked_runs(batch.column(1)):
                 for i, s in enumerate(shingle_sets(texts)):
-                    if digest(s) == dig[at + i]:  # rows may share an id
+                    if digest(s) == dig[at + i]:  # texts may share a hash
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(dig[at + i : at + i + 1]), pa.array([s.view(np.int64)])],
                             ["dig", "s"],
@@ -283,11 +286,15 @@ def _components_of(docs: DataFrame, row: str | None = None) -> DataFrame:
         F.coalesce("text", F.lit("")).alias("text"),
         *extra,
     )
-    rows = keyed.select("id", "text")
-    fields = ["id", "n", "dig", "end", *extra]
-    whole = cut(keyed.mapInArrow(_documents, ", ".join(f"`{x}` long" for x in fields)))
-    owners = whole.filter("n > 0").groupBy("dig").agg(F.min("id").alias("id"), F.min("end").alias("end"))
-    owners = cut(owners)
+    hashed = F.xxhash64("text").alias("h")
+    rows = keyed.select("id", "text", hashed)
+    fields = ["id", "n", "dig", "end", "h", *extra]
+    own = keyed.select("id", "text", hashed, *extra)
+    whole = cut(own.mapInArrow(_documents, ", ".join(f"`{x}` long" for x in fields)))
+    owners = whole.filter("n > 0").groupBy("dig").agg(
+        F.min(F.struct("id", "h")).alias("first"), F.min("end").alias("end")
+    )
+    owners = cut(owners.select("dig", "first.id", "first.h", "end"))
     heads = rows.select("text").mapInArrow(_heads, "token long, dig long, n long")
     dealt = heads.repartition("token").sortWithinPartitions("token", "dig")
     found = cut(dealt.mapInArrow(_postings, TOKENS))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from shelfaudit.llm import common, mixing, sharding
+from shelfaudit.llm import common, mixing, ngram_join, sharding
 
 
 @pytest.fixture(scope="module")
@@ -52,3 +52,16 @@ def test_shards_of_hot_ids_are_even(hot):
     assert len(slots) == 16
     assert all(sorted(v) == list(range(len(v))) for v in slots.values())
     assert {len(v) for v in slots.values()} == {375}
+
+
+def test_sets_of_rows_without_id_are_found_by_their_text(spark):
+    base = [" ".join(f"w{(k * 31 + j) % 97}x{k}" for j in range(60)) for k in range(40)]
+    texts = [t for b in base for t in (b, b + " end", b.upper())]
+    docs = spark.createDataFrame([(None, t) for t in texts] * 3, "doc_id long, text string")
+    keep = ngram_join.first_rows(docs.withColumn("row", F.monotonically_increasing_id()), "row")
+    assert keep.count() == len(base)
+    rows = docs.select(F.lit(5).cast("long").alias("id"), "text", F.xxhash64("text").alias("h"))
+    owners = spark.createDataFrame([], "dig long, id long, h long, end long")
+    plan = ngram_join._sets_of(rows, owners, owners.select("dig"))
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "(id" in text and "h#" in text.split("Join Inner")[1].split("\n")[0]
