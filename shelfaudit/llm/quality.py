@@ -6,8 +6,11 @@ that is logistic in the difference of the scores; the weights minimise that loss
 over the pairs. A document passes if its score is above a quantile of the
 training scores: the share of bad documents among the training rows.
 
-The training rows are a bounded sample (`MAX_ROWS`); every whole text is scored
-in the tasks.
+All labelled rows of the training folds are learnt from, and all their pairs count.
+The tasks add the figures up by class and score, in steps of 1 / `PER_POINT`; as the
+chance of a pair depends on the two scores alone, the sums of the steps give the sums
+over the pairs, each score taken as the mean of its step. The quantile is exact. Every
+whole text is scored in the tasks.
 
 Defined results: null and empty texts get the score of a text without words;
 without two classes to learn from, every score is 0.5; repeated rows get equal
@@ -16,7 +19,7 @@ scores; further columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +27,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
+from .common import cut as stored
 from .common import documents, fold
 from .compression_rules import duplicate_lines, repeated_words
-from .features import bounded, labelled, texts_of
+from .features import labelled
 
-MAX_ROWS = 12_000
-MAX_PAIRS = 100_000
+MAX_PAIRS = 100_000  # of `fit`
+PER_POINT = 32
+REACH = 16  # scores beyond it share a step
+FEW = 10_000
+DIGITS = 6  # of the weights, beyond which the order of additions shows
 RIDGE = 1e-3
 CUT = 0.3
 
@@ -72,8 +79,23 @@ def _table(batch: pa.RecordBatch) -> np.ndarray:
     return np.array(rows, dtype=np.float64).reshape(len(rows), N_FIGURES)
 
 
+def _least(sums: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], digits: int | None = None) -> np.ndarray:
+    """The weights of least loss, from the loss's gradient and curvature at given weights."""
+    w = np.zeros(N_FIGURES)
+    for _ in range(30):  # Newton steps; the loss is convex
+        gradient, curve = sums(w)
+        step = np.linalg.solve(curve + RIDGE * np.eye(len(w)), gradient + RIDGE * w)
+        w = w - step / max(1.0, np.abs(step).max())
+        if digits is not None:
+            w = np.round(w, digits)
+        if np.abs(step).max() < (1e-6 if digits is None else 10.0 ** (2 - digits)):
+            break
+    return w
+
+
 def fit(x: np.ndarray, label: np.ndarray) -> dict:
-    """The weights, scaling and threshold; no weights without both classes."""
+    """The weights, scaling and threshold of rows in memory and pairs drawn of them; no
+    weights without both classes. `train` does so for all rows and pairs of a table."""
     good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
     if not len(good) or not len(bad):
         return {}
@@ -82,33 +104,156 @@ def fit(x: np.ndarray, label: np.ndarray) -> dict:
     rng = np.random.default_rng(0)
     pairs = min(MAX_PAIRS, 50 * max(len(good), len(bad)))
     diff = z[rng.choice(good, pairs)] - z[rng.choice(bad, pairs)]
-    w = np.zeros(x.shape[1])
-    for _ in range(30):  # Newton steps; the loss is convex
+
+    def sums(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         p = 1 / (1 + np.exp(np.clip(diff @ w, -30, 30)))
-        gradient = -(diff * p[:, None]).mean(axis=0) + RIDGE * w
-        curve = (diff * (p * (1 - p))[:, None]).T @ diff / pairs + RIDGE * np.eye(len(w))
-        step = np.linalg.solve(curve, gradient)
-        w -= step / max(1.0, np.abs(step).max())
-        if np.abs(step).max() < 1e-6:
-            break
-    scores = z @ w
-    at = float(np.quantile(scores, len(bad) / len(label), method="linear"))
+        return -(diff * p[:, None]).mean(axis=0), (diff * (p * (1 - p))[:, None]).T @ diff / pairs
+
+    w = _least(sums)
+    at = float(np.quantile(z @ w, len(bad) / len(label), method="linear"))
     return {"mean": mean, "spread": spread, "w": w, "at": at}
 
 
-def train(docs: DataFrame, labels: DataFrame, column: str, max_rows: int = MAX_ROWS) -> dict:
-    sample = texts_of(docs, bounded(labelled(labels, column), max_rows, "quality"))
+FIGURES = [f"x_{i}" for i in range(N_FIGURES)]
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, column: str) -> DataFrame:
+    """label and figures of every id to learn from, of its text of least hash. No text
+    is shuffled."""
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            table = pa.array(list(_table(batch)), pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([batch.column("label"), table], ["label", "x"])
+            columns = [pa.array(c) for c in _table(batch).T]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("hash"), *columns], ["doc_id", "hash", *FIGURES]
+            )
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("hash"))
+    fields = ["doc_id long", "hash long", *(f"{n} double" for n in FIGURES)]
+    figured = rows.filter("doc_id IS NOT NULL").mapInArrow(measured, ", ".join(fields))
+    first = figured.groupBy("doc_id").agg(*[F.min_by(n, "hash").alias(n) for n in FIGURES])
+    return first.join(labelled(labels, column), "doc_id").select("label", *FIGURES)
+
+
+def _scaled(batch: pa.RecordBatch, model: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Scaled figures and scores of training rows."""
+    x = np.column_stack([batch.column(n).to_numpy() for n in FIGURES])
+    z = (x - model["mean"]) / model["spread"]
+    return z, (z * model["w"]).sum(axis=1)
+
+
+def _steps(batch: pa.RecordBatch, score: np.ndarray) -> np.ndarray:
+    """The number of each row's class and step of the score."""
+    step = np.floor((np.clip(score, -REACH, REACH) + REACH) * PER_POINT).astype(np.int64)
+    return 2 * step + (batch.column("label").to_numpy() == 1)
+
+
+N_STEPS = 2 * (2 * REACH * PER_POINT + 1)
+SUMS = ["n", "s", *FIGURES]
+
+
+def _step_sums(rows: DataFrame, model: dict) -> np.ndarray:
+    """Row count, scores and scaled figures added up by class and step of the score."""
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((N_STEPS, len(SUMS)))
+        for batch in batches:
+            z, score = _scaled(batch, model)
+            at = _steps(batch, score)
+            for i, c in enumerate((np.ones(len(at)), score, *z.T)):
+                total[:, i] += np.bincount(at, c, N_STEPS)
+        met = np.flatnonzero(total[:, 0])
+        columns = [pa.array(met), *(pa.array(c) for c in total[met].T)]
+        yield pa.RecordBatch.from_arrays(columns, ["step", *SUMS])
+
+    parts = rows.mapInArrow(added, ", ".join(["step long", *(f"{n} double" for n in SUMS)]))
+    out = np.zeros((N_STEPS, len(SUMS)))
+    # One row for each step, N_STEPS at most.
+    for step, *sums in parts.groupBy("step").agg(*[F.sum(n).alias(n) for n in SUMS]).collect():
+        out[step] = sums
+    return out
+
+
+def _products(rows: DataFrame, model: dict, weight: np.ndarray) -> np.ndarray:
+    """The weighted sum of the rows' products of two figures; a step's rows weigh alike."""
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((N_FIGURES, N_FIGURES))
+        for batch in batches:
+            z, score = _scaled(batch, model)
+            total += (z * weight[_steps(batch, score)][:, None]).T @ z
+        columns = [pa.array(np.arange(N_FIGURES)), *(pa.array(c) for c in total.T)]
+        yield pa.RecordBatch.from_arrays(columns, ["row", *FIGURES])
+
+    parts = rows.mapInArrow(added, ", ".join(["row long", *(f"{n} double" for n in FIGURES)]))
+    found = parts.groupBy("row").agg(*[F.sum(n).alias(n) for n in FIGURES]).orderBy("row").collect()
+    return np.array([r[1:] for r in found], dtype=np.float64)
+
+
+def _pair_sums(rows: DataFrame, model: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and curvature of the mean loss over all pairs of a good and a bad row."""
+    sums = _step_sums(rows, model)
+    bad, good = (np.flatnonzero(sums[c::2, 0]) * 2 + c for c in (0, 1))
+    (n_bad, s_bad, *_), (n_good, s_good, *_) = sums[bad].T, sums[good].T
+    pairs = n_bad.sum() * n_good.sum()
+    apart = (s_good / n_good)[:, None] - (s_bad / n_bad)[None, :]
+    p = 1 / (1 + np.exp(np.clip(apart, -30, 30)))
+    x_bad, x_good = sums[bad, 2:], sums[good, 2:]
+    gradient = x_bad.T @ (n_good @ p) - x_good.T @ (p @ n_bad)
+    q = p * (1 - p)
+    weight = np.zeros(N_STEPS)
+    weight[bad], weight[good] = n_good @ q, q @ n_bad
+    cross = x_good.T @ q @ x_bad
+    return gradient / pairs, (_products(rows, model, weight) - cross - cross.T) / pairs
+
+
+def _ranked(scores: DataFrame, rank: int) -> float:
+    """The score of a rank from 0. The range that holds it is cut until few are left."""
+    low, high, left = scores.agg(F.min("s"), F.max("s"), F.count("s")).first()
+    part = scores
+    while left > FEW and low < high:
+        place = (F.col("s") - low) / (high - low) * N_STEPS
+        cells = part.groupBy(F.floor(place).alias("cell")).agg(
+            F.count("s").alias("n"), F.min("s").alias("low"), F.max("s").alias("high")
+        )
+        for _, n, low, high in sorted(cells.collect()):
+            if rank < n:
+                break
+            rank -= n
+        left, part = n, scores.filter(F.col("s").between(low, high))
+    return low if low == high else sorted(r.s for r in part.collect())[rank]
+
+
+def _quantile(scores: DataFrame, n: int, share: float) -> float:
+    at = share * (n - 1)
+    low = int(at)
+    first, second = (_ranked(scores, r) for r in (low, min(low + 1, n - 1)))
+    return first + (second - first) * (at - low)
+
+
+def train(docs: DataFrame, labels: DataFrame, column: str) -> dict:
+    """The weights, scaling and threshold; no weights without both classes."""
+    rows = stored(training_rows(docs, labels, column))
+    n, good, *rest = rows.agg(
+        F.count("*"),
+        F.coalesce(F.sum((F.col("label") == 1).cast("int")), F.lit(0)),
+        *[F.avg(c) for c in FIGURES],
+        *[F.stddev_pop(c) for c in FIGURES],
+    ).first()
+    rows = rows.filter("label IN (0, 1)")
+    bad = rows.filter("label = 0").count()
+    if not good or not bad:
+        return {}
+    mean, spread = np.round(np.array(rest, dtype=np.float64).reshape(2, N_FIGURES), 9)
+    model = {"mean": mean, "spread": spread + 1e-9}
+    model["w"] = _least(lambda w: _pair_sums(rows, {**model, "w": w}), DIGITS)
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_scaled(batch, model)[1])], ["s"])
 
-    rows = sample.mapInArrow(measured, "label int, x array<double>").collect()
-    x = np.array([r.x for r in rows], dtype=np.float64).reshape(len(rows), N_FIGURES)
-    label = np.array([r.label for r in rows])
-    order = np.lexsort((*x.T, label))  # rows come in any order
-    return fit(x[order], label[order])
+    scores = stored(rows.mapInArrow(scored, "s double"))
+    return {**model, "at": _quantile(scores, good + bad, bad / n)}
 
 
 def score_documents(
@@ -121,7 +266,7 @@ def score_documents(
         for batch in batches:
             if model:
                 z = (_table(batch) - model["mean"]) / model["spread"]
-                s = z @ model["w"] - model["at"] + np.log(cut / (1 - cut))
+                s = (z * model["w"]).sum(axis=1) - model["at"] + np.log(cut / (1 - cut))
                 score = 1 / (1 + np.exp(-np.clip(s, -30, 30)))
             else:
                 score = np.full(batch.num_rows, 0.5)

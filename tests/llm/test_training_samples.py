@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 from pyspark.sql import functions as F
 
-from shelfaudit.llm import features, quality, sharding, toxicity
+from shelfaudit.llm import features, quality, sharding, tokens, toxicity
 from shelfaudit.llm.common import hash_key
 
 WORDS = np.arange(1, 41, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -160,3 +162,51 @@ def test_rows_of_several_keys_are_never_settled_early(spark):
 def test_all_groups_settled_or_no_links(spark):
     _placed(spark, [(i, [i // 5]) for i in range(20)], 4)
     _placed(spark, [(i, []) for i in range(9)], 4)
+
+
+def _labelled_texts(spark, n):
+    """Good and bad texts that overlap; the ids leave out the held-out fold."""
+    rng = np.random.default_rng(8)
+    ids = [i for i in range(2 * n) if zlib.crc32(str(i).encode()) % 5][:n]
+    good = (rng.random(n) < 0.6).astype(int)
+    marks = np.maximum(0, rng.poisson(np.where(good == 1, 1, 3), n))
+    texts = [f"word{i % 89} and some more" + " #x" * int(m) for i, m in zip(ids, marks, strict=True)]
+    docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string")
+    labels = spark.createDataFrame(
+        [(i, int(g)) for i, g in zip(ids, good, strict=True)], "doc_id long, quality int"
+    )
+    x = np.array([quality.figures(*_parts(t)) for t in texts])
+    return docs.repartition(4), labels, x, good
+
+
+def _parts(text):
+    return text.encode(), next(iter(tokens.word_hashes([text.encode()])))
+
+
+def test_quality_learns_from_every_labelled_row(spark):
+    """More rows than the former sample had: scaling and threshold are those of all."""
+    docs, labels, x, good = _labelled_texts(spark, 13_000)
+    model = quality.train(docs, labels, "quality")
+    np.testing.assert_allclose(model["mean"], x.mean(axis=0), rtol=0, atol=1e-8)
+    np.testing.assert_allclose(model["spread"], x.std(axis=0), rtol=0, atol=1e-8)
+    scores = ((x - model["mean"]) / model["spread"]) @ model["w"]
+    np.testing.assert_allclose(model["at"], np.quantile(scores, 1 - good.mean()), atol=1e-9)
+
+
+def test_quality_weights_follow_all_pairs(spark):
+    docs, labels, x, good = _labelled_texts(spark, 400)
+    model = quality.train(docs, labels, "quality")
+    z = (x - model["mean"]) / model["spread"]
+    diff = (z[good == 1][:, None] - z[good == 0][None]).reshape(-1, x.shape[1])
+    p = 1 / (1 + np.exp(diff @ model["w"]))
+    gradient = -(diff * p[:, None]).mean(axis=0) + quality.RIDGE * model["w"]
+    assert np.abs(gradient).max() < 1e-3
+    assert np.abs(model["w"]).max() > 0.1
+
+
+def test_ranks_of_many_equal_scores(spark, monkeypatch):
+    monkeypatch.setattr(quality, "FEW", 5)
+    values = [0.25] * 500 + [float(i) ** 3 for i in range(300)] + [-1e6]
+    scores = spark.createDataFrame([(v,) for v in values], "s double")
+    for rank in (0, 1, 250, 502, 503, 700, 800):
+        assert quality._ranked(scores, rank) == sorted(values)[rank]
