@@ -90,30 +90,30 @@ def _published_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The index report, published twice to a folder and read through its pointer."""
     with Workspace(spark) as run:
         location = f"{run.path}/published"
-        summary = suite.stored_summary(X.pricing_prior(spark, sf_dir), run, "prior")
+        prior, current = X.pricing_pair(spark, sf_dir, run)
+        summary = suite.stored_summary(prior, run, "prior")
         suite.published_index(index.index_report(summary), None, location)
-        summary = suite.stored_summary(X.pricing_current(spark, sf_dir), run, "current")
+        summary = suite.stored_summary(current, run, "current")
         return suite.published_index(index.index_report(summary), None, location).checkpoint()
 
 
-_SUITES: dict[tuple, dict[str, DataFrame]] = {}
-
-
 def _suite(spark: SparkSession, sf_dir: str, odd: bool) -> dict[str, DataFrame]:
-    """The reports of one run of the suite, which all queries on them read. The odd run
-    has duplicate keys and labels without a date."""
-    key = (spark.sparkContext.applicationId, sf_dir, odd)
-    if key not in _SUITES:
-        template = X.pricing_odd if odd else X.pricing_current
-        _SUITES[key] = suite.run_qc_suite(
+    """The reports of a run of the suite. The odd run has duplicate keys and labels
+    without a date. The pricing tables are made for this run alone and the feed is read
+    once, so nothing is frozen."""
+    with Workspace(spark) as run:
+        prior, template = X.pricing_pair(spark, sf_dir, run)
+        reports = suite.run_qc_suite(
             (X.raw_mixed if odd else X.raw_pricing)(spark, sf_dir),
-            X.pricing_prior(spark, sf_dir),
-            template(spark, sf_dir),
+            prior,
+            X.odd(template) if odd else template,
             index_table=None,
             config=LENIENT if odd else TRENDING,
+            freeze=False,
             index_location=report_folder(spark, f"qc_index_{'odd_' * odd}{os.path.basename(sf_dir)}"),
         )
-    return _SUITES[key]
+    # Later runs replace the published index.
+    return {**reports, "index": reports["index"].checkpoint()}
 
 
 def _suite_report(name: str, title: str | None = None, odd: bool = False):
@@ -125,13 +125,15 @@ def _suite_report(name: str, title: str | None = None, odd: bool = False):
 
 
 def _of_bits(report, prepared=X.pricing_current):
-    """A report that reads sums and distinct items from one table of bit slices."""
+    """A report that reads sums and distinct items from one table of bit slices. What is
+    read again, the table and the numbers and slices made of it, is stored once."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        pricing = prepared(spark, sf_dir)
-        numbers = item_bits.item_numbers(pricing)
-        bits = item_bits.bit_slices(pricing, numbers, numbers.count())
-        return report(item_bits.bit_summary(bits))
+        with Workspace(spark) as run:
+            pricing = snapshot(prepared(spark, sf_dir), run)
+            numbers = run.write(item_bits.item_numbers(pricing), "numbers")
+            bits = run.write(item_bits.bit_slices(pricing, numbers, numbers.count()), "bits")
+            return report(item_bits.bit_summary(bits)).checkpoint()
 
     return query
 
@@ -139,8 +141,8 @@ def _of_bits(report, prepared=X.pricing_current):
 def _incremental_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The index report of a table that grew, changed and shrank between three updates of
     the summary that is kept of it."""
-    current, prior = X.pricing_current(spark, sf_dir), X.pricing_prior(spark, sf_dir)
     with Workspace(spark) as run:
+        prior, current = X.pricing_pair(spark, sf_dir, run)
         table = f"{run.path}/table"
         store = SummaryStore(spark, f"{run.path}/summary")
         newest = F.col("time_period") >= "2000"
@@ -183,18 +185,17 @@ def _load_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Back data of two catalog tables with a user's column names, in two databases,
     whose units have four decimals. One has its column names in capitals."""
     names = []
-    for database, df in (
-        ("shelf_live", X.pricing_prior(spark, sf_dir)),
-        ("shelf_work", X.pricing_current(spark, sf_dir)),
-    ):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        factor = F.lit("1.01").cast("decimal(3,2)")
-        fine = df.withColumns({c: F.col(c) * factor for c in ("units", "market_units")})
-        name = f"spark_catalog.{database}.pricing_{uuid.uuid4().hex}"
-        # Names are found whatever the case of their letters.
-        titles = {n: t.upper() if database == "shelf_work" else t for n, t in S.PRICING_SOURCE.items()}
-        fine.withColumnsRenamed(titles).write.saveAsTable(name)
-        names.append(name)
+    with Workspace(spark) as run:
+        made = X.pricing_pair(spark, sf_dir, run)
+        for database, df in zip(("shelf_live", "shelf_work"), made, strict=True):
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+            factor = F.lit("1.01").cast("decimal(3,2)")
+            fine = df.withColumns({c: F.col(c) * factor for c in ("units", "market_units")})
+            name = f"spark_catalog.{database}.pricing_{uuid.uuid4().hex}"
+            # Names are found whatever the case of their letters.
+            titles = {n: t.upper() if database == "shelf_work" else t for n, t in S.PRICING_SOURCE.items()}
+            fine.withColumnsRenamed(titles).write.saveAsTable(name)
+            names.append(name)
     tables = [pricing_table(read_table(spark, name)) for name in names]
     found = S.titled(back_data.back_data_check(*tables), "back_data").checkpoint()
     for name in names:
@@ -244,6 +245,12 @@ def _back(operator):
     return lambda spark, sf: operator(X.pricing_prior(spark, sf), X.pricing_current(spark, sf))
 
 
+def _history_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both tables are read twice: to find the groups that differ, then their rows."""
+    with Workspace(spark) as run:
+        return history.changed_items(*X.pricing_pair(spark, sf_dir, run)).checkpoint()
+
+
 def _codes(operator, *args, **kwargs):
     return lambda spark, sf: operator(X.codes(spark, sf), *args, **kwargs)
 
@@ -283,7 +290,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "back_data_differences": _back(back_data.back_data_differences),
         "back_data_missing_keys": _back(back_data.back_data_missing_keys),
         "history_check": _back(history.history_check),
-        "history_changes": _back(history.changed_items),
+        "history_changes": _history_changes,
         "history_check_swapped": lambda spark, sf: history.history_check(
             X.pricing_prior(spark, sf), X.pricing_swapped(spark, sf)
         ),

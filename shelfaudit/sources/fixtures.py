@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shelfaudit import schema as S
+from shelfaudit.sources.store import Workspace
 
 FOCUS_MARKETS = ["ASIA", "EUROPE"]
 
@@ -19,6 +20,18 @@ def _money(col: Column) -> Column:
     return col.cast(S.MONEY)
 
 
+def _cents(col: Column) -> Column:
+    """An amount of money as a whole number: sums of these need no decimals, which Spark
+    adds up as objects from 19 digits on."""
+    return (col * 100).cast("long")
+
+
+def _whole(hundredths: Column) -> Column:
+    """Rounded half away from zero, as a cast to ``MONEY`` does."""
+    half = F.when(hundredths < 0, F.lit(-50)).otherwise(F.lit(50))
+    return F.call_function("div", hundredths + half, F.lit(100))
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -33,7 +46,8 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_partkey",
         "p_size",
         _money(F.col("p_size") % 4).alias("cf"),
-        _money(F.col("p_retailprice")).alias("price"),
+        (F.col("p_size") % 4).cast("long").alias("cf_whole"),
+        _cents(_money(F.col("p_retailprice"))).alias("price_cents"),
     )
     lines = (
         _table(spark, sf_dir, "lineitem")
@@ -46,7 +60,8 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
             _money(F.col("l_extendedprice")).alias("v"),
             "p_size",
             "cf",
-            "price",
+            "cf_whole",
+            "price_cents",
         )
     )
     markets = (
@@ -79,18 +94,31 @@ def raw_pricing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+GROUP = ["mkt", "qtr", "item", "cond"]
+
+
+def _volumes() -> dict[str, Column]:
+    """What a pricing table adds up, in cents."""
+    units, dollars = _cents(F.col("q")), _cents(F.col("v"))
+    return {
+        "units": units,
+        "dollars": dollars,
+        "market_units": units * F.col("cf_whole"),
+        "market_dollars": dollars * F.col("cf_whole"),
+        "price_weighted_volume": _whole(units * F.col("price_cents")),
+    }
+
+
+def _total(cents: Column) -> Column:
+    return _money(F.sum(cents).cast("decimal(20,0)") * F.lit("0.01").cast("decimal(2,2)"))
+
+
 def _pricing(rows: DataFrame) -> DataFrame:
-    def total(col: Column) -> Column:
-        return _money(F.sum(_money(col)))
-
-    grouped = rows.groupBy("mkt", "qtr", "item", "cond").agg(
-        total(F.col("q")).alias("units"),
-        total(F.col("v")).alias("dollars"),
-        total(F.col("q") * F.col("cf")).alias("market_units"),
-        total(F.col("v") * F.col("cf")).alias("market_dollars"),
-        total(F.col("q") * F.col("price")).alias("price_weighted_volume"),
-        F.max("p_size").alias("size"),
-    )
+    totals = [_total(c).alias(n) for n, c in _volumes().items()]
+    return _shaped(rows.groupBy(*GROUP).agg(*totals, F.max("p_size").alias("size")))
+
+
+def _shaped(grouped: DataFrame) -> DataFrame:
     is_kvi = (F.col("size") <= 10) & (F.col("qtr") != F.lit("1999-01-01").cast("date"))
     ratio = F.col("dollars").cast("double") / F.col("price_weighted_volume").cast("double")
     return grouped.select(
@@ -111,22 +139,57 @@ def _pricing(rows: DataFrame) -> DataFrame:
     )
 
 
-def pricing_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rebuilt table: two thinned years and one lost market."""
+def _lost_market() -> Column:
+    return (F.col("qtr") == F.lit("1998-01-01").cast("date")) & (F.col("mkt") == "AFRICA")
+
+
+def _kept() -> Column:
+    """Whether the rebuilt table has a line; unknown where a filter would drop it."""
     year = F.year("qtr")
     lost = (
         ((year == 1996) & (F.col("l_orderkey") % 50 == 0))
         | ((year == 1997) & (F.col("l_orderkey") % 5 == 0))
-        | ((F.col("qtr") == F.lit("1998-01-01").cast("date")) & (F.col("mkt") == "AFRICA"))
+        | _lost_market()
     )
-    return _pricing(_base(spark, sf_dir).filter(~lost))
+    return ~lost
+
+
+def _published() -> Column:
+    return F.col("qtr") < F.lit("2001-07-01").cast("date")
+
+
+def pricing_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rebuilt table: two thinned years and one lost market."""
+    return _pricing(_base(spark, sf_dir).filter(_kept()))
 
 
 def pricing_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The published table: complete, but without the newest quarter."""
-    return _pricing(
-        _base(spark, sf_dir).filter(F.col("qtr") < F.lit("2001-07-01").cast("date"))
+    return _pricing(_base(spark, sf_dir).filter(_published()))
+
+
+def pricing_pair(spark: SparkSession, sf_dir: str, run: Workspace) -> tuple[DataFrame, DataFrame]:
+    """``pricing_prior`` and ``pricing_current`` for reports that read them several
+    times: the lines are joined and added up once, into one stored row for each group of
+    either. Only in the thinned years do the lines that are kept have sums of their own;
+    in the others a group is kept or lost as a whole."""
+    thinned = F.coalesce(F.year("qtr").isin(1996, 1997), F.lit(True))
+    kept = thinned & _kept()
+    volumes = _volumes()
+    both = run.write(
+        _base(spark, sf_dir)
+        .groupBy(*GROUP)
+        .agg(
+            *[_total(c).alias(n) for n, c in volumes.items()],
+            *[_total(F.when(kept, c)).alias(f"kept_{n}") for n, c in volumes.items()],
+            F.count_if(kept).alias("kept_lines"),
+            F.max("p_size").alias("size"),
+        ),
+        "both",
     )
+    own = {n: F.when(thinned, F.col(f"kept_{n}")).otherwise(F.col(n)) for n in volumes}
+    is_kept = F.when(thinned, F.col("kept_lines") > 0).otherwise(~_lost_market())
+    return _shaped(both.filter(_published())), _shaped(both.filter(is_kept).withColumns(own))
 
 
 def pricing_swapped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,11 +216,14 @@ def raw_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_pricing(spark, sf_dir).withColumn("time_period", F.coalesce(label, "time_period"))
 
 
-def pricing_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+def odd(current: DataFrame) -> DataFrame:
     """The dirty table, with labels without a date for some items."""
     unread = F.when(F.col("upc").cast("long") % 89 == 0, "unknown QTR")
-    dirty = pricing_dirty(spark, sf_dir)
-    return dirty.withColumn("time_period", F.coalesce(unread, "time_period"))
+    return dirty(current).withColumn("time_period", F.coalesce(unread, "time_period"))
+
+
+def pricing_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd(pricing_current(spark, sf_dir))
 
 
 def pricing_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,12 +236,12 @@ def pricing_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pricing_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pricing_current`` with every 97th item's rows written twice."""
+    return dirty(pricing_current(spark, sf_dir))
+
+
+def dirty(current: DataFrame) -> DataFrame:
     twice = F.when(F.col("upc").cast("bigint") % 97 == 0, 2).otherwise(1)
-    return (
-        pricing_current(spark, sf_dir)
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), twice)))
-        .drop("copy")
-    )
+    return current.withColumn("copy", F.explode(F.sequence(F.lit(1), twice))).drop("copy")
 
 
 def codes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfaudit import schema as S
 from shelfaudit.config import QcConfig
@@ -12,6 +13,7 @@ from shelfaudit.operators import back_data, coverage, duplication, hygiene, inde
 from shelfaudit.operators.summary import items, slices
 from shelfaudit.plans import suite
 from shelfaudit.sources import fixtures
+from shelfaudit.sources.store import Workspace
 from shelfaudit.sources.tables import with_collation
 
 
@@ -161,3 +163,43 @@ def test_collated_keys_are_grouped_by_hash(tables):
         plan = _plan(df)
         assert "HashAggregate" in plan
         assert "SortAggregate" not in plan
+
+
+def test_pricing_pair_is_both_tables(spark, sf_dir, tmp_path):
+    """One pass over the lines, with NULL and repeated keys and odd amounts among them."""
+    for name in ("customer", "nation", "region", "orders", "part", "lineitem"):
+        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        if name == "lineitem":
+            key = F.col("l_orderkey")
+            odd = {
+                "l_quantity": F.when(key % 9 == 0, -1.15).when(key % 7 > 0, F.col("l_quantity") + 0.37),
+                "l_returnflag": F.when(key % 11 > 0, F.col("l_returnflag")),
+            }
+            df = df.withColumns(odd).union(df.filter("l_linenumber = 1"))
+        if name == "part":
+            df = df.union(df.filter("p_partkey % 5 = 0").withColumn("p_size", F.col("p_size") + 1))
+        if name == "orders":
+            dates = F.when(F.col("o_orderkey") % 13 > 0, F.col("o_orderdate"))
+            df = df.withColumn("o_orderdate", dates)
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    with Workspace(spark, str(tmp_path)) as run:
+        prior, current = fixtures.pricing_pair(spark, str(tmp_path), run)
+        for pair, own in ((prior, fixtures.pricing_prior), (current, fixtures.pricing_current)):
+            rows = own(spark, str(tmp_path))
+            assert pair.schema == rows.schema and rows.count() > 100
+            assert pair.exceptAll(rows).count() == rows.exceptAll(pair).count() == 0
+            assert "lineitem" not in _plan(pair)
+
+
+def test_suite_query_follows_its_tables(spark, sf_dir, tmp_path):
+    """A report is of the tables as they are, not of an earlier run in the session."""
+    import __spark_entry__ as entry
+
+    for name in ("customer", "nation", "region", "orders", "part", "lineitem"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    query = entry.queries()["qc_suite_counts"]
+    assert len(query(spark, str(tmp_path)).collect()) > 1
+    few = spark.read.parquet(f"{sf_dir}/orders.parquet").filter("o_orderdate < '1997-01-01'")
+    few.write.mode("overwrite").parquet(f"{tmp_path}/orders.parquet")
+    report = query(spark, str(tmp_path))
+    assert all(str(r[0]) < "1997" for r in report.select(report.columns[0]).collect())
