@@ -34,7 +34,7 @@ def period_condition_metrics(
         "units", "dollars", "market_units", "market_dollars", "index_whole", "index_rest", "index_units",
     ]
     by_market = totals(summary.measures, [*KEYS, "market_name"], needed)
-    item_counts = summary.items.groupBy(*KEYS).agg(F.count_distinct("upc").alias("item_count"))
+    item_counts = summary.items.groupBy(*KEYS).agg(summary.item_count().alias("item_count"))
     # Every group has one row of items next to its rows of markets.
     groups = (
         by_market.unionByName(item_counts, allowMissingColumns=True)

@@ -34,10 +34,16 @@ ADDITIVE = [
 @dataclass(frozen=True)
 class Summary:
     """``measures``: dimensions, classes and additive columns.
-    ``items``: time_period, condition, upc, is_kvi."""
+    ``items``: time_period, condition, upc, is_kvi. ``distinct`` tells that it has one
+    row per period, condition and item, so that reports need not move it to count."""
 
     measures: DataFrame
     items: DataFrame
+    distinct: bool = False
+
+    def item_count(self) -> Column:
+        """The items of a group of one period and condition."""
+        return F.count("upc") if self.distinct else F.count_distinct("upc")
 
 
 def _is_kvi() -> Column:

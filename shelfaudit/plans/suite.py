@@ -56,7 +56,8 @@ def stored_summary(
             pricing.sparkSession,
             lambda: workspace.write(slices(pricing, config), f"{name}_slices"),
             lambda: workspace.write(items(pricing), f"{name}_items"),
-        )
+        ),
+        distinct=True,
     )
 
 

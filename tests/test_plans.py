@@ -203,3 +203,15 @@ def test_suite_query_follows_its_tables(spark, sf_dir, tmp_path):
     few.write.mode("overwrite").parquet(f"{tmp_path}/orders.parquet")
     report = query(spark, str(tmp_path))
     assert all(str(r[0]) < "1997" for r in report.select(report.columns[0]).collect())
+
+
+def test_stored_items_are_counted_without_moving_them(spark, pricing, tmp_path):
+    rows = [{"upc": str(i % 7) if i % 5 else None, "condition": "ab"[i % 2], "kvi_quad": "KVI" if i % 3 else None,
+             "market_name": f"M{i % 4}"} for i in range(60)]
+    df = pricing(*rows, {"upc": "1", "condition": None}, {"upc": None, "condition": "c"})
+    with Workspace(spark, str(tmp_path)) as run:
+        summary = suite.stored_summary(df, run, "current")
+        found = back_data.period_condition_metrics(summary, "current")
+        assert not re.search(r"hashpartitioning\([^)]*upc#", _plan(found))
+        expected = back_data.period_condition_metrics(df, "current")
+        assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))
