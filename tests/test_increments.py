@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from shelfaudit import schema as S
 from shelfaudit.config import QcConfig
 from shelfaudit.operators import duplication, hygiene, item_bits
+from shelfaudit.operators.back_data import period_condition_metrics
 from shelfaudit.operators.index import index_report, period_counts
-from shelfaudit.operators.summary import Summary, items, slices
+from shelfaudit.operators.summary import CLASSES, DIMENSIONS, Summary, items, slices, totals
 from shelfaudit.operators.trend import trend_check, trend_step
 from shelfaudit.plans import suite
 from shelfaudit.plans.increments import SummaryStore
@@ -117,6 +118,42 @@ def test_bits_count_as_rows_do(spark, pricing):
     assert counts == {r[0]: (r[1], r[2]) for r in expected.collect()}
 
 
+def test_many_items_are_numbered_without_moving_sums(spark, pricing, tmp_path, monkeypatch):
+    rows = [
+        {"upc": str(i % 150), "kvi_quad": {0: None, 1: "x"}.get(i % 3, "KVI"), "units": str(i % 30),
+         "condition": {0: None, 1: "a"}.get(i % 4, "b"), "market_name": f"M{i % 5}"}
+        for i in range(400)
+    ]
+    rows += [{"upc": None, "kvi_quad": "KVI"}, {"upc": None, "time_period": "2020-04-01 QTR"}]
+    rows += [{"upc": "7", "time_period": None, "condition": None}] * 2
+    config = QcConfig(on_zero="skip")
+    pricing(*rows).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t").withColumn("_path", F.col("market_name"))
+    numbers = item_bits.item_numbers(df)
+    few = item_bits.bit_slices(df, numbers, 150, config, ("_path",))
+    monkeypatch.setattr(item_bits, "BROADCAST_ITEMS", 149)
+    many = item_bits.bit_slices(df, numbers, 150, config, ("_path",))
+    assert many.schema.simpleString() == few.schema.simpleString()
+
+    def found(bits):
+        summary = item_bits.bit_summary(bits)
+        sliced = totals(summary.measures, [*DIMENSIONS, *CLASSES, "_path"])
+        metrics = period_condition_metrics(summary, "current", config)
+        counts = item_bits.item_counts(bits, ["market_name", "is_sold"])
+        frames = (sliced, metrics, counts, period_counts(summary, config), index_report(summary, config))
+        return [sorted(map(repr, x.collect())) for x in frames]
+
+    assert found(many) == found(few)
+    of_rows = period_condition_metrics(df, "current", config)
+    assert found(many)[1] == sorted(map(repr, of_rows.collect()))
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    by_upc = re.findall(r"Exchange hashpartitioning\(upc#.*\n(.*\n.*)", plan)
+    assert by_upc and not any("index_whole" in x or "dollars" in x for x in by_upc)
+    # The join's sides are moved by item; what the sums are of is not.
+    joined = plan[plan.index("Join") :]
+    assert "print_0" not in joined and "index_whole" not in joined
+
+
 def test_bits_take_one_scan_and_add_up(spark, current, tmp_path):
     numbers = item_bits.item_numbers(current)
     numbers.write.parquet(f"{tmp_path}/n")
