@@ -441,10 +441,25 @@ def _with(docs: DataFrame, name: str, kind: str) -> tuple[list[str], T.StructTyp
     return [f.name for f in others], T.StructType([*others, added])
 
 
-def encode_texts(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """`docs` with the ids of `text` as little-endian unsigned 32-bit integers."""
+def decoded_text(table: list[bytes], ids: bytes) -> str:
+    """The text of ids; `table` has the bytes of each token."""
+    n = len(table)
+    found = np.frombuffer(ids, "<u4").tolist()
+    return b"".join([table[i] if i < n else b"" for i in found]).decode("utf-8", "replace")
+
+
+def encode_texts(
+    docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None
+) -> DataFrame:
+    """`docs` with the ids of `text` as little-endian unsigned 32-bit integers and, as
+    `decoded`, if it is named, the text that `decode_ids` makes of them: a task then
+    needs one Python worker with the tables and not two."""
     vocabulary, splitter = Vocabulary(path), Splitter()
     names, schema = _with(docs, ids, "binary")
+    if decoded:
+        names = [n for n in names if n.lower() != decoded.lower()]
+        kept = [f for f in schema if f.name.lower() != decoded.lower()]
+        schema = T.StructType([*kept, T.StructField(decoded, T.StringType())])
 
     def encode(batches: Batches) -> Batches:
         encoder = Encoder(vocabulary, splitter)
@@ -453,8 +468,11 @@ def encode_texts(docs: DataFrame, path: str, text: str = "text", ids: str = "ids
             at = 0
             for found in encoder.blocks(x.as_py() for x in batch.column(0)):
                 part = rows.slice(at, len(found))
-                column = pa.array(found, pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns, column], schema.names)
+                columns = [*part.columns, pa.array(found, pa.binary())]
+                if decoded:
+                    texts = [decoded_text(vocabulary.text, x) for x in found]
+                    columns.append(pa.array(texts, pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
                 at += len(found)
 
     of = docs[f"`{text}`"].cast("string").alias(*free_names(names, "_text"))
@@ -467,13 +485,9 @@ def decode_ids(docs: DataFrame, path: str, ids: str = "ids", text: str = "decode
     names, schema = _with(docs, text, "string")
 
     def decode(batches: Batches) -> Batches:
-        get = dict(enumerate(table)).get
         for batch in batches:
-            found = [
-                b"".join([get(i, b"") for i in np.frombuffer(x.as_py() or b"", "<u4").tolist()])
-                for x in batch.column(0)
-            ]
-            column = pa.array([x.decode("utf-8", "replace") for x in found], pa.string())
+            found = [decoded_text(table, x.as_py() or b"") for x in batch.column(0)]
+            column = pa.array(found, pa.string())
             rows = batch.columns[1:]
             yield pa.RecordBatch.from_arrays([*rows, column], schema.names)
 
@@ -486,11 +500,11 @@ def op12_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path(VOCABULARY)
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    encoded = encode_texts(docs, path).drop("text")
-    decoded = decode_ids(encoded, path)
-    return decoded.select(
+    # The text is not sent back: its place is taken by the ids.
+    encoded = encode_texts(docs, path, ids="text", decoded="decoded")
+    return encoded.select(
         "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
+        (F.octet_length("text") / 4).cast("long").alias("n_tokens"),
+        F.sha2("text", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )

@@ -239,6 +239,18 @@ def test_bpe_query(spark, docs, rows, tokenizer, tmp_path):
     assert sorted(map(tuple, got), key=repr) == sorted(expected, key=repr)
 
 
+def test_bpe_query_has_one_worker_a_task(spark, docs, tmp_path):
+    query = bpe.op12_speculative_bpe(spark, _parquet(spark, tmp_path, docs))
+    plan = query._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    taken = docs.withColumn("Decoded", docs["doc_id"])
+    both = bpe.encode_texts(taken, PATH, decoded="decoded")
+    apart = bpe.decode_ids(bpe.encode_texts(taken, PATH), PATH)
+    assert set(both.columns) == set(apart.columns)
+    columns = ["doc_id", "text", "ids", "decoded"]
+    assert sorted(map(repr, both.select(columns).collect())) == sorted(map(repr, apart.select(columns).collect()))
+
+
 def test_decoding_of_any_ids(spark, tokenizer):
     rng = random.Random(2)
     ids = [[rng.randint(0, 50_300) for _ in range(n)] for n in (0, 1, 5, 300)] + [[172, 173]]
