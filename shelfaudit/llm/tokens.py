@@ -14,7 +14,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 21
+#: A block's arrays hold eight bytes for each of its bytes, several of them at once, in
+#: every Python worker.
+BLOCK_BYTES = 1 << 18
+SHAPED_BYTES = 1 << 21  # of those with shapes, whose users add up a table for each block
 
 _BASE = np.uint64(0x9E3779B97F4A7C55)
 _MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -71,11 +74,11 @@ def hash_block(
     return mix(hashes + (ends - starts).astype(np.uint64) * _MIX_1), starts, ends
 
 
-def _blocks(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Runs of whole texts of BLOCK_BYTES together, or one larger text."""
+def _blocks(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of whole texts of `most` bytes together, or one larger text."""
     first, total = 0, 0
     for i, size in enumerate(sizes):
-        if total and total + size > BLOCK_BYTES:
+        if total and total + size > most:
             yield first, i
             first, total = i, 0
         total += int(size) + 1
@@ -94,9 +97,10 @@ def shaped_blocks(
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """As word_blocks, A-Z lower-cased, with the shapes of the words; one long text at
     a time."""
-    for first, last in _blocks(np.fromiter(map(len, texts), np.int64, len(texts))):
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    for first, last in _blocks(sizes, SHAPED_BYTES):
         parts = (
-            _stretches(texts[first], BLANK)
+            _stretches(texts[first], BLANK, SHAPED_BYTES)
             if last - first == 1
             else [np.frombuffer(b" ".join(texts[first:last]) + b" ", dtype=np.uint8)]
         )
@@ -113,12 +117,12 @@ def shaped_blocks(
         yield first, np.concatenate(hashes), np.concatenate(forms), np.asarray(counts)
 
 
-def _stretches(raw: bytes, blank: np.ndarray) -> Iterator[np.ndarray]:
-    """A text in blocks that end at a blank."""
+def _stretches(raw: bytes, blank: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """A text in blocks of `most` bytes and up to the next blank."""
     at = 0
     data = np.frombuffer(raw, dtype=np.uint8)
     while at < len(data):
-        end = min(len(data), at + BLOCK_BYTES)
+        end = min(len(data), at + most)
         while end < len(data) and not blank[data[end]]:
             end += 1
         yield data[at:end]
@@ -126,7 +130,7 @@ def _stretches(raw: bytes, blank: np.ndarray) -> Iterator[np.ndarray]:
 
 
 def _long_text(raw: bytes, lower: bool, blank: np.ndarray) -> np.ndarray:
-    parts = [hash_block(x, lower, blank)[0] for x in _stretches(raw, blank)]
+    parts = [hash_block(x, lower, blank)[0] for x in _stretches(raw, blank, BLOCK_BYTES)]
     return np.concatenate(parts) if parts else np.empty(0, np.uint64)
 
 
@@ -141,7 +145,8 @@ def word_blocks(
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Runs of texts: the first one's number, the word hashes of all, and how many
     of them each text has."""
-    for first, last in _blocks(np.fromiter(map(len, texts), np.int64, len(texts))):
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    for first, last in _blocks(sizes, BLOCK_BYTES):
         if last - first == 1 and len(texts[first]) > BLOCK_BYTES:
             hashes = _long_text(texts[first], lower, blank)
             yield first, hashes, np.array([len(hashes)])

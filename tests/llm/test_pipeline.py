@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter
 from functools import reduce
 
@@ -12,7 +13,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from shelfaudit.llm import mixing
+from shelfaudit.llm import mixing, tokens
 from tests_llm_brute import brute_force, contains
 
 
@@ -133,3 +134,14 @@ def test_pipeline_of_empty_tables(spark, tmp_path):
         empty = spark.read.parquet(f"{tmp_path}/{name}.parquet").limit(0)
         empty.write.parquet(f"{tmp_path}/empty/{name}.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/empty").collect() == []
+
+
+def test_hashing_words_of_a_batch_takes_little_memory():
+    texts = [(" ".join(f"w{i}x{j}" for j in range(1000))).encode() for i in range(1000)]
+    texts += [b"", b" ".join(texts[:100])]  # a text larger than a block
+    tracemalloc.start()
+    counts = [len(words) for words in tokens.word_hashes(texts)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counts == [1000] * 1000 + [0, 100_000]
+    assert peak < 32e6
