@@ -39,7 +39,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "_id", "_h", F.xxhash64("_id", "_h").alias("_d"), "text")
 
 
-def _heads(*columns: np.ndarray) -> np.ndarray:
+def heads(*columns: np.ndarray) -> np.ndarray:
     """Where a row differs from the one before it."""
     new = np.ones(len(columns[0]), dtype=bool)
     if len(new):
@@ -55,9 +55,9 @@ def several(batches: Batches) -> Batches:
             continue
         new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
         key, h, again = (np.concatenate(x) for x in zip(held, new, strict=True))
-        at = _heads(key, h)
+        at = heads(key, h)
         key, h, again = key[at], h[at], np.logical_or.reduceat(again, at)
-        run = _heads(key)
+        run = heads(key)
         lengths = np.diff(np.append(run, len(key)))
         shared = np.repeat((lengths > 1) | np.logical_or.reduceat(again, run), lengths)
         held = [key[-1:], h[-1:], shared[-1:]]
@@ -71,11 +71,19 @@ def several(batches: Batches) -> Batches:
     )
 
 
+def short(keys: np.ndarray) -> np.ndarray:
+    """The upper half of each key, which tells the keys of one text apart well enough."""
+    return (keys >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
 def shared_keys(
-    rows: DataFrame, keys_of: Callable[[list[bytes]], Iterator[tuple[np.ndarray, np.ndarray]]]
+    rows: DataFrame,
+    keys_of: Callable[[list[bytes]], Iterator[tuple[np.ndarray, np.ndarray]]],
+    shortened: bool = False,
 ) -> DataFrame:
     """_h and the keys (an array) that its text shares with another text, or has
-    twice if the scheme says so. `keys_of` gives each text's keys and those flags."""
+    twice if the scheme says so. `keys_of` gives each text's keys and those flags.
+    `shortened`: the keys are shared as a whole, and given by `short`."""
 
     def emit(batches: Batches) -> Batches:
         for batch in batches:
@@ -94,7 +102,8 @@ def shared_keys(
     flat = rows.select("_h", "text").mapInArrow(emit, "key long, h long, again boolean")
     dealt = flat.repartition("key").sortWithinPartitions("key", "h")
     shared = dealt.mapInArrow(several, "key long, h long")
-    return cut(shared.groupBy(F.col("h").alias("_h")).agg(F.collect_set("key").alias("_keys")))
+    key = F.shiftright("key", 32).cast("int") if shortened else F.col("key")
+    return cut(shared.groupBy(F.col("h").alias("_h")).agg(F.collect_set(key).alias("_keys")))
 
 
 def firsts(rows: DataFrame) -> DataFrame:
@@ -154,7 +163,7 @@ def later(batches: Batches) -> Batches:
             batch.column(x).to_numpy(zero_copy_only=False) for x in (0, 1, 3, 4, 5)
         )
         w, i = (np.concatenate(x) for x in zip(first, (w, i), strict=True))
-        run = _heads(w)
+        run = heads(w)
         head = np.repeat(run, np.diff(np.append(run, len(w))))
         out = np.flatnonzero((i > i[head])[len(first[0]) :] | known)
         first = [x[run[-1] : run[-1] + 1] for x in (w, i)]

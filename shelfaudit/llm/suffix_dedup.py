@@ -5,9 +5,10 @@ cut to what can repeat. Every window of WIDTH bytes has a key: the smallest hash
 of the GRAM-byte strings in it, which only depends on its bytes. Keys that one
 text alone has are dropped. Windows of one key that follow each other make a
 piece, and the pieces of a key, with equal ones taken together, come to one
-shard. There a suffix array is built by induced sorting, the permuted common
-prefixes tell which suffixes share WIDTH bytes, and every window is removed that
-a smaller doc_id has too. A key with more bytes of different pieces than
+shard. There a suffix array of all that have the hash of a window in common with
+another one is built by induced sorting, the permuted common prefixes tell which
+suffixes share WIDTH bytes, and every window is removed that a smaller doc_id has
+too. A key with more bytes of different pieces than
 `SHARD_BYTES` goes by the hash of each of its windows to further tasks instead,
 so no task holds more than a shard.
 
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,12 +36,14 @@ from .repeats import (
     Batches,
     covered,
     firsts,
+    heads,
     keyed,
     lists,
     marks_of,
     own_window,
     packed,
     shared_keys,
+    short,
     unpacked,
     unpacked_runs,
     window_batch,
@@ -47,8 +51,9 @@ from .repeats import (
 from .suffixes import common_prefixes, suffix_array
 
 WIDTH = 50
-GRAM = 16
+GRAM = 20
 PIECE = 48  # WIDTH + PIECE stays below the depth of the common prefixes
+PIECES_AT_ONCE = 10_000
 SHARD_BYTES = 1 << 20
 
 
@@ -118,6 +123,62 @@ def _keys_of(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 PIECES = "key long, piece binary, id long, d long, pos array<int>"
 
 
+def _of_block(
+    texts: list[bytes], use: list[np.ndarray], keys: list[np.ndarray]
+) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array, pa.Array]]:
+    """Of the windows in `use`, some pieces at a time: the number of the text, the key,
+    the bytes and the places. Equal pieces of a text are one with several places."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    base = np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(texts)), list(map(len, use)))
+    key = np.concatenate(keys)
+    # Windows of two texts are never next to each other.
+    place = np.concatenate(use) + base[owner]
+    new = np.ones(len(place), dtype=bool)
+    new[1:] = (np.diff(place) > 1) | (key[1:] != key[:-1])
+    run = np.flatnonzero(new)
+    # A run of one key is longer than a piece only in periodic text.
+    offset = np.arange(len(place)) - np.repeat(run, np.diff(np.append(run, len(place))))
+    head = np.flatnonzero(offset % PIECE == 0)
+    last = np.append(place[head[1:] - 1], place[-1:])
+    owner, key, start = owner[head], key[head], place[head]
+    raw = b"".join(texts)
+    again: dict[int, list[int]] = {}  # further places of a piece
+    order = np.lexsort((key, owner))
+    same = (key[order[1:]] == key[order[:-1]]) & (owner[order[1:]] == owner[order[:-1]])
+    once = np.ones(len(start), dtype=bool)
+    if same.any():
+        met: dict[tuple[int, bytes], int] = {}
+        several = np.append(same, False) | np.append(False, same)
+        for i in np.sort(order[several]).tolist():
+            first = met.setdefault((int(owner[i]), raw[start[i] : last[i] + WIDTH]), i)
+            if first != i:
+                again.setdefault(first, []).append(int(start[i] - base[owner[i]]))
+                once[i] = False
+    counts = np.ones(len(start), dtype=np.int64)
+    for i, places in again.items():
+        counts[i] += len(places)
+    flat = np.repeat(start - base[owner], counts * once)
+    ends = np.cumsum(counts * once)
+    for i, places in again.items():
+        flat[ends[i] - len(places) : ends[i]] = places
+    owner, key, start, last, counts = (x[once] for x in (owner, key, start, last, counts))
+    places = lists(flat, counts)
+    for i in range(0, len(start), PIECES_AT_ONCE):
+        part = slice(i, i + PIECES_AT_ONCE)
+        pieces = _cut_out(raw, start[part], last[part] - start[part] + WIDTH)
+        yield owner[part], key[part], pieces, places[part]
+
+
+def _cut_out(raw: bytes, start: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """The strings of the given starts and lengths."""
+    ends = np.append(0, np.cumsum(lengths))
+    index = np.arange(ends[-1]) + np.repeat(start - ends[:-1], lengths)
+    data = np.frombuffer(raw, dtype=np.uint8)[index]
+    buffers = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)]
+    return pa.Array.from_buffers(pa.binary(), len(lengths), buffers)
+
+
 def _pieces(rows: DataFrame) -> DataFrame:
     """The pieces of shared keys."""
 
@@ -125,34 +186,18 @@ def _pieces(rows: DataFrame) -> DataFrame:
         for batch in batches:
             ids, ds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for at, texts in unpacked_runs(batch.column(2)):
+                use, own = [], []
                 for i, keys in enumerate(text_keys(texts)):
-                    shared = batch.column(3)[at + i].values.to_numpy().view(np.uint64)
-                    use = np.isin(keys, shared)
-                    place = np.flatnonzero(use)
-                    if not len(place):
-                        continue
-                    new = np.ones(len(place), dtype=bool)
-                    new[1:] = (np.diff(place) > 1) | (keys[place[1:]] != keys[place[:-1]])
-                    run = np.flatnonzero(new)
-                    # A run of one key is longer than a piece only in periodic text.
-                    offset = np.arange(len(place)) - np.repeat(
-                        run, np.diff(np.append(run, len(place)))
-                    )
-                    start = place[offset % PIECE == 0]
-                    last = np.append(place[np.flatnonzero(offset % PIECE == 0)[1:] - 1], place[-1])
-                    raw = texts[i]
-                    found: dict[bytes, list[int]] = {}
-                    for a, b in zip(start.tolist(), last.tolist(), strict=True):
-                        found.setdefault(raw[a : b + WIDTH], []).append(a)
-                    places = [x for own in found.values() for x in own]
-                    key = keys[[own[0] for own in found.values()]].view(np.int64)
+                    use.append(np.flatnonzero(np.isin(short(keys), batch.column(3)[at + i].values)))
+                    own.append(keys[use[-1]])
+                for owner, key, piece, places in _of_block(texts, use, own):
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(key),
-                            pa.array(list(found), pa.binary()),
-                            pa.array(np.full(len(found), ids[at + i])),
-                            pa.array(np.full(len(found), ds[at + i])),
-                            lists(np.array(places), np.array([len(x) for x in found.values()])),
+                            pa.array(key.view(np.int64)),
+                            piece,
+                            pa.array(ids[at + owner]),
+                            pa.array(ds[at + owner]),
+                            places,
                         ],
                         [x.split()[0] for x in PIECES.split(", ")],
                     )
@@ -161,60 +206,72 @@ def _pieces(rows: DataFrame) -> DataFrame:
 
 
 class _Shard:
-    """Different pieces, each with the smallest id that has it, to be sorted."""
-
-    def __init__(self) -> None:
-        self.pieces: list[bytes] = []
-        self.rows: list[tuple[int, int, list[int]]] = []  # id, d, places
-        self.size = 0
-
-    def add(self, piece: bytes, row: tuple[int, int, list[int]]) -> None:
-        self.pieces.append(piece)
-        self.rows.append(row)
-        self.size += len(piece)
-
-    def take(self, other: _Shard) -> None:
-        self.pieces += other.pieces
-        self.rows += other.rows
-        self.size += other.size
-
-    def _runs(
+    """Rows of PIECES, to be sorted: different pieces, each of the smallest id that
+    has it."""
+
+    def __init__(self, rows: pa.Table) -> None:
+        rows = rows.combine_chunks()
+        one = [c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in rows.columns]
+        self.ids, self.ds = one[2].to_numpy(), one[3].to_numpy()
+        self.counts = np.diff(one[4].offsets.to_numpy())
+        self.flat = one[4].flatten().to_numpy()
+        ends = np.frombuffer(one[1].buffers()[1], dtype=np.int32)
+        ends = ends[one[1].offset : one[1].offset + len(self.ids) + 1].astype(np.int64)
+        self.lengths = np.diff(ends)
+        self.raw = np.frombuffer(one[1].buffers()[2] or b"", dtype=np.uint8)[ends[0] : ends[-1]]
+
+    def runs(
         self, piece: np.ndarray, within: np.ndarray, n: np.ndarray, window: np.ndarray | None
     ) -> pa.RecordBatch:
         """Rows for n windows from `within` on of the pieces named; sure ones if they
         have no window hash."""
-        ids = np.array([r[0] for r in self.rows], dtype=np.int64)[piece]
-        ds = np.array([r[1] for r in self.rows], dtype=np.int64)[piece]
-        counts = np.array([len(r[2]) for r in self.rows])
-        flat = np.array([x for r in self.rows for x in r[2]])
-        begin = np.cumsum(counts) - counts
-        own = counts[piece]
+        ids, ds = self.ids[piece], self.ds[piece]
+        begin = np.cumsum(self.counts) - self.counts
+        own = self.counts[piece]
         take = np.repeat(begin[piece] - (np.cumsum(own) - own), own) + np.arange(own.sum())
-        places = flat[take] + np.repeat(within, own)
+        places = self.flat[take] + np.repeat(within, own)
         sure = window is None
         if sure:
-            window = own_window(flat[begin[piece]] + within, ds)
+            window = own_window(self.flat[begin[piece]] + within, ds)
         return window_batch(window, ids, lists(places, own), n, ds, np.full(len(ds), sure))
 
+    def whole(self) -> pa.RecordBatch:
+        """All windows of each piece, as sure ones."""
+        n = self.lengths - WIDTH + 1
+        return self.runs(np.arange(len(n)), np.zeros(len(n), np.int64), n, None)
+
+    def _hashes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of every window the piece, the place in it and a hash."""
+        n = self.lengths - WIDTH + 1
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        starts = np.repeat(np.cumsum(self.lengths) - self.lengths, n) + within
+        return np.repeat(np.arange(len(n)), n), within, _grams(self.raw, WIDTH)[starts]
+
     def windows(self) -> pa.RecordBatch:
         """Each window by its hash, for a key too large for a shard."""
-        lengths = np.array([len(p) for p in self.pieces])
-        hashes = _grams(np.frombuffer(b"".join(self.pieces), dtype=np.uint8), WIDTH)
-        n = lengths - WIDTH + 1
-        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        starts = np.repeat(np.cumsum(lengths) - lengths, n) + within
-        owner = np.repeat(np.arange(len(n)), n)
-        return self._runs(owner, within, np.ones(len(owner)), hashes[starts].view(np.int64))
+        owner, within, hashes = self._hashes()
+        return self.runs(owner, within, np.ones(len(owner)), hashes.view(np.int64))
+
+    def alike(self) -> np.ndarray:
+        """Which pieces may share a window with another one: those that share no
+        window's hash need not be sorted."""
+        owner, _, hashes = self._hashes()
+        order = np.argsort(hashes, kind="stable")
+        own, hashes = owner[order], hashes[order]
+        met = np.flatnonzero((hashes[1:] == hashes[:-1]) & (own[1:] != own[:-1]))
+        out = np.zeros(len(self.lengths), dtype=bool)
+        out[own[met]] = out[own[met + 1]] = True
+        return out
 
     def repeats(self) -> pa.RecordBatch:
         """The windows that a smaller id has too, by a suffix array of the pieces."""
-        ids = np.array([r[0] for r in self.rows], dtype=np.int64)
-        lengths = np.array([len(p) for p in self.pieces])
+        ids, lengths = self.ids, self.lengths
         # Symbols: bytes from 2 on, 1 behind each piece, 0 at the end.
         starts = np.cumsum(lengths + 1) - lengths - 1
-        raw = np.frombuffer(b"\0".join(self.pieces) + b"\0\0", dtype=np.uint8)
-        t = raw.astype(np.int64) + 2
-        t[starts + lengths] = 1
+        t = np.ones(lengths.sum() + len(lengths) + 1, dtype=np.int64)
+        within = np.arange(len(self.raw)) + np.repeat(np.arange(len(lengths)), lengths)
+        t[within] = self.raw
+        t[within] += 2
         t[-1] = 0
         sa = suffix_array(t, 258)
         shared = common_prefixes(t, sa, starts)
@@ -224,55 +281,97 @@ class _Shard:
         # A suffix that shares WIDTH symbols with a valid one is valid.
         group = np.cumsum(shared[sa] < WIDTH)[valid[sa]]
         order = sa[valid[sa]]
-        heads = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+        begin = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
         own = ids[owner[order]]
         least = np.repeat(
-            np.minimum.reduceat(own, heads), np.diff(np.append(heads, len(order)))
+            np.minimum.reduceat(own, begin), np.diff(np.append(begin, len(order)))
         )
         out = np.sort(order[own > least])
         new = np.ones(len(out), dtype=bool)
         new[1:] = (np.diff(out) > 1) | (owner[out[1:]] != owner[out[:-1]])
         run = np.flatnonzero(new)
         n = np.diff(np.append(run, len(out)))
-        return self._runs(owner[out[run]], within[out[run]], n, None)
+        return self.runs(owner[out[run]], within[out[run]], n, None)
+
+
+def _piece_bytes(rows: pa.Table | pa.RecordBatch) -> int:
+    return pc.sum(pc.binary_length(rows.column("piece"))).as_py() or 0
+
+
+def _alike(rows: pa.Table) -> pa.Table:
+    """The rows, of whole keys, that have to be sorted."""
+    return rows.filter(pa.array(_Shard(rows).alike())) if rows.num_rows > 1 else rows.slice(0, 0)
+
+
+def _copies(batch: pa.RecordBatch, last: pa.RecordBatch | None) -> np.ndarray:
+    """Which rows have a piece that a smaller id has too; `last` is the row before,
+    with the smallest id of its piece."""
+    key, piece, ids = batch.column("key").to_numpy(), batch.column("piece"), batch.column("id")
+    head = np.ones(len(key), dtype=bool)
+    equal = pc.equal(piece.slice(1), piece.slice(0, len(key) - 1))
+    head[1:] = (key[1:] != key[:-1]) | ~equal.to_numpy(zero_copy_only=False)
+    ids = ids.to_numpy()
+    least = ids[np.maximum.accumulate(np.where(head, np.arange(len(key)), 0))]
+    if last is not None and key[0] == last["key"][0].as_py() and piece[0] == last["piece"][0]:
+        first = np.flatnonzero(head[1:])
+        least[: first[0] + 1 if len(first) else None] = last["id"][0].as_py()
+    return ids > least
 
 
 def _sorted_shards(batches: Batches) -> Batches:
     """Reads pieces in the order of key, piece and id."""
-    shard, own = _Shard(), _Shard()  # of the keys before, of this key
-    key, piece, least, large = None, None, 0, False
+    shard: list[pa.Table] = []  # of the keys before
+    own: list[pa.Table] = []  # of the key now read
+    size, large, last = 0, False, None
     for batch in batches:
-        copies = _Shard()
-        columns = (c.to_pylist() for c in batch.columns)
-        for k, p, i, d, places in zip(*columns, strict=True):
-            if k != key:
+        if not batch.num_rows:
+            continue
+        copy = _copies(batch, last)
+        if copy.any():
+            yield _Shard(pa.Table.from_batches([batch.filter(pa.array(copy))])).whole()
+        kept = pa.Table.from_batches([batch.filter(pa.array(~copy))])
+        key = kept.column("key").to_numpy()
+        now = last["key"][0].as_py() if last is not None else None
+        end = batch.column("key")[-1].as_py()
+        # Rows of the key read before, of keys that end here, of the last key.
+        a, b = int(np.searchsorted(key, now, "right")) if now is not None else 0, len(key)
+        if end != now:
+            b = int(np.searchsorted(key, end, "left"))
+        own.append(kept.slice(0, a))
+        if end != now:
+            done = pa.concat_tables(own)
+            if not large:
+                shard.append(_alike(done))
+            elif done.num_rows:
+                yield _Shard(done).windows()
+            middle = kept.slice(a, b - a)
+            each = heads(key[a:b])
+            if len(each):
+                lengths = pc.binary_length(middle.column("piece")).to_numpy()
+                count = np.diff(np.append(each, b - a))
+                over = np.add.reduceat(lengths, each) >= SHARD_BYTES
+                for i in np.flatnonzero(over).tolist():
+                    yield _Shard(middle.slice(each[i], count[i])).windows()
                 # Alone, a piece has no windows in common with others of its key.
-                if large and own.size:
-                    yield own.windows()
-                elif len(own.pieces) > 1:
-                    shard.take(own)
-                    if shard.size >= SHARD_BYTES:
-                        yield shard.repeats()
-                        shard = _Shard()
-                own, key, piece, large = _Shard(), k, None, False
-            if p == piece and i > least:
-                copies.add(p, (i, d, places))
-                continue
-            if p != piece:
-                piece, least = p, i
-            own.add(p, (i, d, places))
-            if own.size >= SHARD_BYTES:
-                yield own.windows()
-                own, large = _Shard(), True
-        if copies.rows:
-            n = np.array([len(p) for p in copies.pieces]) - WIDTH + 1
-            yield copies._runs(np.arange(len(n)), np.zeros(len(n), np.int64), n, None)
-    if large and own.size:
-        yield own.windows()
-    elif len(own.pieces) > 1:
-        shard.take(own)
-    if shard.size:
-        yield shard.repeats()
+                rest = middle.filter(pa.array(np.repeat(~over & (count > 1), count)))
+                shard.append(_alike(rest))
+            own, large = [kept.slice(b)], False
+        if sum(map(_piece_bytes, own)) >= SHARD_BYTES:
+            yield _Shard(pa.concat_tables(own)).windows()
+            own, large = [], True
+        if sum(map(_piece_bytes, shard)) >= SHARD_BYTES:
+            yield _Shard(pa.concat_tables(shard)).repeats()
+            shard = []
+        if not copy.all():
+            last = batch.slice(np.flatnonzero(~copy)[-1], 1)
+    if own:
+        done = pa.concat_tables(own)
+        if not large:
+            shard.append(_alike(done))
+        elif done.num_rows:
+            yield _Shard(done).windows()
+    if sum(x.num_rows for x in shard):
+        yield _Shard(pa.concat_tables(shard)).repeats()
 
 
 def _whole(batches: Batches) -> Batches:
@@ -319,7 +418,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         )
     )
     copies = firsts(whole)
-    shared = shared_keys(rows, _keys_of)
+    shared = shared_keys(rows, _keys_of, shortened=True)
     # Of exact copies the first one stands for all; the others lose every byte.
     owners = whole.groupBy("_h").agg(F.min("_id").alias("_id")).join(shared, "_h")
     pieces = _pieces(packed(rows, ["_id", "_h", "_d"]).join(owners, ["_id", "_h"]))

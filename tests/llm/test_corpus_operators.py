@@ -10,6 +10,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 
@@ -20,6 +21,7 @@ from shelfaudit.llm import (
     mixing,
     quality,
     recompression,
+    repeats,
     sharding,
     suffix_dedup,
     suffixes,
@@ -171,6 +173,62 @@ def test_repeated_bytes_go(docs, rows, monkeypatch):
     assert suffix_dedup.remove_repeats(docs.limit(0)).collect() == []
 
 
+def _piece_batches(pieces, step):
+    """Batches of (key, piece, id) as they are sorted; each row is a document of its own."""
+    rows = [(k, p, i, n, [5]) for n, (k, p, i) in enumerate(sorted(pieces))]
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+    names = [x.split()[0] for x in suffix_dedup.PIECES.split(", ")]
+    for at in range(0, len(rows), step):
+        columns = zip(*rows[at : at + step], strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+
+
+def test_pieces_without_a_common_window_are_not_sorted(monkeypatch):
+    sorted_bytes = []
+    plain = suffix_dedup.suffix_array
+    monkeypatch.setattr(
+        suffix_dedup, "suffix_array", lambda t, n: sorted_bytes.append(len(t)) or plain(t, n)
+    )
+    rng = np.random.default_rng(6)
+    text = lambda n: rng.integers(97, 123, n, dtype=np.uint8).tobytes()
+    common, whole = text(52), text(60)
+    pieces = [(k % 7, text(70), 100 + k) for k in range(70)]  # the keys alone are shared
+    pieces += [(3, common + text(9), 1), (3, text(9) + common, 2), (3, whole, 3), (3, whole, 4), (3, whole, 5)]
+    number = {(k, p, i): n for n, (k, p, i) in enumerate(sorted(pieces))}
+    removed = {
+        (number[pieces[71]], 5 + 9, 3),  # three windows of the second `common`
+        (number[pieces[73]], 5, 11),
+        (number[pieces[74]], 5, 11),
+    }
+    for step in (1, 2, 1000):
+        sorted_bytes.clear()
+        out = suffix_dedup._sorted_shards(_piece_batches(pieces, step))
+        rows = [r for batch in out for r in batch.to_pylist()]
+        assert {(r["d"], r["pos"][0], r["n"]) for r in rows} == removed
+        assert all(r["sure"] for r in rows)
+        assert sum(sorted_bytes) < 200
+
+
+def test_pieces_of_a_text_have_all_places_and_shared_keys_four_bytes(spark):
+    rng = np.random.default_rng(7)
+    part = rng.integers(97, 123, 120, dtype=np.uint8).tobytes()
+    raw = part + b"-" + part + b"=" * 400
+    keys = next(suffix_dedup.text_keys([raw]))
+    found = {}
+    for owner, _, piece, places in suffix_dedup._of_block([raw], [np.arange(len(keys))], [keys]):
+        for o, p, at in zip(owner.tolist(), piece.to_pylist(), places.to_pylist(), strict=True):
+            assert o == 0 and p not in found and all(raw[x : x + len(p)] == p for x in at)
+            found[p] = at
+    windows = [x + n for p, at in found.items() for x in at for n in range(len(p) - 49)]
+    assert sorted(windows) == list(range(len(raw) - 49))
+    assert max(map(len, found.values())) > 2  # periodic text
+    docs = spark.createDataFrame([(1, "ab" * 60), (2, "ab" * 60 + "c")], "doc_id long, text string")
+    rows = repeats.keyed(docs)
+    shared = repeats.shared_keys(rows, suffix_dedup._keys_of, shortened=True)
+    assert shared.schema["_keys"].dataType.simpleString() == "array<int>"
+    assert shared.count() == 2
+
+
 def test_suffix_arrays_and_prefixes():
     rng = np.random.default_rng(2)
     for _ in range(150):
