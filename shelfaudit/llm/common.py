@@ -30,6 +30,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """`cut`, after which the shuffle files that `df` took are deleted. Spark otherwise
+    keeps them until the driver happens to collect its garbage."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        # Spark reads the setting when it makes a DataFrame.
+        return cut(df.select("*"))
+    finally:
+        if before is None:
+            conf.unset(key)
+        else:
+            conf.set(key, before)
+
+
 def free_names(taken: list[str], *names: str) -> list[str]:
     """`names`, with as many underscores behind each as make it differ from `taken`."""
     used = {t.lower() for t in taken}

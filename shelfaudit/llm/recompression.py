@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import cut, documents
+from .common import documents, settled
 from .repeats import (
     WINDOWS,
     Batches,
@@ -41,6 +41,7 @@ from .repeats import (
     lists,
     marks_of,
     own_window,
+    owners,
     packed,
     shared_keys,
     unpacked,
@@ -205,19 +206,18 @@ def _kept(batches: Batches) -> Batches:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every document."""
     rows = keyed(docs)
-    whole = cut(
+    whole = settled(
         rows.select("doc_id", "_id", "_h", "text", "_d").mapInArrow(
             _whole, "doc_id long, _id long, _h long, _d long, n_words long, _all string"
         )
     )
     copies = firsts(whole)
     shared = shared_keys(rows, _keys_of)
-    # Of exact copies the first one stands for all; the others lose every word.
-    owners = whole.groupBy("_h").agg(F.min("_id").alias("_id")).join(shared, "_h")
+    # The other exact copies lose every word.
     blobs = packed(rows, ["_id", "_h", "_d"])
-    marks = marks_of(_windows(blobs.join(owners, ["_id", "_h"])))
+    marks = marks_of(_windows(blobs.join(owners(whole, shared), ["_id", "_h"])))
     again = packed(rows, ["_d"]).join(marks, "_d").select("_d", "_blob", "_starts", "_n")
-    kept = cut(again.mapInArrow(_kept, "_d long, _removed long, _kept string")).distinct()
+    kept = settled(again.mapInArrow(_kept, "_d long, _removed long, _kept string")).distinct()
     copy = (F.col("_id") > F.col("_first")) & (F.col("n_words") >= WIDTH)
     return (
         whole.join(copies, "_h", "left")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import cut
+from .common import settled
 
 LAST_ID = (1 << 63) - 1
 Batches = Iterator[pa.RecordBatch]
@@ -103,7 +103,14 @@ def shared_keys(
     dealt = flat.repartition("key").sortWithinPartitions("key", "h")
     shared = dealt.mapInArrow(several, "key long, h long")
     key = F.shiftright("key", 32).cast("int") if shortened else F.col("key")
-    return cut(shared.groupBy(F.col("h").alias("_h")).agg(F.collect_set(key).alias("_keys")))
+    return shared.groupBy(F.col("h").alias("_h")).agg(F.collect_set(key).alias("_keys"))
+
+
+def owners(whole: DataFrame, shared: DataFrame) -> DataFrame:
+    """_h, _id and _keys of the first of each text's exact copies, which stands for all."""
+    ids = whole.groupBy("_h").agg(F.min("_id").alias("_id"))
+    # Joined before the cut, as both are dealt by _h there.
+    return settled(ids.join(shared, "_h"))
 
 
 def firsts(rows: DataFrame) -> DataFrame:
@@ -199,7 +206,8 @@ def marks_of(windows: DataFrame) -> DataFrame:
     dealt = windows.repartition("window").sortWithinPartitions("window", "id")
     marks = dealt.mapInArrow(later, "_d long, pos int, n int")
     found = marks.groupBy("_d").agg(F.collect_set(F.struct("pos", "n")).alias("_m"))
-    return cut(found.select("_d", F.col("_m.pos").alias("_starts"), F.col("_m.n").alias("_n")))
+    starts, n = F.col("_m.pos").alias("_starts"), F.col("_m.n").alias("_n")
+    return settled(found.select("_d", starts, n))
 
 
 def covered(starts: np.ndarray, number: np.ndarray, width: int, n: int) -> np.ndarray:

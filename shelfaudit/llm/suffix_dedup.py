@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import cut, documents
+from .common import documents, settled
 from .repeats import (
     WINDOWS,
     Batches,
@@ -40,7 +40,7 @@ from .repeats import (
     keyed,
     lists,
     marks_of,
-    own_window,
+    owners,
     packed,
     shared_keys,
     short,
@@ -231,8 +231,8 @@ class _Shard:
         take = np.repeat(begin[piece] - (np.cumsum(own) - own), own) + np.arange(own.sum())
         places = self.flat[take] + np.repeat(within, own)
         sure = window is None
-        if sure:
-            window = own_window(self.flat[begin[piece]] + within, ds)
+        if sure:  # nothing to compare: they go with the others of their document
+            window = ds
         return window_batch(window, ids, lists(places, own), n, ds, np.full(len(ds), sure))
 
     def whole(self) -> pa.RecordBatch:
@@ -412,20 +412,20 @@ def _kept(batches: Batches) -> Batches:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
     rows = keyed(docs)
-    whole = cut(
+    whole = settled(
         rows.select("doc_id", "_id", "_h", "text", "_d").mapInArrow(
             _whole, "doc_id long, _id long, _h long, _d long, n_bytes long, _all string"
         )
     )
     copies = firsts(whole)
     shared = shared_keys(rows, _keys_of, shortened=True)
-    # Of exact copies the first one stands for all; the others lose every byte.
-    owners = whole.groupBy("_h").agg(F.min("_id").alias("_id")).join(shared, "_h")
-    pieces = _pieces(packed(rows, ["_id", "_h", "_d"]).join(owners, ["_id", "_h"]))
+    # The other exact copies lose every byte.
+    blobs = packed(rows, ["_id", "_h", "_d"])
+    pieces = _pieces(blobs.join(owners(whole, shared), ["_id", "_h"]))
     dealt = pieces.repartition("key").sortWithinPartitions("key", "piece", "id")
     marks = marks_of(dealt.mapInArrow(_sorted_shards, WINDOWS))
     again = packed(rows, ["_d"]).join(marks, "_d").select("_d", "_blob", "_starts", "_n")
-    kept = cut(
+    kept = settled(
         again.mapInArrow(_kept, "_d long, _removed long, _spans long, _kept string")
     ).distinct()
     copy = (F.col("_id") > F.col("_first")) & (F.col("n_bytes") >= WIDTH)

@@ -6,7 +6,9 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -173,6 +175,23 @@ def test_repeated_bytes_go(docs, rows, monkeypatch):
     assert suffix_dedup.remove_repeats(docs.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("operator", [suffix_dedup, recompression])
+def test_stored_steps_leave_no_shuffle_files(spark, docs, operator):
+    local = Path(spark.conf.get("spark.local.dir"))
+    files = lambda: set(local.rglob("shuffle_*.data"))
+    before = files()
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(key)
+    found = operator.remove_repeats(docs)
+    for _ in range(100):  # they are deleted a little later
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert spark.conf.get(key) == setting
+    assert found.count() == docs.count()  # reads none of them
+
+
 def _piece_batches(pieces, step):
     """Batches of (key, piece, id) as they are sorted; each row is a document of its own."""
     rows = [(k, p, i, n, [5]) for n, (k, p, i) in enumerate(sorted(pieces))]
